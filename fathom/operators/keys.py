@@ -13,7 +13,7 @@ counts and the rows disagree.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -22,7 +22,7 @@ from ..session import ensure_checkpoint_dir
 _LOCAL_BITS = 33
 
 
-def dense_key(df: DataFrame, order_cols: list[str], name: str, start: int = 1,
+def dense_key(df: DataFrame, order_cols: list[str | Column], name: str, start: int = 1,
               num_partitions: int | None = None) -> DataFrame:
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
@@ -36,3 +36,20 @@ def dense_key(df: DataFrame, order_cols: list[str], name: str, start: int = 1,
     offsets = counts.select("_p", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
     out = tagged.withColumn("_p", part).join(F.broadcast(offsets), "_p")
     return out.select(*df.columns, (F.col("_off") + local + F.lit(start)).cast("bigint").alias(name))
+
+
+def ntile_global(df: DataFrame, order_cols: list[str | Column], buckets: int, name: str) -> DataFrame:
+    """``ntile(buckets) OVER (ORDER BY order_cols)`` without a single-task window.
+
+    Rows get their global rank from ``dense_key``; the tile follows from the
+    rank and the row count: the first ``N % buckets`` tiles hold one row more.
+    """
+    ranked = dense_key(df, order_cols, "_rank")
+    total = ranked.count()
+    q, m = divmod(total, buckets)
+    r = F.col("_rank")
+    big = m * (q + 1)
+    tile = F.when(r <= big, F.floor((r - 1) / (q + 1)) + 1)
+    if q > 0:
+        tile = tile.otherwise(F.floor((r - big - 1) / q) + m + 1)
+    return ranked.withColumn(name, tile.cast("int")).drop("_rank")
