@@ -2,14 +2,16 @@
 
 ``WITH RECURSIVE`` in Spark stops at 100 levels / 1M rows, so the walks here
 are DataFrame loops: one equi join per level (``flatten_tree``) or per
-pointer-doubling round (``closure``, log2(depth) rounds). Each round is
+pointer-doubling round (``closure``, log2(depth) rounds). Closure rounds are
 checkpointed to the shared checkpoint folder so lineage stays short and a
-lost executor only recomputes one round. Nodes that never reach a root
+lost executor only recomputes one round; tree levels are persisted and
+checkpointed every 8th level. Nodes that never reach a root
 (cycles, dangling parents) are dropped, as a root-down recursion drops them.
 """
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -21,19 +23,26 @@ def flatten_tree(df: DataFrame, id: str, parent: str, label: str, levels: int =
     """One row per reachable node: id, parent, label, depth (roots = 1), path (labels),
     path_ids, path_text (' > '), level1..levelN, is_leaf; plus ``extra`` columns."""
     extra = list(extra or [])
+    ensure_checkpoint_dir(df.sparkSession)
     nodes = df.select(F.col(id).alias("_id"), F.col(parent).alias("_parent"), F.col(label).alias("_label"),
                       *[F.col(c) for c in extra])
     frontier = nodes.where(F.col("_parent").isNull()).select(
         "*", F.lit(1).alias("depth"), F.array("_label").alias("path"), F.array("_id").alias("path_ids"))
     edges = nodes.where(F.col("_parent").isNotNull())
     out = frontier
-    for _ in range(max_depth - 1):
+    held = []
+    for level in range(max_depth - 1):
         nxt = edges.alias("c").join(frontier.select("_id", "depth", "path", "path_ids").alias("p"),
                                     F.col("c._parent") == F.col("p._id")).select(
             "c.*", (F.col("p.depth") + 1).alias("depth"),
             F.concat(F.col("p.path"), F.array(F.col("c._label"))).alias("path"),
             F.concat(F.col("p.path_ids"), F.array(F.col("c._id"))).alias("path_ids"))
-        nxt = nxt.checkpoint(eager=True)
+        # each level is materialized once; every 8th level also cuts the lineage
+        if level % 8 == 7:
+            nxt = nxt.checkpoint(eager=True)
+        else:
+            nxt = nxt.persist(StorageLevel.MEMORY_AND_DISK)
+            held.append(nxt)
         if nxt.isEmpty():
             break
         out = out.unionByName(nxt)

@@ -6,18 +6,17 @@ key range), sorted inside each partition, numbered locally, and shifted by
 the row count of all earlier partitions. The offsets table has one row per
 partition, so broadcasting it is bounded by the partition count.
 
-The numbered rows are checkpointed (to the cluster's shared checkpoint
-folder) before the counts are taken, so a lost executor cannot make the
-counts and the rows disagree.
+The numbered rows are persisted before the counts are taken, so the counts
+and the rows come from one materialization.
 """
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from ..session import ensure_checkpoint_dir
 
 _LOCAL_BITS = 33
 
@@ -25,10 +24,11 @@ _LOCAL_BITS = 33
 def dense_key(df: DataFrame, order_cols: list[str | Column], name: str, start: int = 1,
               num_partitions: int | None = None) -> DataFrame:
     spark = df.sparkSession
-    ensure_checkpoint_dir(spark)
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     ranged = df.repartitionByRange(n, *order_cols).sortWithinPartitions(*order_cols)
-    tagged = ranged.withColumn("_mid", F.monotonically_increasing_id()).checkpoint(eager=True)
+    # persisted, not recomputed per use: the counts and the rows see one numbering. A lost
+    # block is recomputed whole from the same range partition, so per-partition counts hold.
+    tagged = ranged.withColumn("_mid", F.monotonically_increasing_id()).persist(StorageLevel.MEMORY_AND_DISK)
     part = F.shiftright("_mid", _LOCAL_BITS)
     local = F.col("_mid").bitwiseAND((1 << _LOCAL_BITS) - 1)
     counts = tagged.groupBy(part.alias("_p")).agg(F.count(F.lit(1)).alias("_n"))
