@@ -46,4 +46,12 @@ def _register_questions():
         register(f"q{i:02d}_{name}_star", star_fn, OQ.STAR.get(name), star=True)
 
 
+def _register_reports():
+    from oracle import reports as OR
+    from .plans.reports import REPORTS
+    for name, fn in REPORTS.items():
+        register(name, fn, OR.SQL.get(name))
+
+
 _register_questions()
+_register_reports()
