@@ -53,5 +53,13 @@ def _register_reports():
         register(name, fn, OR.SQL.get(name))
 
 
+def _register_lessons():
+    from oracle import lessons as OL
+    from .plans.lessons import LESSONS
+    for name, fn in LESSONS.items():
+        register(name, fn, OL.SQL.get(name))
+
+
 _register_questions()
 _register_reports()
+_register_lessons()
