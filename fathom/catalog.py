@@ -60,6 +60,14 @@ def _register_lessons():
         register(name, fn, OL.SQL.get(name))
 
 
+def _register_views():
+    from oracle import views as OV
+    from .plans.views import VIEWS
+    for name, fn in VIEWS.items():
+        register(name, fn, OV.SQL.get(name))
+
+
 _register_questions()
 _register_reports()
 _register_lessons()
+_register_views()
