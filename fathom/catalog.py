@@ -67,7 +67,15 @@ def _register_views():
         register(name, fn, OV.SQL.get(name))
 
 
+def _register_analysis():
+    from oracle import analysis as OA
+    from .plans.analysis import ANALYSIS
+    for name, fn in ANALYSIS.items():
+        register(name, fn, OA.SQL.get(name), star=False)
+
+
 _register_questions()
 _register_reports()
 _register_lessons()
 _register_views()
+_register_analysis()

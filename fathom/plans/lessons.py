@@ -18,6 +18,7 @@ from ..operators.asof import asof_join
 from ..operators.hierarchy import ancestor_pairs
 from ..operators.keys import ntile_global
 from ..operators.reshape import fill_days, pivot_agg, unpivot
+from ..operators.stats import exact_percentiles
 from ..operators.topk import top_k
 from .warehouse import Warehouse
 
@@ -60,10 +61,9 @@ def l04_order_gaps(wh: Warehouse) -> DataFrame:
     fo = wh.fact_orders.where(F.col("status") != "cancelled")
     w = Window.partitionBy("customer_id").orderBy("placed_at", "order_id")
     g = fo.select(F.datediff("order_date", F.lag("order_date").over(w)).alias("gap"))
-    q = g.agg(F.percentile("gap", [0.25, 0.5, 0.75, 0.9]).alias("q"),
-              F.count("gap").cast("bigint").alias("repeat_orders"))
-    return q.select(*[dround(F.col("q")[i], 4).alias(n) for i, n in enumerate(["p25_days", "p50_days", "p75_days",
-                                                                               "p90_days"])], "repeat_orders")
+    names = {"p25_days": 0.25, "p50_days": 0.5, "p75_days": 0.75, "p90_days": 0.9}
+    q = exact_percentiles(g, [], "gap", names, count_name="repeat_orders")
+    return q.select(*[dround(k, 4).alias(k) for k in names], "repeat_orders")
 
 
 # L-05 biggest order per country (arg_max) ---------------------------------------------------------
@@ -389,8 +389,9 @@ def l20e_slowest_cross_country_warehouse(wh: Warehouse) -> DataFrame:
                                 F.col("country_code").alias("w_country"))
     c = wh.dim_customer.select("customer_id", F.col("country_code").alias("c_country"))
     x = fo.join(w, "warehouse_id").join(c, "customer_id").where(F.col("w_country") != F.col("c_country"))
-    g = x.groupBy("warehouse").agg(F.count(F.lit(1)).cast("bigint").alias("deliveries"),
-                                   dround(F.percentile("transit_days", 0.9), 2).alias("p90_days"))
+    g = x.groupBy("warehouse").agg(F.count(F.lit(1)).cast("bigint").alias("deliveries"))
+    p = exact_percentiles(x, ["warehouse"], "transit_days", {"p90": 0.9})
+    g = g.join(p, "warehouse").select("warehouse", "deliveries", dround("p90", 2).alias("p90_days"))
     return g.orderBy(F.col("p90_days").desc(), "warehouse")
 
 

@@ -14,6 +14,7 @@ from ..functions.numeric import dround, pct
 from ..functions.timefn import month_start, months_between_boundaries
 from ..operators.asof import asof_join
 from ..operators.hierarchy import ancestor_pairs
+from ..operators.stats import exact_percentiles
 from ..operators.topk import top_k
 from .warehouse import Warehouse
 
@@ -112,9 +113,9 @@ def carrier_delivery(wh: Warehouse) -> DataFrame:
     fo = wh.fact_orders.where(F.col("delivered_at").isNotNull())
     g = fo.groupBy("carrier").agg(
         F.count(F.lit(1)).cast("bigint").alias("deliveries"),
-        dround(F.percentile("transit_days", 0.5), 1).alias("p50_days"),
-        dround(F.percentile("transit_days", 0.9), 1).alias("p90_days"),
         F.count_if(F.col("transit_days") > 7).alias("_over"))
+    p = exact_percentiles(fo, ["carrier"], "transit_days", {"p50": 0.5, "p90": 0.9})
+    g = g.join(p, "carrier").withColumn("p50_days", dround("p50", 1)).withColumn("p90_days", dround("p90", 1))
     return g.select("carrier", "deliveries", "p50_days", "p90_days",
                     pct("_over", "deliveries", 1).alias("over_7_days_pct")).orderBy(F.col("p90_days").desc(), "carrier")
 
