@@ -74,8 +74,16 @@ def _register_analysis():
         register(name, fn, OA.SQL.get(name), star=False)
 
 
+def _register_checks():
+    from oracle import checks as OC
+    from .plans.checks import CHECKS
+    for name, fn in CHECKS.items():
+        register(name, fn, OC.SQL.get(name))
+
+
 _register_questions()
 _register_reports()
 _register_lessons()
 _register_views()
 _register_analysis()
+_register_checks()

@@ -74,7 +74,7 @@ st_brands AS (
     FROM (SELECT DISTINCT p_brand FROM part)
 ),
 st_products AS (
-    SELECT p.p_partkey + 1 AS id, p.p_name AS name,
+    SELECT p.p_partkey + 1 AS id, 'SKU-' || lpad(CAST(p.p_partkey + 1 AS VARCHAR), 8, '0') AS sku, p.p_name AS name,
            CAST(CASE WHEN ((p.p_size - 1) // 10) % 2 = 0
                      THEN 10000 + 10 * (100 + 10 * t.t + (p.p_size - 1) // 10) + p.p_partkey % 2
                      ELSE 100 + 10 * t.t + (p.p_size - 1) // 10 END AS BIGINT) AS category_id,
@@ -125,7 +125,7 @@ st_promotion_products AS (
       ON pr.id <= 11 AND (p.id % 12 = pr.id - 1 OR p.id % 12 = pr.id % 12)
 ),
 st_orders AS (
-    SELECT o.o_orderkey + 1 AS id, o.o_custkey + 1 AS customer_id,
+    SELECT o.o_orderkey + 1 AS id, o.o_custkey + 1 AS customer_id, (o.o_custkey + 1) * 2 AS shipping_address_id,
            CASE WHEN (o.o_orderkey + 1) % 4 = 0 THEN CAST(1 + (o.o_orderkey + 1) % 12 AS BIGINT) END AS promotion_id,
            CASE WHEN o.o_orderkey % 33 = 0 THEN 'cancelled' WHEN o.o_orderstatus = 'F' THEN 'delivered'
                 WHEN o.o_orderstatus = 'O' THEN 'shipped' WHEN o.o_orderkey % 10 = 1 THEN 'pending'
@@ -200,4 +200,22 @@ st_reviews AS (
     FROM st_order_items l JOIN st_orders o ON o.id = l.order_id
     WHERE o.status = 'delivered' AND (l.product_id + l.order_id) % 4 = 0
     GROUP BY product_id, customer_id
+),
+st_addresses AS (
+    SELECT c.id * 2 + n AS id, c.id AS customer_id, CASE WHEN n = 0 THEN 'shipping' ELSE 'billing' END AS kind,
+           'Street ' || c.id AS line1, 'City ' || (c.id % 97) AS city,
+           lpad(CAST(c.id % 100000 AS VARCHAR), 5, '0') AS postal_code, c.country_code, n = 0 AS is_default
+    FROM st_customers c, range(0, 2) r(n)
+    WHERE n = 0 OR c.id % 3 = 0
+),
+st_suppliers AS (
+    SELECT s_suppkey + 1 AS id, s_name AS name, 'N' || lpad(CAST(s_nationkey AS VARCHAR), 2, '0') AS country_code,
+           CAST(1 + s_suppkey % 5 AS SMALLINT) AS rating
+    FROM supplier
+),
+st_product_suppliers AS (
+    SELECT p.id AS product_id, CAST(1 + (p.id + 7 * n) % (SELECT count(*) FROM supplier) AS BIGINT) AS supplier_id,
+           CAST(round(p.cost_usd * CASE WHEN n = 0 THEN 1.00 ELSE 1.05 END, 2) AS DECIMAL(12,2)) AS unit_cost_usd,
+           CAST(3 + p.id % 20 AS INTEGER) AS lead_time_days, n = 0 AS is_primary
+    FROM st_products p, range(0, 2) r(n)
 )
