@@ -69,14 +69,18 @@ def _clustered(df: DataFrame, n: int, by: list[str], sort: list[str]) -> DataFra
     return df.repartitionByRange(n, *by).sortWithinPartitions(*sort)
 
 
-def build_full(spark: SparkSession, sf_dir: str, root: str, max_order_id: int | None = None,
+def build_full(spark: SparkSession, sf_dir: str | Store, root: str, max_order_id: int | None = None,
                publish_version: bool = True) -> dict:
-    """Extract -> dimensions -> facts -> marts -> metadata -> publish. Returns run info."""
+    """Extract -> dimensions -> facts -> marts -> metadata -> publish. Returns run info.
+
+    ``sf_dir`` is the driver data folder, or a ``Store`` (e.g. a source after changes)."""
     t_start = time.time()
     version = next_version(root)
     vdir = os.path.join(root, version)
-    store = Store(spark, sf_dir)
+    store = sf_dir if isinstance(sf_dir, Store) else Store(spark, sf_dir)
     wh = Warehouse(store, max_order_id)
+    # the source clock is read before the watermark, as the next run's "changes since"
+    source_time = store.table("orders").agg(F.max("updated_at")).first()[0]
     w = wh.max_order_id
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     steps = []
@@ -111,8 +115,9 @@ def build_full(spark: SparkSession, sf_dir: str, root: str, max_order_id: int |
     finished = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
     meta = spark.createDataFrame(steps, "label string, rows long, seconds double")
     _write(meta.coalesce(1), f"{vdir}/meta/etl_steps")
-    info = spark.createDataFrame([(version, w, finished, round(time.time() - t_start, 3))],
-                                 "version string, max_order_id long, finished_at timestamp_ntz, seconds double")
+    info = spark.createDataFrame([(version, w, finished, source_time, round(time.time() - t_start, 3))],
+                                 "version string, max_order_id long, finished_at timestamp_ntz, "
+                                 "source_time timestamp_ntz, seconds double")
     _write(info.coalesce(1), f"{vdir}/meta/etl_info")
     if publish_version:
         publish(root, version)
