@@ -81,9 +81,20 @@ def _register_checks():
         register(name, fn, OC.SQL.get(name))
 
 
+def _register_streams():
+    from oracle import streams as OS
+    from oracle import with_fixtures
+    from .streaming.jobs import STREAMS
+    for name, fn in STREAMS.items():
+        QUERIES[name] = lambda spark, sf_dir, _fn=fn: _fn(apply_conf(spark), sf_dir)
+        if name in OS.SQL:
+            ORACLE[name] = with_fixtures(OS.SQL[name], star=False)
+
+
 _register_questions()
 _register_reports()
 _register_lessons()
 _register_views()
 _register_analysis()
 _register_checks()
+_register_streams()
