@@ -91,6 +91,13 @@ def _register_streams():
             ORACLE[name] = with_fixtures(OS.SQL[name], star=False)
 
 
+def _register_idioms():
+    from oracle import idioms as OI
+    from .plans.idioms import IDIOMS
+    for name, fn in IDIOMS.items():
+        register(name, fn, OI.SQL.get(name))
+
+
 _register_questions()
 _register_reports()
 _register_lessons()
@@ -98,3 +105,4 @@ _register_views()
 _register_analysis()
 _register_checks()
 _register_streams()
+_register_idioms()
