@@ -1,17 +1,18 @@
 """Parent-pointer hierarchies: flattened trees, closures and ancestor joins.
 
 ``WITH RECURSIVE`` in Spark stops at 100 levels / 1M rows, so the walks here
-are DataFrame loops: one equi join per level (``flatten_tree``) or per
-pointer-doubling round (``closure``, log2(depth) rounds). Closure rounds are
-checkpointed to the shared checkpoint folder so lineage stays short and a
-lost executor only recomputes one round; tree levels are persisted and
-checkpointed every 8th level. Nodes that never reach a root
+are DataFrame loops of equi joins: upward parent walks chained in one plan
+with a single check per round (``flatten_tree``), or pointer doubling
+(``closure``, log2(depth) rounds). Rounds are checkpointed to the shared
+checkpoint folder so lineage stays short and a lost executor only recomputes
+one round. Nodes that never reach a root
 (cycles, dangling parents) are dropped, as a root-down recursion drops them.
 """
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
+import math
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -19,40 +20,51 @@ from ..session import ensure_checkpoint_dir
 
 
 def flatten_tree(df: DataFrame, id: str, parent: str, label: str, levels: int = 4,
-                 max_depth: int = 100, extra: list[str] | None = None) -> DataFrame:
-    """One row per reachable node: id, parent, label, depth (roots = 1), path (labels),
-    path_ids, path_text (' > '), level1..levelN, is_leaf; plus ``extra`` columns."""
+                 max_depth: int = 1024, extra: list[str] | None = None, guess: int = 4) -> DataFrame:
+    """One row per node reachable from a root: id, parent, label, depth (roots = 1), path
+    (labels root..node), path_ids, path_text (' > '), level1..levelN, is_leaf; plus ``extra``.
+
+    Every node walks up its parent pointers: ``guess`` equi joins with the node table
+    are chained in one plan, then one small action checks whether any node is still
+    below an unresolved ancestor; if so the walk continues (doubling the step count),
+    checkpointing between rounds. A shallow tree costs one plan and one check instead of
+    one job per level. Nodes under a missing parent or on a cycle are dropped.
+    """
     extra = list(extra or [])
-    ensure_checkpoint_dir(df.sparkSession)
+    spark = df.sparkSession
+    ensure_checkpoint_dir(spark)
     nodes = df.select(F.col(id).alias("_id"), F.col(parent).alias("_parent"), F.col(label).alias("_label"),
                       *[F.col(c) for c in extra])
-    frontier = nodes.where(F.col("_parent").isNull()).select(
-        "*", F.lit(1).alias("depth"), F.array("_label").alias("path"), F.array("_id").alias("path_ids"))
-    edges = nodes.where(F.col("_parent").isNotNull())
-    out = frontier
-    held = []
-    for level in range(max_depth - 1):
-        nxt = edges.alias("c").join(frontier.select("_id", "depth", "path", "path_ids").alias("p"),
-                                    F.col("c._parent") == F.col("p._id")).select(
-            "c.*", (F.col("p.depth") + 1).alias("depth"),
-            F.concat(F.col("p.path"), F.array(F.col("c._label"))).alias("path"),
-            F.concat(F.col("p.path_ids"), F.array(F.col("c._id"))).alias("path_ids"))
-        # each level is materialized once; every 8th level also cuts the lineage
-        if level % 8 == 7:
-            nxt = nxt.checkpoint(eager=True)
-        else:
-            nxt = nxt.persist(StorageLevel.MEMORY_AND_DISK)
-            held.append(nxt)
-        if nxt.isEmpty():
+    look = nodes.select(F.col("_id").alias("_aid"), F.col("_parent").alias("_apar"), F.col("_label").alias("_alab"))
+    cur = nodes.select("_id", F.array(F.struct(F.col("_id").alias("i"), F.col("_label").alias("l"))).alias("_up"),
+                       F.col("_parent").alias("_next"), F.lit(False).alias("_broken"))
+    done_steps, steps = 0, guess
+    while True:
+        for _ in range(steps):
+            j = cur.join(look, cur["_next"] == look["_aid"], "left")
+            step_ok = F.col("_aid").isNotNull()
+            cur = j.select(
+                "_id",
+                F.when(step_ok, F.concat("_up", F.array(F.struct(F.col("_aid").alias("i"), F.col("_alab").alias("l")))))
+                .otherwise(F.col("_up")).alias("_up"),
+                F.when(step_ok, F.col("_apar")).otherwise(F.lit(None)).alias("_next"),
+                (F.col("_broken") | (F.col("_next").isNotNull() & ~step_ok)).alias("_broken"))
+        done_steps += steps
+        if cur.where(F.col("_next").isNotNull()).isEmpty() or done_steps >= max_depth:
             break
-        out = out.unionByName(nxt)
-        frontier = nxt
+        cur = cur.checkpoint(eager=True)
+        steps = min(done_steps, max_depth - done_steps)
+    walked = cur.where(~F.col("_broken") & F.col("_next").isNull()).select(
+        "_id", F.reverse("_up").alias("_path"))
+    out = nodes.join(walked, "_id")
     parents = nodes.where(F.col("_parent").isNotNull()).select(F.col("_parent").alias("_pp")).distinct()
     flagged = out.join(parents, out["_id"] == parents["_pp"], "left")
+    path = F.col("_path.l")
     return flagged.select(
         F.col("_id").alias(id), F.col("_parent").alias(parent), F.col("_label").alias(label), *extra,
-        "depth", "path", "path_ids", F.array_join("path", " > ").alias("path_text"),
-        *[F.get(F.col("path"), i).alias(f"level{i + 1}") for i in range(levels)],
+        F.size("_path").alias("depth"), path.alias("path"), F.col("_path.i").alias("path_ids"),
+        F.array_join(path, " > ").alias("path_text"),
+        *[F.get(path, i).alias(f"level{i + 1}") for i in range(levels)],
         F.col("_pp").isNull().alias("is_leaf"))
 
 
@@ -65,7 +77,11 @@ def closure(df: DataFrame, id: str, parent: str, max_rounds: int = 64) -> DataFr
         F.when(F.col(parent).isNull(), 0).otherwise(1).cast("bigint").alias("dist"),
         F.col(parent).isNull().alias("done"),
     ).checkpoint(eager=True)
-    for _ in range(max_rounds):
+    # a chain of n nodes resolves in ceil(log2 n) doublings; anything still open after
+    # that is on or under a cycle and is dropped (bounded loop, no overflow of dist)
+    n = state.count()
+    rounds = min(max_rounds, max(1, math.ceil(math.log2(n + 1))) + 1)
+    for _ in range(rounds):
         todo = state.where(~F.col("done"))
         if todo.isEmpty():
             break

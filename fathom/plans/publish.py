@@ -20,7 +20,9 @@ import datetime as dt
 import os
 import time
 
-from pyspark.sql import DataFrame, SparkSession
+from concurrent.futures import ThreadPoolExecutor
+
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.fixtures import STORE_TABLES, Store
@@ -28,6 +30,21 @@ from .warehouse import STAR_TABLES, Warehouse
 
 POINTER = "_CURRENT"
 
+# star tables in dependency waves: every table of a wave only reads earlier waves
+STAR_WAVES = [
+    ["dim_date", "dim_category", "dim_employee", "dim_warehouse", "dim_promotion", "fact_reviews", "fact_inventory"],
+    ["dim_product", "dim_customer", "fact_orders"],
+    ["fact_sales"],
+    ["fact_returns", "product_pairs", "product_stats"],
+]
+
+
+def _run_parallel(jobs, step, threads: int = 8):
+    """Run independent write steps from a few driver threads (Spark runs their jobs side by side)."""
+    with ThreadPoolExecutor(max_workers=min(threads, len(jobs))) as ex:
+        for f in [ex.submit(step, *j) for j in jobs]:
+            f.result()
+
 
 def _local(path: str) -> str:
     return path[len("file:"):] if path.startswith("file:") else path
@@ -85,32 +102,41 @@ def build_full(spark: SparkSession, sf_dir: str | Store, root: str, max_order_id
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     steps = []
 
-    def step(label, df, path, partition_by=None):
+    def step(label, make, path, partition_by=None):
         t0 = time.time()
-        _write(df, path, partition_by)
-        rows = spark.read.parquet(path).count()
-        steps.append((label, rows, round(time.time() - t0, 3)))
+        obs = Observation(label)
+        _write(make().observe(obs, F.count(F.lit(1)).alias("rows")), path, partition_by)
+        steps.append((label, int(obs.get["rows"]), round(time.time() - t0, 3)))
+
+    def raw_job(name):
+        def make():
+            df = wh.raw(name)
+            return _clustered(df, n, ["placed_at"], ["placed_at"]) if name == "orders" else df
+        return (f"raw.{name}", make, f"{vdir}/raw/{name}", None)
 
-    for name in STORE_TABLES:
-        df = wh.raw(name)
-        if name in ("orders",):
-            df = _clustered(df, n, ["placed_at"], ["placed_at"])
-        step(f"raw.{name}", df, f"{vdir}/raw/{name}")
-    step("raw.fx_rates_daily", wh.fx_rates_daily, f"{vdir}/raw/fx_rates_daily")
+    # independent tables are written concurrently: small ones cost job overhead, not work
+    _run_parallel([raw_job(t) for t in STORE_TABLES]
+                  + [("raw.fx_rates_daily", lambda: wh.fx_rates_daily, f"{vdir}/raw/fx_rates_daily", None)], step)
 
     # the rest of the build reads the written raw layer, not the derivation again
     pub = PublishedWarehouse(spark, vdir, raw_only=True)
-    for name in STAR_TABLES:
-        df = pub.table(name)
-        parts = None
-        if name == "fact_sales":
-            df = _clustered(df.withColumn("year", F.year("order_date")).withColumn("month", F.month("order_date")),
-                            n, ["order_date"], ["placed_at", "order_id", "line_no"])
-            parts = ["year", "month"]
-        elif name == "fact_orders":
-            df = _clustered(df, n, ["order_date"], ["placed_at", "order_id"])
-        step(f"dw.{name}", df, f"{vdir}/dw/{name}", parts)
-        pub.mark_written(name)
+
+    def dw_job(name):
+        def make():
+            df = pub.table(name)
+            if name == "fact_sales":
+                return _clustered(df.withColumn("year", F.year("order_date")).withColumn("month", F.month("order_date")),
+                                  n, ["order_date"], ["placed_at", "order_id", "line_no"])
+            if name == "fact_orders":
+                return _clustered(df, n, ["order_date"], ["placed_at", "order_id"])
+            return df
+        parts = ["year", "month"] if name == "fact_sales" else None
+        return (f"dw.{name}", make, f"{vdir}/dw/{name}", parts)
+
+    for wave in STAR_WAVES:
+        _run_parallel([dw_job(t) for t in wave], step)
+        for t in wave:
+            pub.mark_written(t)
 
     finished = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
     meta = spark.createDataFrame(steps, "label string, rows long, seconds double")
