@@ -137,4 +137,4 @@ def test_text_helpers(spark):
                   trigram_similarity(F.lit("word"), F.lit("two words")).alias("sim")).collect()
     assert [x.slug for x in r] == ["home-and-kitchen", "muller", "a-b"]
     assert [x.c for x in r] == [2299, 346, 500]
-    assert r[0].sim == pytest.approx(4 / 8)
+    assert r[0].sim == pytest.approx(4 / 11)
