@@ -194,3 +194,36 @@ SELECT p.id, 'SKU-' || lpad(CAST(p.id AS VARCHAR), 8, '0') AS sku, p.name, b.nam
        row_number() OVER (ORDER BY p.name, p.id) AS position,
        (row_number() OVER (ORDER BY p.name, p.id) - 1) // 24 + 1 AS page
 FROM st_products p JOIN st_brands b ON b.id = p.brand_id"""
+
+SQL["v18_price_carts"] = f"""
+WITH q_carts AS (SELECT id AS cart_id, id AS customer_id FROM st_customers WHERE id % 10 = 0),
+q_items AS (
+    SELECT DISTINCT c.cart_id, unnest([1 + (7 * c.cart_id) % (SELECT count(*) FROM part),
+                                       1 + (13 * c.cart_id + 1) % (SELECT count(*) FROM part)]) AS product_id,
+           CAST(1 + c.cart_id % 3 AS INTEGER) AS quantity
+    FROM q_carts c
+), {_PROMO},
+q_lines AS (
+    SELECT i.cart_id, cu.segment, CAST(fx.units_per_usd AS DOUBLE) AS fx, CAST(co.tax_rate AS DOUBLE) AS tax_rate,
+           sign(CAST(p.price_usd * 100 AS DOUBLE) * CAST(fx.units_per_usd AS DOUBLE))
+             * floor(abs(CAST(p.price_usd * 100 AS DOUBLE) * CAST(fx.units_per_usd AS DOUBLE)) + 0.5) AS unit,
+           i.quantity, CAST(b.discount_pct AS DOUBLE) AS pct
+    FROM q_items i JOIN q_carts c ON c.cart_id = i.cart_id JOIN st_customers cu ON cu.id = c.customer_id
+    JOIN st_countries co ON co.code = cu.country_code
+    JOIN st_fx_rates_daily fx ON fx.currency_code = co.currency_code AND fx.day = DATE '1997-01-15'
+    JOIN st_products p ON p.id = i.product_id
+    LEFT JOIN q_best b ON b.product_id = i.product_id AND b.rn = 1
+), q_cart AS (
+    SELECT cart_id, segment, fx, tax_rate, sum(unit * quantity) AS subtotal,
+           sum(CASE WHEN pct IS NOT NULL THEN sign(unit * quantity * pct / 100) * floor(abs(unit * quantity * pct / 100) + 0.5)
+                    ELSE 0 END) AS discount
+    FROM q_lines GROUP BY cart_id, segment, fx, tax_rate
+), q_priced AS (
+    SELECT cart_id, CAST(subtotal AS BIGINT) AS subtotal_cents, CAST(discount AS BIGINT) AS discount_cents,
+           CAST(CASE WHEN segment <> 'vip' AND (subtotal - discount) / fx < 5000
+                     THEN sign(599 * fx) * floor(abs(599 * fx) + 0.5) ELSE 0 END AS BIGINT) AS shipping_cents,
+           CAST(sign((subtotal - discount) * tax_rate) * floor(abs((subtotal - discount) * tax_rate) + 0.5) AS BIGINT)
+               AS tax_cents
+    FROM q_cart
+)
+SELECT *, subtotal_cents - discount_cents + shipping_cents + tax_cents AS total_cents FROM q_priced"""
