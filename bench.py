@@ -14,14 +14,13 @@ import json
 import os
 import statistics
 import sys
-import tempfile
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from fathom.plans import questions as Q  # noqa: E402
 from fathom.plans.publish import PublishedWarehouse, build_full  # noqa: E402
-from fathom.session import build_session  # noqa: E402
+from fathom.session import build_session, shared_scratch  # noqa: E402
 
 
 def run(df_fn) -> float:
@@ -37,7 +36,7 @@ def main():
     runs = int(os.environ.get("BENCH_RUNS", "3"))
     only = [s for s in os.environ.get("BENCH_ONLY", "").split(",") if s]
     spark = build_session(cpus=cpus, app="fathom-bench")
-    scratch = tempfile.mkdtemp(prefix="fathom-bench-", dir=os.environ.get("BENCH_SCRATCH", "/tmp"))
+    scratch = os.environ.get("BENCH_SCRATCH") or shared_scratch(spark, "bench")
 
     times = {}
     t0 = time.perf_counter()

@@ -8,13 +8,13 @@ with distributed ranks (see ``operators.stats``).
 from __future__ import annotations
 
 import os
-import tempfile
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.numeric import dround
 from ..operators.stats import latency_stats, log_histogram, lower_median_rows, run_medians
+from ..session import shared_scratch
 from .warehouse import Warehouse
 
 KEYS = ["scenario", "operation"]
@@ -60,7 +60,7 @@ def k10_run_analysis(wh: Warehouse, scratch: str | None = None) -> DataFrame:
     """Write the runs as CSV (header), read them back with a declared schema, then medians per
     (scenario, operation) and the speed-up of every operation against 'checkout' (A28)."""
     spark = wh.spark
-    folder = scratch or tempfile.mkdtemp(prefix="fathom-runs-", dir=os.environ.get("FATHOM_SCRATCH", "/tmp"))
+    folder = scratch or shared_scratch(spark, "runs")
     path = os.path.join(folder, "runs_csv")
     _samples(wh).select(*KEYS, "event_id", "latency_ms").write.mode("overwrite").option("header", True).csv(path)
     runs = spark.read.schema("scenario string, operation string, event_id long, latency_ms double") \

@@ -46,32 +46,53 @@ def _run_parallel(jobs, step, threads: int = 8):
             f.result()
 
 
-def _local(path: str) -> str:
-    return path[len("file:"):] if path.startswith("file:") else path
+def _fs(path: str):
+    """Hadoop FileSystem + Path for ``path`` (local disk, HDFS or an object store alike)."""
+    spark = SparkSession.getActiveSession()
+    hp = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return spark, hp.getFileSystem(spark._jsc.hadoopConfiguration()), hp
+
+
+def _exists(path: str) -> bool:
+    _, fs, hp = _fs(path)
+    return bool(fs.exists(hp))
 
 
 def current(root: str) -> str | None:
-    p = os.path.join(_local(root), POINTER)
-    if not os.path.exists(p):
+    spark, fs, hp = _fs(f"{root.rstrip('/')}/{POINTER}")
+    if not fs.exists(hp):
         return None
-    with open(p) as f:
-        return os.path.join(root, f.read().strip())
+    jio = spark._jvm.java.io
+    reader = jio.BufferedReader(jio.InputStreamReader(fs.open(hp), "UTF-8"))
+    try:
+        version = reader.readLine().strip()
+    finally:
+        reader.close()
+    return f"{root.rstrip('/')}/{version}"
 
 
 def next_version(root: str) -> str:
-    base = _local(root)
-    os.makedirs(base, exist_ok=True)
-    nums = [int(d[2:]) for d in os.listdir(base) if d.startswith("v=") and d[2:].isdigit()]
+    _, fs, hp = _fs(root)
+    fs.mkdirs(hp)
+    names = [st.getPath().getName() for st in fs.listStatus(hp)]
+    nums = [int(d[2:]) for d in names if d.startswith("v=") and d[2:].isdigit()]
     return f"v={max(nums, default=0) + 1:06d}"
 
 
 def publish(root: str, version: str) -> None:
-    """Atomically point readers at ``version`` (rename of a small text file)."""
-    base = _local(root)
-    tmp = os.path.join(base, POINTER + ".tmp")
-    with open(tmp, "w") as f:
-        f.write(version)
-    os.replace(tmp, os.path.join(base, POINTER))
+    """Atomically point readers at ``version``: write a small temp file, then rename it over the pointer."""
+    spark, fs, tmp = _fs(f"{root.rstrip('/')}/{POINTER}.tmp")
+    out = fs.create(tmp, True)
+    try:
+        out.write(bytearray(version.encode("utf-8")))
+    finally:
+        out.close()
+    hfs = spark._jvm.org.apache.hadoop.fs
+    dst = hfs.Path(f"{root.rstrip('/')}/{POINTER}")
+    fc = hfs.FileContext.getFileContext(dst.toUri(), spark._jsc.hadoopConfiguration())
+    opts = spark.sparkContext._gateway.new_array(hfs.Options.Rename, 1)
+    opts[0] = hfs.Options.Rename.OVERWRITE
+    fc.rename(fs.makeQualified(tmp), fs.makeQualified(dst), opts)
 
 
 def _write(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:
@@ -179,7 +200,7 @@ class PublishedWarehouse(Warehouse):
     @property
     def max_order_id(self) -> int:  # type: ignore[override]
         info = f"{self.vdir}/meta/etl_info"
-        if os.path.exists(_local(info)):
+        if _exists(info):
             return int(self.spark.read.parquet(info).first()["max_order_id"])
         return int(self.raw("orders").agg(F.max("id")).first()[0])
 

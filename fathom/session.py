@@ -70,3 +70,13 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
             current = tempfile.mkdtemp(prefix="fathom-ckpt-", dir="/tmp")
         sc.setCheckpointDir(current)
     return current
+
+
+def shared_scratch(spark: SparkSession, name: str) -> str:
+    """A fresh folder for intermediate writes, inside the shared checkpoint folder.
+
+    Executors on any machine can read it back, unlike a machine-local temporary folder.
+    """
+    import uuid
+    base = ensure_checkpoint_dir(spark).rstrip("/")
+    return f"{base}/{name}-{uuid.uuid4().hex}"
