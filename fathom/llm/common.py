@@ -22,11 +22,23 @@ def words_of(text: Column) -> Column:
     return F.filter(F.split(text, WORD_BREAK), lambda w: w != F.lit(""))
 
 
+#: Spark's own setting: shuffle files go as soon as the statement that wrote them has ended.
+_SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` to the shared scratch folder and read it back: cuts lineage, survives lost executors."""
+    """Write ``df`` to the shared scratch folder and read it back: cuts lineage, survives lost executors.
+
+    The write's shuffle files are no longer needed once it has committed, so they are let go at once.
+    """
     spark = df.sparkSession
     path = shared_scratch(spark, name)
-    df.write.option("compression", "zstd").parquet(path)
+    before = spark.conf.get(_SHUFFLE_CLEANUP, "false")
+    spark.conf.set(_SHUFFLE_CLEANUP, "true")
+    try:
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        spark.conf.set(_SHUFFLE_CLEANUP, before)
     return spark.read.schema(df.schema).parquet(path)
 
 
