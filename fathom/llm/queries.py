@@ -10,22 +10,80 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from . import crf, toxicity
 from .common import table
+from .labelled import held_out
+from .neardup import near_duplicates
 from .packing import pack
+from .substring import drop_repeats
 from .token_index import encode_and_read
 
 
+QUALITY_THRESHOLD = 0.3
+TOXIC_THRESHOLD = 0.5
+
+
 def op1_token_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_and_read(table(spark, sf_dir, "documents", "doc_id", "text"))
 
 
+def _scored(scored: DataFrame, score: str, threshold: float) -> DataFrame:
+    return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), F.col(score).alias("score"),
+                         (F.col(score) >= threshold).cast("int").alias("predicted"))
+
+
+def op2_crf_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    model = crf.train(docs, table(spark, sf_dir, "labels", "doc_id", "quality"))
+    return _scored(crf.score(docs, model), "quality_score", QUALITY_THRESHOLD)
+
+
+def op5_ftrl_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    model = toxicity.train(docs, table(spark, sf_dir, "labels", "doc_id", "toxic"))
+    return _scored(toxicity.score(docs, model), "toxic_score", TOXIC_THRESHOLD)
+
+
 def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents", "doc_id", "text"))
 
 
+def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return drop_repeats(table(spark, sf_dir, "documents", "doc_id", "text")).select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
+def op9_simhash_bktree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = near_duplicates(table(spark, sf_dir, "documents", "doc_id", "text"))
+    return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_token_index, op3_best_fit_packing)
+    f.__name__: f for f in (op1_token_index, op2_crf_quality, op3_best_fit_packing, op4_substring_dedup, op5_ftrl_toxicity, op9_simhash_bktree)
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op4_substring_dedup": r"""
+        WITH words AS (
+            SELECT doc_id, list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda w: w <> '') AS w FROM documents
+        ), windows AS (
+            SELECT doc_id, i, array_to_string(w[i:i + 12], ' ') AS body
+            FROM (SELECT doc_id, w, unnest(range(1, len(w) - 11)) AS i FROM words WHERE len(w) >= 13)
+        ), earliest AS (
+            SELECT body, min(doc_id) AS least FROM windows GROUP BY body
+        ), gone AS (
+            SELECT DISTINCT doc_id, unnest(range(i, i + 13)) AS pos
+            FROM windows JOIN earliest USING (body) WHERE doc_id > least
+        ), marks AS (
+            SELECT doc_id, list(pos) AS marked FROM gone GROUP BY doc_id
+        ), judged AS (
+            SELECT doc_id, w, coalesce(marked, []) AS marked,
+                   list_filter(list_zip(w, range(1, len(w) + 1)), lambda p: NOT list_contains(coalesce(marked, []), p[2])) AS pairs
+            FROM words LEFT JOIN marks USING (doc_id)
+        )
+        SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(marked) AS BIGINT) AS n_removed,
+               sha256(array_to_string(list_transform(pairs, lambda p: p[1]), ' ')) AS kept_sha256
+        FROM judged
+    """,
+}
