@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -17,6 +19,27 @@ def whole_text(col: str | Column = "text") -> Column:
     return F.coalesce(F.col(col) if isinstance(col, str) else col, F.lit(""))
 
 
+def fresh(df: DataFrame, *names: str) -> list[str]:
+    """Each name, or the name with underscores before it if ``df`` has such a column."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name = f"_{name}"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
+def text_hash(col: str = "text") -> Column:
+    """64 bits that, with doc_id, tell rows apart; null reads as empty."""
+    return F.xxhash64(whole_text(col))
+
+
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of ``value``, which is evaluated once a row, however often ``body`` names it (inside lambdas too)."""
+    return F.get(F.transform(F.array(value), body), 0)
+
+
 def words_of(text: Column) -> Column:
     """Array of words of a text; an empty or blank text has none."""
     return F.filter(F.split(text, WORD_BREAK), lambda w: w != F.lit(""))

@@ -26,6 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import fresh
 from .labelled import training_rows
 
 SAMPLE_ROWS = 6000
@@ -177,14 +178,15 @@ def train(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) ->
     return LineCRF().fit(bins, per_text, y)
 
 
-def score(docs: DataFrame, model: LineCRF) -> DataFrame:
-    """All columns of ``docs`` and ``quality_score`` (replacing one of that name)."""
-    kept = [c for c in docs.columns if c != "quality_score"]
-    fed = docs.select(*kept, F.coalesce(F.col("text"), F.lit("")).alias("_text"))
+def score(docs: DataFrame, model: LineCRF, name: str = "quality_score") -> DataFrame:
+    """All columns of ``docs`` and the score (replacing a column of that name)."""
+    kept = [c for c in docs.columns if c.lower() != name]
+    text, = fresh(docs, "text_")
+    fed = docs.select(*kept, F.coalesce(F.col("text"), F.lit("")).alias(text))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             got = model.quality(batch.column(len(kept)).to_pylist())
-            yield pa.RecordBatch.from_arrays([*[batch.column(i) for i in range(len(kept))], pa.array(got, pa.float64())], names=[*kept, "quality_score"])
+            yield pa.RecordBatch.from_arrays([*[batch.column(i) for i in range(len(kept))], pa.array(got, pa.float64())], names=[*kept, name])
 
-    return fed.mapInArrow(run, fed.select(*kept, F.lit(0.0).alias("quality_score")).schema)
+    return fed.mapInArrow(run, fed.select(*kept, F.lit(0.0).alias(name)).schema)

@@ -12,8 +12,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import crf, toxicity
-from .common import table
+from . import chat, crf, decontam, iblt, licenses, toxicity
+from .common import materialize, table
 from .labelled import held_out
 from .neardup import near_duplicates
 from .packing import pack
@@ -54,15 +54,101 @@ def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return drop_repeats(table(spark, sf_dir, "documents", "doc_id", "text")).select("doc_id", "n_words", "n_removed", "kept_sha256")
 
 
+def op6_iblt_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return iblt.fingerprint_edits(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
+def op7_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A row per document and benchmark item whose passage it holds."""
+    found = decontam.contaminated(table(spark, sf_dir, "documents", "doc_id", "text"), table(spark, sf_dir, "benchmark", "item_id", "text"))
+    return found.drop("th")
+
+
+def op8_license_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A row per document and licence rule that matches."""
+    return licenses.scan(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 def op9_simhash_bktree(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = near_duplicates(table(spark, sf_dir, "documents", "doc_id", "text"))
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op10_chat_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text")
+    control = "</s>[INST] ok [/INST]"
+    more = spark.sql(f"SELECT -1L AS conv_id, n AS turn, r AS role, '{control}' AS text FROM VALUES (0L, 'user'), (1L, 'assistant') AS v(n, r)")
+    return chat.digests(materialize(chat.format_windows(turns.unionByName(more)), "chat"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_token_index, op2_crf_quality, op3_best_fit_packing, op4_substring_dedup, op5_ftrl_toxicity, op9_simhash_bktree)
+    f.__name__: f for f in (op1_token_index, op2_crf_quality, op3_best_fit_packing, op4_substring_dedup, op5_ftrl_toxicity,
+                              op6_iblt_fingerprints, op7_benchmark_decontamination, op8_license_rules, op9_simhash_bktree,
+                              op10_chat_windows)
 }
 
+def _license_sql() -> str:
+    """Sentences, identifiers and rules (longest first) in DuckDB SQL."""
+    known = ", ".join(f"('{licenses.normal(text)}', '{name}')" for name, text in licenses.SENTENCES.items())
+    ordered = sorted(licenses.RULES, key=lambda r: (-len(r[2]), r[0]))
+    steps, counted = [], []
+    for k, (rule, licence, ids) in enumerate(ordered):
+        pattern = "".join(f"<{i}>" for i in ids)
+        steps.append(f"step{k + 1} AS (SELECT *, replace(seq{k}, '{pattern}', '|') AS seq{k + 1} FROM step{k})")
+        counted.append(f"SELECT doc_id, '{licence}' AS license_id, '{rule}' AS rule, CAST((length(seq{k}) - length(replace(seq{k}, '{pattern}', ''))) "
+                       f"// {len(pattern)} AS INTEGER) AS n_matches, n_sentences FROM step{len(ordered)}")
+    return f"""
+        WITH known(body, id) AS (VALUES {known}),
+        cut AS (SELECT doc_id, unnest(string_split(replace(coalesce(text, ''), '. ', '.' || chr(10)), chr(10))) AS s,
+                       generate_subscripts(string_split(replace(coalesce(text, ''), '. ', '.' || chr(10)), chr(10)), 1) AS pos FROM documents),
+        normed AS (SELECT doc_id, pos, trim(regexp_replace(lower(s), '[^a-z0-9]+', ' ', 'g')) AS body FROM cut),
+        step0 AS (SELECT doc_id, string_agg('<' || id || '>', '' ORDER BY pos) AS seq0, CAST(count(*) AS INTEGER) AS n_sentences
+                  FROM normed JOIN known USING (body) GROUP BY doc_id),
+        {", ".join(steps)}
+        SELECT * FROM ({" UNION ALL ".join(counted)}) WHERE n_matches > 0
+    """
+
+
+def _chat_sql() -> str:
+    """The same digests from the table itself; the formatted length from the windows' members."""
+    body = r"replace(text, '\', '\\')"
+    for c in chat.CONTROLS:
+        body = f"replace({body}, '{c}', '{c[0]}' || chr(92) || '{c[1:]}')"
+    body = body.replace(r"'\\'", "chr(92) || chr(92)").replace(r"'\'", "chr(92)")
+    named = body.replace("(text,", "(role,", 1)
+    marks = " ".join(f"WHEN '{r}' THEN {len(a) + len(b)}" for r, (a, b) in chat.MARKS.items())
+    return f"""
+        WITH given AS (
+            SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+            UNION ALL VALUES (-1, 0, 'user', '</s>[INST] ok [/INST]'), (-1, 1, 'assistant', '</s>[INST] ok [/INST]')
+        ), sized AS (
+            SELECT *, 1 + len(list_filter(string_split_regex(text, '[\\x20\\x09-\\x0D]+'), lambda w: w <> '')) AS tokens,
+                   length({body}) + CASE role {marks} ELSE length({named}) + {len("<<ROLE>><<TEXT>><</ROLE>>")} END AS written,
+                   row_number() OVER (PARTITION BY conv_id ORDER BY turn, role, text) AS no
+            FROM given
+        ), placed AS (
+            SELECT *, coalesce(sum(tokens) OVER (PARTITION BY conv_id ORDER BY no ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS at_token
+            FROM sized
+        ), turns AS (
+            SELECT *, CAST(floor(at_token / {chat.BUDGET}) AS BIGINT) AS win,
+                   min(CASE WHEN role = 'system' THEN no END) OVER (PARTITION BY conv_id) AS system_no FROM placed
+        ), windows AS (
+            SELECT conv_id, win, min(at_token) AS first_token FROM turns GROUP BY conv_id, win
+        ), lengths AS (
+            SELECT w.conv_id, CAST(sum(t.written) AS BIGINT) AS formatted_chars
+            FROM windows w JOIN turns t ON t.conv_id = w.conv_id AND (t.win = w.win OR (t.win < w.win AND
+                 (t.at_token >= w.first_token - {chat.HISTORY} OR t.no = t.system_no)))
+            GROUP BY w.conv_id
+        ), said AS (
+            SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY no)) AS turns_sha256,
+                   coalesce(string_agg(CASE WHEN role = 'assistant' THEN text END, '' ORDER BY no), '') AS goals
+            FROM turns GROUP BY conv_id
+        )
+        SELECT conv_id, n_turns, turns_sha256, CAST(length(goals) AS BIGINT) AS loss_chars, sha256(goals) AS loss_sha256, formatted_chars
+        FROM said JOIN lengths USING (conv_id)
+    """
+
+
 ORACLE: dict[str, str] = {
     "op4_substring_dedup": r"""
         WITH words AS (
@@ -86,4 +172,6 @@ ORACLE: dict[str, str] = {
                sha256(array_to_string(list_transform(pairs, lambda p: p[1]), ' ')) AS kept_sha256
         FROM judged
     """,
+    "op8_license_rules": _license_sql(),
+    "op10_chat_windows": _chat_sql(),
 }
