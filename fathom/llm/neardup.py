@@ -28,10 +28,10 @@ from itertools import combinations, repeat
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import materialize, whole_text
+from .common import fresh, materialize, text_hash, whole_text
 from .components import components
 
 SHINGLE = 4
@@ -60,15 +60,16 @@ def simhash(text: str | None, shingle: int = SHINGLE) -> int:
 
 
 def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """doc_id, fp (the 64 bits as a signed long)."""
-    schema = pa.schema([("doc_id", pa.int64()), ("fp", pa.int64())])
+    """doc_id, th (hash of the text), fp (the 64 bits as a signed long)."""
+    schema = pa.schema([("doc_id", pa.int64()), ("th", pa.int64()), ("fp", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            fps = np.array([simhash(t.as_py(), shingle) for t in batch.column(1)], np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps, pa.int64())], schema=schema)
+            fps = np.array([simhash(t.as_py(), shingle) for t in batch.column(2)], np.uint64).view(np.int64)
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(fps, pa.int64())], schema=schema)
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), whole_text().alias("text")).mapInArrow(run, "doc_id long, fp long")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_hash().alias("th"), whole_text().alias("text"))
+    return rows.mapInArrow(run, "doc_id long, th long, fp long")
 
 
 def masks(radius: int, agree: int) -> list[int]:
@@ -187,12 +188,33 @@ def links(distinct: DataFrame, radius: int = RADIUS, tree_rows: int = TREE_ROWS,
         _links(radius), "a long, b long").distinct()
 
 
-def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS, tree_rows: int = TREE_ROWS) -> DataFrame:
-    """doc_id, fp, component_id for every row of ``docs``."""
+def _grouped(docs: DataFrame, shingle: int, radius: int, tree_rows: int) -> tuple[DataFrame, DataFrame]:
+    """Marked rows (doc_id, th, fp), and fp, head (least doc_id), root (one per component)."""
     marked = materialize(fingerprints(docs, shingle), "simhash")
     heads = materialize(marked.groupBy("fp").agg(F.min("doc_id").alias("head")), "simhash-heads")
     groups = components(links(heads.select("fp"), radius, tree_rows))
-    named = heads.join(groups, heads["fp"] == groups["node"], "left").select(
-        "fp", "head", F.coalesce("root", "fp").alias("root"))
+    return marked, heads.join(groups, heads["fp"] == groups["node"], "left").select("fp", "head", F.coalesce("root", "fp").alias("root"))
+
+
+def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS, tree_rows: int = TREE_ROWS) -> DataFrame:
+    """doc_id, fp, component_id for every row of ``docs``."""
+    marked, named = _grouped(docs, shingle, radius, tree_rows)
     least = named.groupBy("root").agg(F.min("head").alias("component_id"))
     return marked.join(named.join(least, "root").select("fp", "component_id"), "fp").select("doc_id", "fp", "component_id")
+
+
+def keep_first(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS, tree_rows: int = TREE_ROWS) -> DataFrame:
+    """One row of each component, with all its columns: that of the least doc_id (null last), then of the least text hash."""
+    marked, named = _grouped(docs, shingle, radius, tree_rows)
+    rows = marked.join(named.select("fp", "root"), "fp").groupBy("root", "doc_id", "th").agg(F.count("*").alias("copies"))
+    own, text, copies, n = fresh(docs, "own_", "th_", "copies_", "n_")
+    chosen = rows.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "th", "copies")).alias("r")).select(
+        F.col("r.doc_id").alias(own), F.col("r.th").alias(text), F.col("r.copies").alias(copies))
+    chosen = materialize(chosen, "simhash-kept")
+    found = docs.join(chosen, docs["doc_id"].cast("long").eqNullSafe(F.col(own)) & (text_hash() == F.col(text)))
+    if chosen.where(F.col(copies) > 1).isEmpty():
+        return found.select(*docs.columns)
+    # rows alike in doc_id and text: any one of them
+    first = F.row_number().over(Window.partitionBy(own, text).orderBy(F.lit(0)))
+    again = found.where(F.col(copies) > 1).withColumn(n, first).where(F.col(n) == 1)
+    return found.where(F.col(copies) == 1).select(*docs.columns).union(again.select(*docs.columns))
