@@ -25,14 +25,10 @@ st_fx_rates AS (
     WHERE isodow(rate_date) <= 5
 ),
 st_fx_rates_daily AS (
-    SELECT c.code AS currency_code, d.day,
-           (SELECT f.units_per_usd FROM st_fx_rates f
-             WHERE f.currency_code = c.code AND f.rate_date <= d.day
-             ORDER BY f.rate_date DESC LIMIT 1) AS units_per_usd
-    FROM st_currencies c,
-         (SELECT CAST(unnest(generate_series((SELECT min(rate_date) FROM st_fx_rates),
-                                             (SELECT max(rate_date) FROM st_fx_rates) + INTERVAL 365 DAY,
-                                             INTERVAL 1 DAY)) AS DATE) AS day) d
+    -- each rate holds until the day before its successor, the newest for another year
+    SELECT currency_code, CAST(unnest(range(rate_date, held_until, INTERVAL 1 DAY)) AS DATE) AS day, units_per_usd
+    FROM (SELECT *, coalesce(lead(rate_date) OVER by_currency, rate_date + INTERVAL 366 DAY) AS held_until
+          FROM st_fx_rates WINDOW by_currency AS (PARTITION BY currency_code ORDER BY rate_date))
 ),
 st_employees AS (
     SELECT s.s_suppkey + 1 AS id,
