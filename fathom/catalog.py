@@ -16,12 +16,12 @@ from .plans.warehouse import Warehouse
 from .session import apply_conf
 from .sources.fixtures import Store
 
-_WAREHOUSES: dict[tuple[int, str], Warehouse] = {}
+_WAREHOUSES: dict[tuple[str, str], Warehouse] = {}
 
 
 def warehouse(spark: SparkSession, sf_dir: str) -> Warehouse:
     """One lazily built warehouse per session and data folder (DataFrames are plans, not data)."""
-    key = (id(spark), sf_dir)
+    key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _WAREHOUSES:
         apply_conf(spark)
         _WAREHOUSES[key] = Warehouse(Store(spark, sf_dir))
@@ -81,6 +81,13 @@ def _register_checks():
         register(name, fn, OC.SQL.get(name))
 
 
+def _register_trees():
+    from oracle import trees as OT
+    from .plans.trees import TREES
+    for name, fn in TREES.items():
+        register(name, fn, OT.SQL.get(name))
+
+
 def _register_streams():
     from oracle import streams as OS
     from oracle import with_fixtures
@@ -104,5 +111,6 @@ _register_lessons()
 _register_views()
 _register_analysis()
 _register_checks()
+_register_trees()
 _register_streams()
 _register_idioms()

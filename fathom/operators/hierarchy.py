@@ -16,19 +16,21 @@ import math
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import ensure_checkpoint_dir
+from ..session import ensure_checkpoint_dir, written
 
 
 def flatten_tree(df: DataFrame, id: str, parent: str, label: str, levels: int = 4,
-                 max_depth: int = 1024, extra: list[str] | None = None, guess: int = 4) -> DataFrame:
+                 extra: list[str] | None = None, guess: int = 4) -> DataFrame:
     """One row per node reachable from a root: id, parent, label, depth (roots = 1), path
     (labels root..node), path_ids, path_text (' > '), level1..levelN, is_leaf; plus ``extra``.
 
     Every node walks up its parent pointers: ``guess`` equi joins with the node table
     are chained in one plan, then one small action checks whether any node is still
-    below an unresolved ancestor; if so the walk continues (doubling the step count),
-    checkpointing between rounds. A shallow tree costs one plan and one check instead of
-    one job per level. Nodes under a missing parent or on a cycle are dropped.
+    below an unresolved ancestor; if so, nodes that never reach a root are told apart by
+    pointer doubling (``closure``) and the others walk on (doubling the step count, written
+    to the shared folder between rounds) until all have arrived, however deep the tree is.
+    A shallow tree costs one plan and one check instead of one job per level. Nodes under
+    a missing parent or on a cycle are dropped, as a root-down recursion drops them.
     """
     extra = list(extra or [])
     spark = df.sparkSession
@@ -49,11 +51,14 @@ def flatten_tree(df: DataFrame, id: str, parent: str, label: str, levels: int =
                 .otherwise(F.col("_up")).alias("_up"),
                 F.when(step_ok, F.col("_apar")).otherwise(F.lit(None)).alias("_next"),
                 (F.col("_broken") | (F.col("_next").isNotNull() & ~step_ok)).alias("_broken"))
-        done_steps += steps
-        if cur.where(F.col("_next").isNotNull()).isEmpty() or done_steps >= max_depth:
+        if cur.where(F.col("_next").isNotNull()).isEmpty():
             break
-        cur = cur.checkpoint(eager=True)
-        steps = min(done_steps, max_depth - done_steps)
+        if not done_steps:
+            rooted = closure(nodes, "_id", "_parent").select(F.col("id").alias("_id"))
+            cur = cur.join(rooted, "_id", "left_semi")
+        done_steps += steps
+        cur = written(cur, "tree")
+        steps = min(done_steps, 16)
     walked = cur.where(~F.col("_broken") & F.col("_next").isNull()).select(
         "_id", F.reverse("_up").alias("_path"))
     out = nodes.join(walked, "_id")
@@ -68,7 +73,7 @@ def flatten_tree(df: DataFrame, id: str, parent: str, label: str, levels: int =
         F.col("_pp").isNull().alias("is_leaf"))
 
 
-def closure(df: DataFrame, id: str, parent: str, max_rounds: int = 64) -> DataFrame:
+def closure(df: DataFrame, id: str, parent: str) -> DataFrame:
     """Depth and root of every node by pointer doubling: id, depth (root = 0), root_id."""
     ensure_checkpoint_dir(df.sparkSession)
     state = df.select(
@@ -80,7 +85,7 @@ def closure(df: DataFrame, id: str, parent: str, max_rounds: int = 64) -> DataFr
     # a chain of n nodes resolves in ceil(log2 n) doublings; anything still open after
     # that is on or under a cycle and is dropped (bounded loop, no overflow of dist)
     n = state.count()
-    rounds = min(max_rounds, max(1, math.ceil(math.log2(n + 1))) + 1)
+    rounds = max(1, math.ceil(math.log2(n + 1))) + 1
     for _ in range(rounds):
         todo = state.where(~F.col("done"))
         if todo.isEmpty():
@@ -101,9 +106,3 @@ def ancestor_pairs(flat: DataFrame, id: str, path_ids: str = "path_ids") -> Data
     Exploding the path turns ``list_contains(path, ancestor)`` into an equi join.
     """
     return flat.select(F.explode(path_ids).alias("ancestor_id"), F.col(id))
-
-
-def ancestor_join(df: DataFrame, path_col: str, ancestors: DataFrame, id_col: str) -> DataFrame:
-    """Rows of ``df`` paired with every ``ancestors`` row whose ``id_col`` is in ``df[path_col]``."""
-    ex = df.select("*", F.explode(path_col).alias("_anc"))
-    return ex.join(ancestors, ex["_anc"] == ancestors[id_col]).drop("_anc")

@@ -19,11 +19,12 @@ from __future__ import annotations
 import math
 from functools import reduce
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from ..session import written
+
 _BITS = 33
 
 
@@ -39,9 +40,9 @@ def group_rank(df: DataFrame, groups: list[str], order: list[str | Column], name
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     keys = [F.col(g) for g in groups] + [F.col(o) if isinstance(o, str) else o for o in order]
     ranged = df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
-    t = ranged.withColumn("_mid", F.monotonically_increasing_id())
-    t = t.withColumn("_pid", F.shiftright("_mid", _BITS)).withColumn(
-        "_loc", F.col("_mid").bitwiseAND((1 << _BITS) - 1)).persist(StorageLevel.MEMORY_AND_DISK)
+    # written once, so that counts and rows share one numbering whatever happens to an executor
+    t = written(ranged.withColumn("_mid", F.monotonically_increasing_id()), "ranked")
+    t = t.withColumn("_pid", F.shiftright("_mid", _BITS)).withColumn("_loc", F.col("_mid").bitwiseAND((1 << _BITS) - 1))
     seg = t.groupBy("_pid", *groups).agg(F.count(F.lit(1)).alias("_c"), F.min("_loc").alias("_first"))
     before = Window.partitionBy(*groups).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     seg = seg.select("_pid", *groups, "_first", F.coalesce(F.sum("_c").over(before), F.lit(0)).alias("_off"),

@@ -40,16 +40,19 @@ def a15_latency_stats(wh: Warehouse) -> DataFrame:
     return st.withColumn("per_second", dround("per_second", 6))
 
 
+ROUNDS = 3
+
+
 def a17_pooled_rounds(wh: Warehouse) -> DataFrame:
-    """Two rounds (first and second half of the sample window) pooled, stats recomputed."""
-    s = _samples(wh)
-    mid = s.agg(F.min("ts").alias("a"), F.max("ts").alias("b")).first()
-    half = mid["a"] + (mid["b"] - mid["a"]) / 2
-    r1 = s.where(F.col("ts") < F.lit(half)).withColumn("round", F.lit(1))
-    r2 = s.where(F.col("ts") >= F.lit(half)).withColumn("round", F.lit(2))
-    pooled = r1.unionByName(r2)
-    st = latency_stats(pooled, ["scenario"], "latency_ms", "ok", "ts")
-    return st.select("scenario", "done", "failed", "p50", "p95", "p99", "max")
+    """All rounds of a scenario pooled: percentiles over every sample, throughput over the seconds measured in each round."""
+    s = _samples(wh).withColumn("round", (F.col("event_id") % ROUNDS).cast("int") + 1)
+    micros = F.unix_micros(F.max("ts").cast("timestamp")) - F.unix_micros(F.min("ts").cast("timestamp"))
+    spent = s.groupBy("scenario", "round").agg((micros / 1e6).alias("s")).groupBy("scenario").agg(
+        F.count(F.lit(1)).cast("int").alias("rounds"), F.sum("s").alias("seconds"))
+    st = latency_stats(s, ["scenario"], "latency_ms", "ok", "ts").select("scenario", "done", "failed", "p50", "p95", "p99", "max")
+    j = st.join(spent, "scenario")
+    return j.select("scenario", "rounds", "done", "failed", dround(F.try_divide("done", "seconds"), 6).alias("per_second"),
+                    "p50", "p95", "p99", "max")
 
 
 def a18_log_histogram(wh: Warehouse) -> DataFrame:

@@ -443,4 +443,4 @@ def m2_top_products_macro(wh: Warehouse) -> DataFrame:
     return top_products(wh, None, 5)
 
 
-LESSONS = {k: v for k, v in globals().items() if k[:1] in ("l", "m") and k[1:3].isdigit() and callable(v)}
+LESSONS = {k: v for k, v in globals().items() if (k[:1] == "l" and k[1:3].isdigit() or k[:3] in ("m1_", "m2_")) and callable(v)}

@@ -12,8 +12,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..functions.numeric import dround
-from ..functions.text import trigram_similarity, trigrams, words
+from ..functions.text import trigram_similarity, words
 from ..operators.hierarchy import ancestor_pairs, flatten_tree
+from ..operators.stats import group_rank
 from ..operators.topk import keep_one, top_k
 from .warehouse import Warehouse
 
@@ -104,32 +105,37 @@ def v08_bought_together(wh: Warehouse) -> DataFrame:
                                    F.col("orders_together").cast("bigint").alias("orders_together"))
 
 
-# V-09 category page: a category and all its descendants, with ratings, four sort orders -------------
+# V-09 category page: a category and all its descendants, with brand and ratings, in the store's four sorts -------
 PAGE_SIZE = 24
+CATEGORY_SORTS = {
+    "name": lambda: [F.col("name"), F.col("product_id")],
+    "price": lambda: [F.col("price_usd"), F.col("product_id")],
+    "price_desc": lambda: [F.col("price_usd").desc(), F.col("product_id")],
+    "newest": lambda: [F.col("created_at").desc(), F.col("product_id")],
+}
 
 
 def v09_category_pages(wh: Warehouse) -> DataFrame:
+    """A row per category, active product below it and sort: its position, page number and the total.
+
+    Positions come from distributed ranks (``group_rank`` over category and sort), so a root category that
+    holds a third of the catalog is spread over many tasks."""
     tree = flatten_tree(wh.raw("categories"), "id", "parent_id", "name", levels=0)
     sub = ancestor_pairs(tree, "id").withColumnRenamed("id", "category_id")  # (ancestor, category)
-    p = wh.raw("products").where("is_active").select(F.col("id").alias("product_id"), "name", "price_usd",
+    p = wh.raw("products").where("is_active").select(F.col("id").alias("product_id"), "name", "price_usd", "brand_id", "created_at",
                                                      "category_id")
-    rating = wh.raw("reviews").groupBy("product_id").agg(F.avg("rating").alias("rating"),
-                                                         F.count(F.lit(1)).alias("reviews"))
-    units = wh.product_stats.select("product_id", "units_90d")
-    x = sub.join(p, "category_id").join(rating, "product_id", "left").join(units, "product_id", "left")
-    page = Window.partitionBy("ancestor_id")
-    sorts = {
-        "rank_popular": [F.col("units_90d").desc_nulls_last(), F.col("product_id")],
-        "rank_price_asc": [F.col("price_usd").asc(), F.col("product_id")],
-        "rank_price_desc": [F.col("price_usd").desc(), F.col("product_id")],
-        "rank_rating": [F.col("rating").desc_nulls_last(), F.col("product_id")],
-    }
-    cols = [F.row_number().over(page.orderBy(*o)).cast("bigint").alias(k) for k, o in sorts.items()]
-    out = x.select(F.col("ancestor_id").alias("category_id"), "product_id", "name",
-                   F.col("price_usd").cast("double").alias("price_usd"), dround("rating", 4).alias("rating"),
-                   F.coalesce("reviews", F.lit(0)).cast("bigint").alias("reviews"), *cols,
-                   F.count(F.lit(1)).over(page).cast("bigint").alias("total"))
-    return out.withColumn("page_popular", ((F.col("rank_popular") - 1) / PAGE_SIZE).cast("bigint") + 1)
+    x = sub.join(p, "category_id").select(F.col("ancestor_id").alias("category_id"), "product_id", "name", "price_usd", "brand_id",
+                                          "created_at")
+    places = None
+    for sort, order in CATEGORY_SORTS.items():
+        one = group_rank(x, ["category_id"], order(), "position", "total").withColumn("sort", F.lit(sort))
+        places = one if places is None else places.unionByName(one)
+    rating = wh.raw("reviews").groupBy("product_id").agg(F.avg("rating").alias("rating"), F.count(F.lit(1)).alias("reviews"))
+    b = wh.raw("brands").select(F.col("id").alias("brand_id"), F.col("name").alias("brand"))
+    out = places.join(b, "brand_id").join(rating, "product_id", "left")
+    return out.select("category_id", "sort", "position", ((F.col("position") - 1) / PAGE_SIZE).cast("bigint").alias("page_index"), "total",
+                      "product_id", "name", "brand", F.col("price_usd").cast("double").alias("price_usd"),
+                      dround(F.coalesce("rating", F.lit(0.0)), 4).alias("rating"), F.coalesce("reviews", F.lit(0)).cast("bigint").alias("reviews"))
 
 
 def page(df: DataFrame, order: list, number: int, size: int = PAGE_SIZE) -> DataFrame:
@@ -138,30 +144,44 @@ def page(df: DataFrame, order: list, number: int, size: int = PAGE_SIZE) -> Data
 
 
 # V-10 search ranked by trigram similarity, for every word of the catalog -----------------------------
+def _pieces(c):
+    """Distinct substrings of one, two and three letters."""
+    low = F.lower(c)
+
+    def of(n: int):
+        cut = F.transform(F.sequence(F.lit(1), F.length(low) - (n - 1)), lambda i: low.substr(i, F.lit(n)))
+        return F.when(F.length(low) >= n, cut).otherwise(F.array().cast("array<string>"))
+    return F.array_distinct(F.concat(of(1), of(2), of(3)))
+
+
 def v10_search(wh: Warehouse, top: int = 48) -> DataFrame:
-    """Every catalog word is a search term; a product matches when its name contains the term
-    (ILIKE). Candidates come from an equi join on shared trigrams (what a trigram index does),
-    then the exact ILIKE check and the similarity rank."""
+    """Every catalog word is a search term; a product matches when its name contains the term (ILIKE).
+
+    A name that contains a term contains each of the term's pieces of up to three letters, terms of one or two
+    letters included. Each term looks up the one of its longest pieces that the fewest names have, so a common
+    piece brings no candidates where a rarer one is at hand; then the exact ILIKE check and the similarity rank."""
     p = wh.raw("products").where("is_active").select(F.col("id").alias("product_id"), "name")
+    posting = p.select("product_id", F.explode(_pieces(F.col("name"))).alias("g"))
+    freq = posting.groupBy("g").agg(F.count(F.lit(1)).alias("n"))
     terms = p.select(F.explode(words("name")).alias("term")).distinct()
-    tg = terms.select("term", F.explode(trigrams("term")).alias("g"))
-    pg = p.select("product_id", F.explode(trigrams("name")).alias("g"))
-    cand = tg.join(pg, "g").select("term", "product_id").distinct()
-    hit = cand.join(p, "product_id").where(F.ilike(F.col("name"), F.concat(F.lit("%"), F.col("term"), F.lit("%"))))
+    tg = terms.select("term", F.explode(_pieces(F.col("term"))).alias("g")).where(F.length("g") == F.least(F.length("term"), F.lit(3)))
+    rare = tg.join(freq, "g").groupBy("term").agg(F.min_by("g", F.struct("n", "g")).alias("g"))
+    cand = rare.join(posting, "g").select("term", "product_id")
+    hit = cand.join(p, "product_id").where(F.contains(F.lower("name"), F.col("term")))
     hit = hit.withColumn("similarity", dround(trigram_similarity("name", "term"), 6))
     return top_k(hit, ["term"], [F.col("similarity").desc(), F.col("product_id")], top).select(
         "term", "product_id", "name", "similarity")
 
 
-# V-11 account summary per customer ---------------------------------------------------------------------
+# V-11 account summary per customer: profile, account manager, orders that were not cancelled ------------------
 def v11_account_summary(wh: Warehouse) -> DataFrame:
-    c = wh.raw("customers").select(F.col("id").alias("customer_id"), "first_name", "last_name", "segment")
-    o = wh.raw("orders").groupBy("customer_id").agg(
-        F.count(F.lit(1)).cast("bigint").alias("orders"), F.sum("total").cast("decimal(18,2)").alias("spent_local"),
-        F.min("placed_at").alias("first_order_at"))
-    j = c.join(o, "customer_id", "left")
-    return j.select("customer_id", "first_name", "last_name", "segment",
-                    F.coalesce("orders", F.lit(0)).cast("bigint").alias("orders"), "spent_local", "first_order_at")
+    c = wh.raw("customers").select(F.col("id").alias("customer_id"), "email", F.col("created_at").alias("signup_at"), "account_manager_id")
+    e = wh.raw("employees").select(F.col("id").alias("account_manager_id"), F.concat_ws(" ", "first_name", "last_name").alias("account_manager"))
+    o = wh.raw("orders").where(F.col("status") != "cancelled").groupBy("customer_id").agg(
+        F.count(F.lit(1)).cast("bigint").alias("orders"), F.min("placed_at").alias("first_order_at"))
+    j = c.join(e, "account_manager_id", "left").join(o, "customer_id", "left")
+    return j.select("customer_id", "email", "signup_at", "account_manager", F.coalesce("orders", F.lit(0)).cast("bigint").alias("orders"),
+                    "first_order_at")
 
 
 # V-12 customer profile with the latest rate of their currency and cart units ----------------------------
@@ -215,10 +235,11 @@ def v16_returnable(wh: Warehouse) -> DataFrame:
     oi = wh.raw("order_items").join(o, "order_id")
     r = wh.raw("returns").groupBy("order_id", "line_no").agg(F.sum("quantity").alias("returned"))
     j = oi.join(r, ["order_id", "line_no"], "left")
-    net_cents = ((F.col("unit_price") * F.col("quantity") - F.col("discount")) * 100).cast("bigint")
+    # whole cents: the unit price less the unit's share of the discount, rounded down
+    unit = (F.col("unit_price") * 100).cast("bigint")
     return j.select("order_id", "line_no", "product_id",
                     (F.col("quantity") - F.coalesce("returned", F.lit(0))).cast("bigint").alias("returnable_units"),
-                    F.floor(net_cents / F.col("quantity")).cast("bigint").alias("unit_refund_cents"))
+                    (unit - F.expr("CAST(discount * 100 AS BIGINT) div quantity")).cast("bigint").alias("unit_refund_cents"))
 
 
 # V-17 warehouse choice per order line ------------------------------------------------------------------------

@@ -9,9 +9,10 @@ skewed sort-merge partitions are split at run time.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 BASE_CONF = {
     "spark.sql.session.timeZone": "UTC",
@@ -59,14 +60,16 @@ def apply_conf(spark: SparkSession) -> SparkSession:
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the cluster's shared checkpoint folder (``spark.checkpoint.dir``).
 
-    On a cluster it is set by the operator and we only read it. Only when it is
-    unset (local tests) do we make our own scratch folder.
+    On a cluster it is set by the operator and we only read it. Only on a local
+    master (tests) do we make our own scratch folder where it is unset.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if not current:
         current = sc.getConf().get("spark.checkpoint.dir", None)
         if not current:
+            if not re.match(r"local(\[[^\]]*\])?$", sc.master):
+                raise RuntimeError("spark.checkpoint.dir must name a folder that driver and executors share")
             current = tempfile.mkdtemp(prefix="fathom-ckpt-", dir="/tmp")
         sc.setCheckpointDir(current)
     return current
@@ -80,3 +83,20 @@ def shared_scratch(spark: SparkSession, name: str) -> str:
     import uuid
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{base}/{name}-{uuid.uuid4().hex}"
+
+
+#: Spark's own setting: shuffle files go as soon as the statement that wrote them has ended.
+_SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` to the shared scratch folder and read it back: one numbering for all its readers, safe from lost executors."""
+    spark = df.sparkSession
+    path = shared_scratch(spark, name)
+    before = spark.conf.get(_SHUFFLE_CLEANUP, "false")
+    spark.conf.set(_SHUFFLE_CLEANUP, "true")
+    try:
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        spark.conf.set(_SHUFFLE_CLEANUP, before)
+    return spark.read.schema(df.schema).parquet(path)

@@ -3,11 +3,11 @@
 * ``order_stream``: the order source as a file stream (new files = new rows).
 * ``dedup_stream`` (T-2): re-read overlap is harmless: duplicates of
   (id, updated_at) inside the watermark are dropped.
-* ``windowed_counts`` (T-3): orders and distinct customers per event-time
-  window with a watermark; late rows are dropped, windows are emitted once
-  (append mode) when the watermark passes their end. Distinct customers are
-  exact: a first stateful aggregate per (window, customer) feeds a second
-  per window (chained stateful operators).
+* ``live_counts`` (T-3): orders and distinct customers per event-time window,
+  up to the newest order. A stateful aggregate per (window, customer) runs in
+  update mode; every micro-batch upserts its changed rows into a table, and the
+  windows are totals over that table, so open windows count as well. The
+  watermark only bounds how long state is kept.
 * ``upsert_stream`` (T-1): every micro-batch replaces the changed keys in a
   versioned table (keep the latest version of each key, then anti join + union
   into a new folder and swap the pointer); ``incremental_stream`` runs the full
@@ -19,7 +19,6 @@ Checkpoints and outputs live under the session's shared checkpoint folder
 
 from __future__ import annotations
 
-import os
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -36,11 +35,9 @@ def _order_status():
 def scratch(spark: SparkSession, name: str) -> str:
     """A fresh folder under the shared checkpoint directory."""
     base = ensure_checkpoint_dir(spark)
-    path = os.path.join(base, "streams", f"{name}-{uuid.uuid4().hex[:8]}")
-    if path.startswith("file:"):
-        os.makedirs(path[5:], exist_ok=True)
-    elif "://" not in path:
-        os.makedirs(path, exist_ok=True)
+    path = f"{base.rstrip('/')}/streams/{name}-{uuid.uuid4().hex[:8]}"
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(folder)
     return path
 
 
@@ -69,16 +66,24 @@ def dedup_stream(sdf: DataFrame, keys: list[str], ts: str, delay: str) -> DataFr
     return sdf.withWatermark(ts, delay).dropDuplicatesWithinWatermark(keys)
 
 
-def windowed_counts(sdf: DataFrame, ts: str, size: str, delay: str) -> DataFrame:
-    """T-3: per event-time window: orders, exact distinct customers, last order time."""
-    w = sdf.withWatermark(ts, delay)
-    per = w.groupBy(F.window(ts, size).alias("w"), "customer_id").agg(
+def live_counts(sdf: DataFrame, ts: str, size: str, delay: str, name: str) -> DataFrame:
+    """T-3: per event-time window: orders, exact distinct customers, last order time; open windows included.
+
+    Runs the stream over everything available and returns the totals of the upserted table.
+    """
+    spark = sdf.sparkSession
+    per = sdf.withWatermark(ts, delay).groupBy(F.window(ts, size).alias("w"), "customer_id").agg(
         F.count(F.lit(1)).alias("n"), F.max(ts).alias("last"))
-    tot = per.groupBy("w").agg(F.count(F.lit(1)).alias("customers"), F.sum("n").alias("orders"),
-                               F.max("last").alias("last_order_at"))
-    return tot.select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"),
-                      F.col("orders").cast("bigint").alias("orders"),
-                      F.col("customers").cast("bigint").alias("customers"), "last_order_at")
+    per = per.select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), "customer_id", "n", "last")
+    root = scratch(spark, name)
+    q = upsert_stream(per, ["window_start", "customer_id"], "n", f"{root}/table", f"{root}/checkpoint", mode="update")
+    q.awaitTermination()
+    from ..plans.publish import current
+    now = current(f"{root}/table")
+    table = spark.read.parquet(now) if now else spark.createDataFrame([], per.schema)
+    return table.groupBy("window_start", "window_end").agg(
+        F.sum("n").cast("bigint").alias("orders"), F.count(F.lit(1)).cast("bigint").alias("customers"),
+        F.max("last").alias("last_order_at"))
 
 
 def run_available(sdf: DataFrame, name: str, mode: str = "append") -> DataFrame:
@@ -93,19 +98,19 @@ def run_available(sdf: DataFrame, name: str, mode: str = "append") -> DataFrame:
 
 
 # -- T-1 ---------------------------------------------------------------------------------
-def _merge_latest(current: DataFrame | None, batch: DataFrame, key: str, version_col: str) -> DataFrame:
+def _merge_latest(current: DataFrame | None, batch: DataFrame, key: str | list[str], version_col: str) -> DataFrame:
     """Rows of the batch replace rows with the same key; inside the batch the newest version wins."""
     # newest row per key as an aggregate: partial max_by on the map side, so a hot key
     # never gathers all of its rows in one task
-    cols = batch.columns
-    latest = batch.groupBy(key).agg(F.max_by(F.struct(*cols), F.col(version_col)).alias("_r")).select("_r.*")
+    cols, key = batch.columns, [key] if isinstance(key, str) else key
+    latest = batch.groupBy(*key).agg(F.max_by(F.struct(*cols), F.col(version_col)).alias("_r")).select("_r.*")
     if current is None:
         return latest
-    keep = current.join(latest.select(key), key, "left_anti")
+    keep = current.join(latest.select(*key), key, "left_anti")
     return keep.unionByName(latest.select(*current.columns))
 
 
-def upsert_stream(sdf: DataFrame, key: str, version_col: str, target_root: str, checkpoint: str):
+def upsert_stream(sdf: DataFrame, key: str | list[str], version_col: str, target_root: str, checkpoint: str, mode: str = "append"):
     """Start a resumable micro-batch upsert into ``target_root`` (versioned folders + pointer)."""
     from ..plans.publish import current, next_version, publish
 
@@ -117,10 +122,10 @@ def upsert_stream(sdf: DataFrame, key: str, version_col: str, target_root: str,
         prev = spark.read.parquet(cur) if cur else None
         version = next_version(target_root)
         _merge_latest(prev, batch, key, version_col).write.mode("overwrite").parquet(
-            os.path.join(target_root, version))
+            f"{target_root}/{version}")
         publish(target_root, version)
 
-    return (sdf.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint)
+    return (sdf.writeStream.outputMode(mode).foreachBatch(apply).option("checkpointLocation", checkpoint)
             .trigger(availableNow=True).start())
 
 
@@ -153,8 +158,7 @@ def t02_dedup_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def t03_weekly_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    s = windowed_counts(order_stream(spark, sf_dir), "placed_at", "7 days", "2 days")
-    out = run_available(s, "orders-weekly")
+    out = live_counts(order_stream(spark, sf_dir), "placed_at", "7 days", "2 days", "orders-weekly")
     return out.select(F.col("window_start").cast("timestamp_ntz").alias("window_start"),
                       F.col("window_end").cast("timestamp_ntz").alias("window_end"), "orders", "customers",
                       F.col("last_order_at").cast("timestamp_ntz").alias("last_order_at"))

@@ -62,9 +62,13 @@ SELECT b.scenario, b.operation, b.done, b.failed,
 FROM q_b b LEFT JOIN q_p p USING (scenario, operation)"""
 
 SQL["a17_pooled_rounds"] = f"""
-WITH {SAMPLES}, {_STATS.format(keys="scenario", src="q_s")}
-SELECT b.scenario, b.done, b.failed, p.p50, p.p95, p.p99, b.max
-FROM q_b b LEFT JOIN q_p p USING (scenario)"""
+WITH {SAMPLES}, {_STATS.format(keys="scenario", src="q_s")}, q_time AS (
+    SELECT scenario, CAST(count(*) AS INTEGER) AS rounds, sum(s) AS seconds
+    FROM (SELECT scenario, (epoch_us(max(ts)) - epoch_us(min(ts))) / 1e6 AS s FROM q_s GROUP BY scenario, event_id % 3) GROUP BY scenario
+)
+SELECT b.scenario, t.rounds, b.done, b.failed, round(CASE WHEN t.seconds <> 0 THEN b.done / t.seconds END, 6) AS per_second,
+       p.p50, p.p95, p.p99, b.max
+FROM q_b b JOIN q_time t USING (scenario) LEFT JOIN q_p p USING (scenario)"""
 
 SQL["a18_log_histogram"] = f"""
 WITH {SAMPLES}, q_pos AS (SELECT * FROM q_s WHERE latency_ms > 0),

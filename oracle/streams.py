@@ -19,5 +19,4 @@ WITH q_o AS (
 SELECT window_start, window_start + INTERVAL 7 DAY AS window_end, count(*) AS orders,
        count(DISTINCT customer_id) AS customers, max(placed_at) AS last_order_at
 FROM q_o
-GROUP BY window_start
-HAVING window_start + INTERVAL 7 DAY <= (SELECT max(placed_at) FROM st_orders) - INTERVAL 2 DAY"""
+GROUP BY window_start"""

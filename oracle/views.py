@@ -70,29 +70,24 @@ SELECT * FROM q_pairs
 QUALIFY row_number() OVER (PARTITION BY product_id ORDER BY orders_together DESC, other_product_id) <= 8"""
 
 SQL["v09_category_pages"] = """
-WITH q_anc AS (
-    SELECT id AS category_id, id AS ancestor_id FROM st_categories
-    UNION ALL
-    SELECT a.category_id, c.parent_id FROM q_anc a JOIN st_categories c ON c.id = a.ancestor_id
-    WHERE c.parent_id IS NOT NULL
-), q_rating AS (
-    SELECT product_id, avg(rating) AS rating, count(*) AS reviews FROM st_reviews GROUP BY product_id
-), q_x AS (
-    SELECT a.ancestor_id AS category_id, p.id AS product_id, p.name, CAST(p.price_usd AS DOUBLE) AS price_usd,
-           round(r.rating, 4) AS rating, r.rating AS raw_rating, coalesce(r.reviews, 0) AS reviews, s.units_90d
-    FROM q_anc a JOIN st_products p ON p.category_id = a.category_id
-    LEFT JOIN q_rating r ON r.product_id = p.id LEFT JOIN dw_product_stats s ON s.product_id = p.id
-    WHERE p.is_active
+WITH q_below AS (
+    SELECT list_extract(ids, k) AS category_id, node AS leaf
+    FROM (SELECT node, list(spot) AS ids FROM dw_climb WHERE kind = 'category' GROUP BY node), range(1, 20) r(k) WHERE k <= len(ids)
+), q_shelf AS (
+    SELECT b.category_id, p.id AS product_id, p.name, p.price_usd, p.brand_id
+    FROM q_below b, st_products p WHERE p.category_id = b.leaf AND p.is_active
+), q_sorted AS (
+    SELECT *, 'name' AS sort, row_number() OVER (PARTITION BY category_id ORDER BY name, product_id) AS position FROM q_shelf
+    UNION ALL SELECT *, 'price', row_number() OVER (PARTITION BY category_id ORDER BY price_usd, product_id) FROM q_shelf
+    UNION ALL SELECT *, 'price_desc', row_number() OVER (PARTITION BY category_id ORDER BY price_usd DESC, product_id) FROM q_shelf
+    UNION ALL SELECT *, 'newest', row_number() OVER (PARTITION BY category_id ORDER BY product_id) FROM q_shelf  -- all made at one time
 )
-SELECT category_id, product_id, name, price_usd, rating, CAST(reviews AS BIGINT) AS reviews,
-       row_number() OVER (PARTITION BY category_id ORDER BY units_90d DESC NULLS LAST, product_id) AS rank_popular,
-       row_number() OVER (PARTITION BY category_id ORDER BY price_usd ASC, product_id) AS rank_price_asc,
-       row_number() OVER (PARTITION BY category_id ORDER BY price_usd DESC, product_id) AS rank_price_desc,
-       row_number() OVER (PARTITION BY category_id ORDER BY raw_rating DESC NULLS LAST, product_id) AS rank_rating,
-       count(*) OVER (PARTITION BY category_id) AS total,
-       (row_number() OVER (PARTITION BY category_id ORDER BY units_90d DESC NULLS LAST, product_id) - 1) // 24 + 1
-           AS page_popular
-FROM q_x"""
+SELECT s.category_id, s.sort, s.position, (s.position - 1) // 24 AS page_index,
+       (SELECT count(*) FROM q_shelf t WHERE t.category_id = s.category_id) AS total, s.product_id, s.name, b.name AS brand,
+       CAST(s.price_usd AS DOUBLE) AS price_usd,
+       round(ifnull((SELECT avg(rating) FROM st_reviews r WHERE r.product_id = s.product_id), 0), 4) AS rating,
+       (SELECT count(*) FROM st_reviews r WHERE r.product_id = s.product_id) AS reviews
+FROM q_sorted s, st_brands b WHERE b.id = s.brand_id"""
 
 SQL["v10_search"] = f"""
 WITH q_p AS (SELECT id AS product_id, name FROM st_products WHERE is_active),
@@ -109,14 +104,11 @@ SELECT term, product_id, name, similarity FROM q_hit
 QUALIFY row_number() OVER (PARTITION BY term ORDER BY similarity DESC, product_id) <= 48"""
 
 SQL["v11_account_summary"] = """
-WITH q_o AS (
-    SELECT customer_id, count(*) AS orders, CAST(sum(total) AS DECIMAL(18,2)) AS spent_local,
-           min(placed_at) AS first_order_at
-    FROM st_orders GROUP BY customer_id
-)
-SELECT c.id AS customer_id, c.first_name, c.last_name, c.segment, coalesce(o.orders, 0) AS orders, o.spent_local,
-       o.first_order_at
-FROM st_customers c LEFT JOIN q_o o ON o.customer_id = c.id"""
+SELECT c.id AS customer_id, 'cust' || c.id || '@example.com' AS email, c.created_at AS signup_at, m.name AS account_manager,
+       count(o.id) AS orders, min(o.placed_at) AS first_order_at
+FROM st_customers c LEFT JOIN dw_dim_employee m ON m.employee_id = c.account_manager_id
+LEFT JOIN st_orders o ON o.customer_id = c.id AND NOT o.status = 'cancelled'
+GROUP BY c.id, c.created_at, m.name"""
 
 SQL["v12_customer_profile"] = """
 WITH q_fx AS (
@@ -169,8 +161,7 @@ LEFT JOIN q_s s USING (order_id)"""
 SQL["v16_returnable"] = """
 WITH q_r AS (SELECT order_id, line_no, sum(quantity) AS returned FROM st_returns GROUP BY ALL)
 SELECT oi.order_id, oi.line_no, oi.product_id, CAST(oi.quantity - coalesce(r.returned, 0) AS BIGINT) AS returnable_units,
-       CAST(floor(CAST((oi.unit_price * oi.quantity - oi.discount) * 100 AS BIGINT) / oi.quantity) AS BIGINT)
-           AS unit_refund_cents
+       CAST(oi.unit_price * 100 AS BIGINT) - CAST(oi.discount * 100 AS BIGINT) // oi.quantity AS unit_refund_cents
 FROM st_order_items oi JOIN st_orders o ON o.id = oi.order_id AND o.status = 'delivered'
 LEFT JOIN q_r r USING (order_id, line_no)"""
 
