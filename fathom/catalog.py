@@ -88,6 +88,13 @@ def _register_trees():
         register(name, fn, OT.SQL.get(name))
 
 
+def _register_loads():
+    from oracle import loads as OL
+    from .plans.incremental import LOADS
+    for name, fn in LOADS.items():
+        register(name, fn, OL.SQL.get(name))
+
+
 def _register_streams():
     from oracle import streams as OS
     from oracle import with_fixtures
@@ -112,5 +119,6 @@ _register_views()
 _register_analysis()
 _register_checks()
 _register_trees()
+_register_loads()
 _register_streams()
 _register_idioms()

@@ -2,14 +2,15 @@
 
 A run moves the warehouse from watermark ``prev`` to ``w``:
 
-1. changed orders = new ids in (prev, w]  U  old ids updated since the last load
-   U  orders of returns filed since the last load (one distinct DataFrame; ids
-   are never collected or pasted into query text);
+1. changed orders = new ids in (prev, w]  U  old ids updated since five minutes
+   before the last extract began (the overlap is harmless: a changed order is
+   replaced whole)  U  orders of returns filed since the last load (one distinct
+   DataFrame; ids are never collected or pasted into query text);
 2. the delta = every order-table row of a changed order (left semi join);
 3. raw order tables: old rows of unchanged orders (left anti join) + the delta;
-4. ``dim_product``: surrogate keys stay stable (closed versions updated, new
-   versions numbered above the current maximum, unversioned columns
-   overwritten on every version);
+4. ``dim_product``: surrogate keys stay stable and no version is ever dropped;
+   versions whose attributes differ (null-safe) take the new ones, new versions
+   are numbered above the current maximum;
 5. facts of the delta are built by the same functions as a full build (a
    Warehouse whose raw layer is the delta), then replace the old facts of the
    changed orders; ``customer_order_number`` is renumbered only for customers
@@ -22,93 +23,29 @@ The result is written as a new version and published only when complete.
 from __future__ import annotations
 
 import datetime as dt
-import os
 import time
-from functools import cached_property
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..operators.keys import dense_key
+from ..session import shared_scratch, written
 from ..sources.fixtures import STORE_TABLES, Store
-from .publish import PublishedWarehouse, _write, next_version, publish
+from .publish import PARTITIONS, PublishedWarehouse, build_full, counted_write, etl_runs, laid_out, next_version, note_run, publish, utc_now
 from .warehouse import ORDER_TABLES, STAR_TABLES, Warehouse
 
-CHANGE_TS = "2001-09-01 10:00:00"
-
-
-# -- E12/E13: a deterministic change set applied to the source ---------------------------
-class ChangedStore(Store):
-    """The source after a batch of store activity: shipped, delivered and cancelled orders,
-    new returns, price changes (new SCD2 versions) and renamed products."""
-
-    def __init__(self, base: Store, prev_max_order_id: int, at: str = CHANGE_TS):
-        super().__init__(base.spark, base.sf_dir)
-        self.base = base
-        self.prev = prev_max_order_id
-        self.at = at
-
-    def _ts(self):
-        return F.to_timestamp_ntz(F.lit(self.at))
-
-    @cached_property
-    def orders(self) -> DataFrame:
-        o = self.base.orders
-        old = F.col("id") <= F.lit(self.prev)
-        ship = old & (F.col("status") == "paid") & (F.col("id") % 13 == 1)
-        deliver = old & (F.col("status") == "shipped") & (F.col("id") % 17 == 2)
-        cancel = old & F.col("status").isin("paid", "pending") & (F.col("id") % 29 == 3)
-        status = (F.when(cancel, "cancelled").when(deliver, "delivered").when(ship, "shipped")
-                  .otherwise(F.col("status")))
-        touched = ship | deliver | cancel
-        # both new values are computed from the old row (one projection)
-        return o.withColumns({"status": status,
-                              "updated_at": F.when(touched, self._ts()).otherwise(F.col("updated_at"))})
-
-    @cached_property
-    def returns(self) -> DataFrame:
-        """Existing returns plus new ones filed at the change time on old delivered lines."""
-        r = self.base.returns
-        o = self.base.orders.where((F.col("status") == "delivered") & (F.col("id") <= F.lit(self.prev))
-                                   & (F.col("id") % 31 == 4)).select(F.col("id").alias("order_id"))
-        li = self.base.order_items.join(o, "order_id").where(F.col("line_no") == 1)
-        li = li.join(r.select("order_id", "line_no"), ["order_id", "line_no"], "left_anti")
-        new = li.select((F.lit(10 ** 12) + F.col("order_id") * 100 + F.col("line_no")).alias("id"), "order_id", "line_no",
-                        F.lit(1).alias("quantity"), F.lit("changed_mind").alias("reason"),
-                        F.lit("refunded").alias("status"), F.col("unit_price").alias("refund_amount"),
-                        self._ts().alias("requested_at"))
-        return r.unionByName(new)
-
-    @cached_property
-    def products(self) -> DataFrame:
-        p = self.base.products
-        return p.withColumn("name", F.when(F.col("id") % 97 == 0, F.concat(F.col("name"), F.lit(" (new)")))
-                            .otherwise(F.col("name")))
-
-    @cached_property
-    def product_prices(self) -> DataFrame:
-        """Repriced products (+10%): the open version closes at the change time and a new one opens."""
-        pp = self.base.product_prices
-        hit = (F.col("product_id") % 89 == 0) & F.col("valid_to").isNull()
-        closed = pp.withColumn("valid_to", F.when(hit, self._ts()).otherwise(F.col("valid_to")))
-        new = pp.where(hit).select("product_id", self._ts().alias("valid_from"),
-                                   F.lit(None).cast("timestamp_ntz").alias("valid_to"),
-                                   F.round(F.col("price_usd") * F.lit(1.10).cast("decimal(3,2)"), 2)
-                                   .cast("decimal(12,2)").alias("price_usd"))
-        return closed.unionByName(new)
-
-    def table(self, name: str) -> DataFrame:
-        if name in ("orders", "returns", "products", "product_prices"):
-            return getattr(self, name)
-        return self.base.table(name)
+#: Changes are looked for from so long before the last extract began, so that what was committed while it read is seen.
+OVERLAP = dt.timedelta(minutes=5)
 
 
 # -- E9: changed orders and the delta ----------------------------------------------------
 def changed_orders(src: Store, prev: int, w: int, changes_since, max_return_id: int) -> DataFrame:
+    """Ids of orders that are new, or stamped at or after ``changes_since``, or have a new return."""
     o = src.table("orders")
     new = o.where((F.col("id") > F.lit(prev)) & (F.col("id") <= F.lit(w))).select("id")
-    upd = o.where((F.col("id") <= F.lit(prev)) & (F.col("updated_at") > F.lit(changes_since))).select("id")
+    upd = o.where((F.col("id") <= F.lit(prev)) & (F.col("updated_at") >= F.lit(changes_since))).select("id")
     ret = src.table("returns").where((F.col("id") > F.lit(max_return_id)) & (F.col("order_id") <= F.lit(w))) \
         .select(F.col("order_id").alias("id"))
     return new.union(upd).union(ret).distinct()
@@ -131,20 +68,38 @@ class _DeltaWarehouse(Warehouse):
 
 
 # -- E10: dim_product merge with stable keys ---------------------------------------------
+def _differs(old: str, new: str, cols: list[str]):
+    return reduce(lambda a, b: a | b, [~F.col(f"{old}.{c}").eqNullSafe(F.col(f"{new}.{c}")) for c in cols])
+
+
 def merge_dim_product(prev_dim: DataFrame, fresh: DataFrame) -> DataFrame:
     """``fresh``: the dimension rebuilt from the current source (its keys are ignored).
 
-    Versions already known keep their key and get the new valid_to / is_current and the
-    current unversioned attributes; unknown versions get keys above the current maximum in
-    (product_id, valid_from) order."""
+    A known version keeps its key; where any attribute differs (``IS DISTINCT FROM``) it takes
+    the fresh ones. A version that the source no longer has stays as it was, since facts point
+    at it. New versions get keys above the current maximum in (product_id, valid_from) order."""
     bk = ["product_id", "valid_from"]
-    max_key = prev_dim.agg(F.max("product_key")).first()[0] or 0
     cols = [c for c in fresh.columns if c != "product_key"]
-    known = fresh.select(*cols).join(prev_dim.select(*bk, "product_key"), bk, "inner")
-    new = fresh.select(*cols).join(prev_dim.select(*bk), bk, "left_anti")
-    new_keyed = dense_key(new, bk, "product_key", start=max_key + 1)
-    out = known.select("product_key", *cols).unionByName(new_keyed.select("product_key", *cols))
-    return out
+    attributes = [c for c in cols if c not in bk]
+    max_key = prev_dim.agg(F.max("product_key")).first()[0] or 0
+    o, n = prev_dim.alias("o"), fresh.select(*cols).alias("n")
+    on = reduce(lambda a, b: a & b, [F.col(f"o.{k}") == F.col(f"n.{k}") for k in bk])
+    found = F.col("n.product_id").isNotNull()
+    changed = found & _differs("o", "n", attributes)
+    known = o.join(n, on, "left").select(
+        "o.product_key", *[F.col(f"o.{k}") for k in bk],
+        *[F.when(changed, F.col(f"n.{c}")).otherwise(F.col(f"o.{c}")).alias(c) for c in attributes]).select("product_key", *cols)
+    new = dense_key(fresh.select(*cols).join(prev_dim.select(*bk), bk, "left_anti"), bk, "product_key", start=max_key + 1)
+    return known.unionByName(new.select("product_key", *cols))
+
+
+def changed_versions(prev_dim: DataFrame, fresh: DataFrame) -> DataFrame:
+    """(product_id, valid_from) of known versions with an attribute that is distinct from the source's."""
+    bk = ["product_id", "valid_from"]
+    attributes = [c for c in fresh.columns if c not in ("product_key", *bk)]
+    o, n = prev_dim.alias("o"), fresh.alias("n")
+    on = reduce(lambda a, b: a & b, [F.col(f"o.{k}") == F.col(f"n.{k}") for k in bk])
+    return o.join(n, on).where(_differs("o", "n", attributes)).select(*[F.col(f"o.{k}") for k in bk])
 
 
 # -- E11: renumber order numbers for affected customers ------------------------------------
@@ -159,99 +114,72 @@ def renumber_orders(fact_orders: DataFrame, customers: DataFrame) -> DataFrame:
 
 
 def build_incremental(spark: SparkSession, src: Store, root: str, w: int | None = None,
-                      publish_version: bool = True) -> dict:
-    """Bring the published warehouse under ``root`` up to watermark ``w`` from ``src``."""
+                      publish_version: bool = True, extracted_at: dt.datetime | None = None) -> dict:
+    """Bring the published warehouse under ``root`` up to watermark ``w`` from ``src``.
+
+    ``extracted_at``: the source's clock as this extract begins (default: now, UTC)."""
     t0 = time.time()
+    data_until = extracted_at or utc_now()
     prev = PublishedWarehouse.open(spark, root)
     info = spark.read.parquet(f"{prev.vdir}/meta/etl_info").first()
     prev_w = int(info["max_order_id"])
-    changes_since = info["source_time"]
-    # the source clock is read before the watermark, as the next run's "changes since"
-    source_time = src.table("orders").agg(F.max("updated_at")).first()[0]
     w = w if w is not None else int(src.table("orders").agg(F.max("id")).first()[0])
     max_ret = prev.raw("returns").agg(F.max("id")).first()[0] or 0
-    changed = changed_orders(src, prev_w, w, changes_since, max_ret).persist()
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    version = next_version(root)
+    vdir = f"{root.rstrip('/')}/{version}"
+    steps: list = []
+
+    def step(label, df, path, name):
+        counted_write(laid_out(df, name, n), label, path, PARTITIONS.get(name), steps)
 
+    # written once: every table below is cut by the same ids
+    changed = written(changed_orders(src, prev_w, w, info["data_until"] - OVERLAP, max_ret), "changed-orders")
     delta, raw_new = {}, {}
     for name, key in ORDER_TABLES.items():
-        cur = src.table(name).where(F.col(key) <= F.lit(w))
-        delta[name] = cur.join(changed.withColumnRenamed("id", key), key, "left_semi")
-        old = prev.raw(name).join(changed.withColumnRenamed("id", key), key, "left_anti")
-        raw_new[name] = old.unionByName(delta[name])
-
-    version = next_version(root)
-    vdir = os.path.join(root, version)
-    steps = []
-
-    def step(label, df, path, parts=None):
-        s = time.time()
-        _write(df, path, parts)
-        steps.append((label, spark.read.parquet(path).count(), round(time.time() - s, 3)))
+        ids = changed.withColumnRenamed("id", key)
+        delta[name] = src.table(name).where(F.col(key) <= F.lit(w)).join(ids, key, "left_semi")
+        raw_new[name] = prev.raw(name).join(ids, key, "left_anti").unionByName(delta[name])
 
     for name in STORE_TABLES:
-        df = raw_new[name] if name in raw_new else src.table(name)
-        step(f"raw.{name}", df, f"{vdir}/raw/{name}")
+        step(f"raw.{name}", raw_new[name] if name in raw_new else src.table(name), f"{vdir}/raw/{name}", name)
     fresh_full = Warehouse(_RawStore(spark, vdir), w)
-    step("raw.fx_rates_daily", fresh_full.fx_rates_daily, f"{vdir}/raw/fx_rates_daily")
+    step("raw.fx_rates_daily", fresh_full.fx_rates_daily, f"{vdir}/raw/fx_rates_daily", "fx_rates_daily")
 
-    merged_dim = merge_dim_product(prev.dim_product, fresh_full.dim_product)
-    step("dw.dim_product", merged_dim, f"{vdir}/dw/dim_product")
+    fresh_dim = written(fresh_full.dim_product, "dim-product")
+    step("dw.dim_product", merge_dim_product(prev.dim_product, fresh_dim), f"{vdir}/dw/dim_product", "dim_product")
     dim_product = spark.read.parquet(f"{vdir}/dw/dim_product")
 
-    dwh = _DeltaWarehouse(_RawStore(spark, vdir), w, {k: v for k, v in delta.items()}, dim_product,
-                          spark.read.parquet(f"{vdir}/raw/fx_rates_daily"))
+    dwh = _DeltaWarehouse(_RawStore(spark, vdir), w, delta, dim_product, spark.read.parquet(f"{vdir}/raw/fx_rates_daily"))
     changed_ids = changed.withColumnRenamed("id", "order_id")
     fo = prev.fact_orders.join(changed_ids, "order_id", "left_anti").unionByName(dwh.fact_orders)
-    affected = delta["orders"].select(F.col("customer_id"))
-    fo = renumber_orders(fo, affected)
-    step("dw.fact_orders", fo, f"{vdir}/dw/fact_orders")
+    step("dw.fact_orders", renumber_orders(fo, delta["orders"].select("customer_id")), f"{vdir}/dw/fact_orders", "fact_orders")
     dwh.__dict__["fact_orders"] = spark.read.parquet(f"{vdir}/dw/fact_orders")
 
-    prev_sales = prev.fact_sales.drop("year", "month")
-    fs = prev_sales.join(changed_ids, "order_id", "left_anti")
-    # old sales keep their version; refresh the key from the merged dimension by business key
-    fs = _rekey(fs, prev.dim_product, dim_product)
-    fs = fs.unionByName(dwh.fact_sales.select(*fs.columns))
-    step("dw.fact_sales", fs.withColumn("year", F.year("order_date")).withColumn("month", F.month("order_date")),
-         f"{vdir}/dw/fact_sales", ["year", "month"])
+    # product keys never move, so sales and returns of unchanged orders are taken as they are
+    fs = prev.fact_sales.drop("year", "month").join(changed_ids, "order_id", "left_anti")
+    step("dw.fact_sales", fs.unionByName(dwh.fact_sales.select(*fs.columns)), f"{vdir}/dw/fact_sales", "fact_sales")
     dwh.__dict__["fact_sales"] = spark.read.parquet(f"{vdir}/dw/fact_sales").drop("year", "month")
 
     fr = prev.fact_returns.join(changed_ids, "order_id", "left_anti")
-    fr = _rekey(fr, prev.dim_product, dim_product).unionByName(dwh.fact_returns.select(*fr.columns))
-    step("dw.fact_returns", fr, f"{vdir}/dw/fact_returns")
+    step("dw.fact_returns", fr.unionByName(dwh.fact_returns.select(*fr.columns)), f"{vdir}/dw/fact_returns", "fact_returns")
 
     rebuilt = PublishedWarehouse(spark, vdir, raw_only=True)
-    for name in ("dim_product", "fact_orders", "fact_sales", "fact_returns"):
+    done = ("dim_product", "fact_orders", "fact_sales", "fact_returns")
+    for name in done:
         rebuilt.mark_written(name)
     for name in STAR_TABLES:
-        if name in ("dim_product", "fact_orders", "fact_sales", "fact_returns"):
-            continue
-        step(f"dw.{name}", rebuilt.table(name), f"{vdir}/dw/{name}")
-        rebuilt.mark_written(name)
+        if name not in done:
+            step(f"dw.{name}", rebuilt.table(name), f"{vdir}/dw/{name}", name)
+            rebuilt.mark_written(name)
 
-    finished = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
-    meta = spark.createDataFrame(steps, "label string, rows long, seconds double")
-    _write(meta.coalesce(1), f"{vdir}/meta/etl_steps")
-    info_df = spark.createDataFrame([(version, w, finished, source_time, round(time.time() - t0, 3))],
-                                    "version string, max_order_id long, finished_at timestamp_ntz, "
-                                    "source_time timestamp_ntz, seconds double")
-    _write(info_df.coalesce(1), f"{vdir}/meta/etl_info")
-    changed.unpersist()
+    note_run(spark, root, vdir, version, "incremental", w, data_until, t0, steps)
     if publish_version:
         publish(root, version)
     return {"version": version, "path": vdir, "max_order_id": w, "previous_max_order_id": prev_w,
             "steps": steps, "seconds": round(time.time() - t0, 3)}
 
 
-def _rekey(facts: DataFrame, old_dim: DataFrame, new_dim: DataFrame) -> DataFrame:
-    """Product keys are stable across runs, so this is a no-op guard: map old key ->
-    (product_id, valid_from) -> key in the merged dimension."""
-    m = old_dim.select(F.col("product_key").alias("_ok"), "product_id", "valid_from").join(
-        new_dim.select(F.col("product_key").alias("_nk"), "product_id", "valid_from"), ["product_id", "valid_from"])
-    j = facts.join(m.select("_ok", "_nk"), facts["product_key"] == F.col("_ok"), "left")
-    return j.withColumn("product_key", F.coalesce("_nk", "product_key")).drop("_ok", "_nk")
-
-
 class _RawStore(Store):
     """A Store whose tables are the raw layer of a version folder."""
 
@@ -278,3 +206,56 @@ def apply_stock(inventory: DataFrame, sold: DataFrame, returned: DataFrame) -> D
     j = inventory.join(agg, ["warehouse_id", "product_id"], "left")
     return j.withColumn("quantity_on_hand", (F.col("quantity_on_hand") + F.coalesce("d", F.lit(0))).cast("int")) \
         .drop("d")
+
+
+# -- registered: a warehouse loaded up to nine tenths of the orders, then brought up to date -----------------------
+def _loaded_in_two(wh: Warehouse) -> tuple[str, PublishedWarehouse]:
+    """Full load of the older orders, incremental load of the rest, in a fresh folder of the shared scratch (once per warehouse)."""
+    root = wh.__dict__.get("_two_loads")
+    if root is None:
+        root = shared_scratch(wh.spark, "incremental")
+        build_full(wh.spark, wh.store, root, max_order_id=wh.max_order_id * 9 // 10)
+        build_incremental(wh.spark, wh.store, root)
+        wh.__dict__["_two_loads"] = root
+    return root, PublishedWarehouse.open(wh.spark, root)
+
+
+def e09_incremental_sales(wh: Warehouse) -> DataFrame:
+    """Sales after a full and an incremental load: those of one full load, versions by business key."""
+    _, pub = _loaded_in_two(wh)
+    dp = pub.dim_product.select("product_key", "valid_from")
+    return pub.fact_sales.join(dp, "product_key").select("order_id", "line_no", "order_date", "customer_id", "product_id", "valid_from",
+                                                         "quantity", "net_usd", "margin_usd")
+
+
+def e11_incremental_order_numbers(wh: Warehouse) -> DataFrame:
+    """Orders after a full and an incremental load, each numbered among its customer's."""
+    _, pub = _loaded_in_two(wh)
+    return pub.fact_orders.select("order_id", "customer_id", "status", "total_usd", F.col("customer_order_number").cast("bigint").alias("customer_order_number"))
+
+
+def e14_etl_runs(wh: Warehouse) -> DataFrame:
+    """The history after two loads: mode and watermark of each run."""
+    root, _ = _loaded_in_two(wh)
+    return etl_runs(wh.spark, root).select("version", "mode", "max_order_id")
+
+
+def _cart_twice(wh: Warehouse) -> DataFrame:
+    return wh.raw("cart_items").select("cart_id", "product_id", "quantity")
+
+
+def e16_cart_upsert(wh: Warehouse) -> DataFrame:
+    """Every cart's own lines put into it once more, and one line of the next product: quantities add up, new lines appear."""
+    items = _cart_twice(wh)
+    more = items.unionByName(items.groupBy("cart_id").agg((F.max("product_id") + 1).alias("product_id")).withColumn("quantity", F.lit(1)))
+    return upsert_add(items, more, ["cart_id", "product_id"], "quantity")
+
+
+def e17_stock_after_orders(wh: Warehouse) -> DataFrame:
+    """Stock less the lines of pending orders plus those of cancelled ones."""
+    lines = wh.raw("order_items").join(wh.raw("orders").select(F.col("id").alias("order_id"), "status"), "order_id")
+    inv = wh.raw("inventory").select("warehouse_id", "product_id", "quantity_on_hand")
+    return apply_stock(inv, lines.where("status = 'pending'"), lines.where("status = 'cancelled'"))
+
+
+LOADS = {f.__name__: f for f in (e09_incremental_sales, e11_incremental_order_numbers, e14_etl_runs, e16_cart_upsert, e17_stock_after_orders)}

@@ -5,7 +5,8 @@ Layout under ``root``::
     root/v=000001/raw/<table>/        store tables cut at the watermark
     root/v=000001/dw/<table>/         dimensions, facts, marts
     root/v=000001/meta/etl_steps/     one row per step: label, rows, seconds
-    root/v=000001/meta/etl_info/      watermark and times
+    root/v=000001/meta/etl_info/      the run: mode, watermark, data_until, times
+    root/etl_runs/                    one row per run, appended
     root/_CURRENT                     text file naming the published version
 
 A build writes a fresh version folder; only after every step succeeded is the
@@ -17,10 +18,9 @@ On a cluster ``root`` is a shared filesystem / object store path.
 from __future__ import annotations
 
 import datetime as dt
-import os
 import time
-
 from concurrent.futures import ThreadPoolExecutor
+from functools import cached_property
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -107,65 +107,95 @@ def _clustered(df: DataFrame, n: int, by: list[str], sort: list[str]) -> DataFra
     return df.repartitionByRange(n, *by).sortWithinPartitions(*sort)
 
 
+#: How tables are laid out, in every build alike: (range-partition columns, sort columns). Rates and orders are
+#: read by date, so their files cover date ranges.
+LAYOUT = {
+    "orders": (["placed_at"], ["placed_at"]),
+    "fx_rates": (["rate_date"], ["rate_date", "currency_code"]),
+    "fx_rates_daily": (["day"], ["day", "currency_code"]),
+    "fact_sales": (["order_date"], ["placed_at", "order_id", "line_no"]),
+    "fact_orders": (["order_date"], ["placed_at", "order_id"]),
+}
+PARTITIONS = {"fact_sales": ["year", "month"]}
+
+
+def laid_out(df: DataFrame, name: str, n: int) -> DataFrame:
+    """``df`` in the layout of table ``name`` (with its partition columns)."""
+    if name == "fact_sales":
+        df = df.withColumn("year", F.year("order_date")).withColumn("month", F.month("order_date"))
+    return _clustered(df, n, *LAYOUT[name]) if name in LAYOUT else df
+
+
+def counted_write(df: DataFrame, label: str, path: str, partition_by: list[str] | None, steps: list) -> None:
+    """Write and note (label, rows, seconds); the rows are counted by the write itself."""
+    t0 = time.time()
+    obs = Observation(label)
+    _write(df.observe(obs, F.count(F.lit(1)).alias("rows")), path, partition_by)
+    steps.append((label, int(obs.get["rows"]), round(time.time() - t0, 3)))
+
+
+def utc_now() -> dt.datetime:
+    return dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
+
+
+_RUN = "version string, mode string, max_order_id long, data_until timestamp_ntz, finished_at timestamp_ntz, seconds double"
+
+
+def note_run(spark: SparkSession, root: str, vdir: str, version: str, mode: str, w: int, data_until: dt.datetime, started: float,
+             steps: list) -> None:
+    """Steps and run of this version, and one more row in the history of runs under ``root``."""
+    _write(spark.createDataFrame(steps, "label string, rows long, seconds double").coalesce(1), f"{vdir}/meta/etl_steps")
+    run = spark.createDataFrame([(version, mode, w, data_until, utc_now(), round(time.time() - started, 3))], _RUN).coalesce(1)
+    _write(run, f"{vdir}/meta/etl_info")
+    run.write.mode("append").parquet(f"{root.rstrip('/')}/etl_runs")
+
+
+def etl_runs(spark: SparkSession, root: str, latest: int = 50) -> DataFrame:
+    """The latest runs, newest first."""
+    runs = spark.read.schema(_RUN).parquet(f"{root.rstrip('/')}/etl_runs")
+    return runs.orderBy(F.col("finished_at").desc(), F.col("version").desc()).limit(latest)
+
+
 def build_full(spark: SparkSession, sf_dir: str | Store, root: str, max_order_id: int | None = None,
-               publish_version: bool = True) -> dict:
+               publish_version: bool = True, extracted_at: dt.datetime | None = None) -> dict:
     """Extract -> dimensions -> facts -> marts -> metadata -> publish. Returns run info.
 
-    ``sf_dir`` is the driver data folder, or a ``Store`` (e.g. a source after changes)."""
+    ``sf_dir`` is the driver data folder, or a ``Store`` (e.g. a source after changes).
+    ``extracted_at`` is the source's clock when the extract began (default: now, UTC); the
+    next incremental load looks for changes from a little before it."""
     t_start = time.time()
+    data_until = extracted_at or utc_now()
     version = next_version(root)
-    vdir = os.path.join(root, version)
+    vdir = f"{root.rstrip('/')}/{version}"
     store = sf_dir if isinstance(sf_dir, Store) else Store(spark, sf_dir)
     wh = Warehouse(store, max_order_id)
-    # the source clock is read before the watermark, as the next run's "changes since"
-    source_time = store.table("orders").agg(F.max("updated_at")).first()[0]
     w = wh.max_order_id
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     steps = []
 
     def step(label, make, path, partition_by=None):
-        t0 = time.time()
-        obs = Observation(label)
-        _write(make().observe(obs, F.count(F.lit(1)).alias("rows")), path, partition_by)
-        steps.append((label, int(obs.get["rows"]), round(time.time() - t0, 3)))
+        counted_write(make(), label, path, partition_by, steps)
 
     def raw_job(name):
-        def make():
-            df = wh.raw(name)
-            return _clustered(df, n, ["placed_at"], ["placed_at"]) if name == "orders" else df
-        return (f"raw.{name}", make, f"{vdir}/raw/{name}", None)
+        return (f"raw.{name}", lambda: laid_out(wh.raw(name), name, n), f"{vdir}/raw/{name}", None)
 
     # independent tables are written concurrently: small ones cost job overhead, not work
     _run_parallel([raw_job(t) for t in STORE_TABLES]
-                  + [("raw.fx_rates_daily", lambda: wh.fx_rates_daily, f"{vdir}/raw/fx_rates_daily", None)], step)
+                  + [("raw.fx_rates_daily", lambda: laid_out(wh.fx_rates_daily, "fx_rates_daily", n),
+                      f"{vdir}/raw/fx_rates_daily", None)], step)
 
     # the rest of the build reads the written raw layer, not the derivation again
     pub = PublishedWarehouse(spark, vdir, raw_only=True)
 
     def dw_job(name):
-        def make():
-            df = pub.table(name)
-            if name == "fact_sales":
-                return _clustered(df.withColumn("year", F.year("order_date")).withColumn("month", F.month("order_date")),
-                                  n, ["order_date"], ["placed_at", "order_id", "line_no"])
-            if name == "fact_orders":
-                return _clustered(df, n, ["order_date"], ["placed_at", "order_id"])
-            return df
-        parts = ["year", "month"] if name == "fact_sales" else None
-        return (f"dw.{name}", make, f"{vdir}/dw/{name}", parts)
+        return (f"dw.{name}", lambda: laid_out(pub.table(name), name, n), f"{vdir}/dw/{name}", PARTITIONS.get(name))
 
     for wave in STAR_WAVES:
         _run_parallel([dw_job(t) for t in wave], step)
         for t in wave:
             pub.mark_written(t)
 
-    finished = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
-    meta = spark.createDataFrame(steps, "label string, rows long, seconds double")
-    _write(meta.coalesce(1), f"{vdir}/meta/etl_steps")
-    info = spark.createDataFrame([(version, w, finished, source_time, round(time.time() - t_start, 3))],
-                                 "version string, max_order_id long, finished_at timestamp_ntz, "
-                                 "source_time timestamp_ntz, seconds double")
-    _write(info.coalesce(1), f"{vdir}/meta/etl_info")
+    note_run(spark, root, vdir, version, "full", w, data_until, t_start, steps)
     if publish_version:
         publish(root, version)
     return {"version": version, "path": vdir, "max_order_id": w, "steps": steps,
@@ -197,7 +227,7 @@ class PublishedWarehouse(Warehouse):
     def raw(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.vdir}/raw/{name}")
 
-    @property
+    @cached_property
     def max_order_id(self) -> int:  # type: ignore[override]
         info = f"{self.vdir}/meta/etl_info"
         if _exists(info):
