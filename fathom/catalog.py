@@ -95,6 +95,13 @@ def _register_loads():
         register(name, fn, OL.SQL.get(name))
 
 
+def _register_coverage():
+    from oracle import coverage as OC
+    from .plans.coverage import COVERAGE
+    for name, fn in COVERAGE.items():
+        register(name, fn, OC.SQL.get(name))
+
+
 def _register_streams():
     from oracle import streams as OS
     from oracle import with_fixtures
@@ -120,5 +127,6 @@ _register_analysis()
 _register_checks()
 _register_trees()
 _register_loads()
+_register_coverage()
 _register_streams()
 _register_idioms()

@@ -21,7 +21,7 @@ def check_unique(df: DataFrame, keys: list[str]) -> DataFrame:
 def check_fk(child: DataFrame, parent: DataFrame, child_keys: list[str], parent_keys: list[str]) -> DataFrame:
     """Child rows whose non-NULL key has no parent (left anti join)."""
     c = child.where(reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in child_keys]))
-    p = parent.select(*[F.col(pk).alias(ck) for ck, pk in zip(child_keys, parent_keys)]).distinct()
+    p = parent.select(*[F.col(pk).alias(ck) for ck, pk in zip(child_keys, parent_keys)])  # an anti join does not mind repeats
     return c.join(p, child_keys, "left_anti")
 
 
@@ -91,18 +91,27 @@ def difference_samples(a: DataFrame, b: DataFrame, n: int = 3, ignore: tuple[str
     return x.unionByName(y)
 
 
-def same_result(a: DataFrame, b: DataFrame, order: list[str], value_cols: list[str]) -> DataFrame:
-    """C4: pair rows by position in ``order`` and report cells that differ by more than
-    max(0.011, 1e-6 * max(|a|, |b|)); empty when the results agree."""
+def same_result(a: DataFrame, b: DataFrame, order: list[str]) -> DataFrame:
+    """C4: rows_a, rows_b, missing_columns, differing_cells of two results.
+
+    Rows are paired by their position in ``order``. Numbers agree within max(0.011, 1e-6 * max(|a|, |b|)); all
+    other cells agree when their normalized texts do (null with null only)."""
     from .keys import dense_key
-    ka = dense_key(a, order, "_pos").alias("a")
-    kb = dense_key(b, order, "_pos").alias("b")
+    shared = [c for c in a.columns if c in b.columns]
+    missing = len(set(a.columns) ^ set(b.columns))
+    ka, kb = dense_key(a.select(*shared), order, "_pos").alias("a"), dense_key(b.select(*shared), order, "_pos").alias("b")
+    numeric = {f.name for f in a.schema.fields if isinstance(f.dataType, T.NumericType)}
+    bad = []
+    for c in shared:
+        x, y = F.col(f"a.{c}"), F.col(f"b.{c}")
+        if c in numeric:
+            x, y = x.cast("double"), y.cast("double")
+            tol = F.greatest(F.lit(0.011), F.lit(1e-6) * F.greatest(F.abs(x), F.abs(y)))
+            differ = (x.isNull() != y.isNull()) | (F.abs(x - y) > tol)
+        else:
+            differ = ~x.cast("string").eqNullSafe(y.cast("string"))
+        bad.append(F.coalesce(differ, F.lit(False)).cast("int"))
     j = ka.join(kb, "_pos", "full")
-    diffs = []
-    for c in value_cols:
-        x, y = F.col(f"a.{c}").cast("double"), F.col(f"b.{c}").cast("double")
-        tol = F.greatest(F.lit(0.011), F.lit(1e-6) * F.greatest(F.abs(x), F.abs(y)))
-        bad = (x.isNull() != y.isNull()) | (F.abs(x - y) > tol)
-        diffs.append(F.when(bad, F.struct(F.lit(c).alias("column"), x.alias("a"), y.alias("b"))))
-    ex = j.select("_pos", F.explode(F.filter(F.array(*diffs), lambda d: d.isNotNull())).alias("d"))
-    return ex.select(F.col("_pos").alias("row"), "d.column", "d.a", "d.b")
+    both = F.col("a._pos").isNotNull() & F.col("b._pos").isNotNull()
+    return j.agg(F.count("a._pos").alias("rows_a"), F.count("b._pos").alias("rows_b"), F.lit(missing).cast("bigint").alias("missing_columns"),
+                 F.coalesce(F.sum(F.when(both, reduce(lambda u, v: u + v, bad)).otherwise(len(shared))), F.lit(0)).cast("bigint").alias("differing_cells"))

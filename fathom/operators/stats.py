@@ -140,12 +140,6 @@ def run_medians(df: DataFrame, keys: list[str], ms: str) -> DataFrame:
         F.min(ms).alias("min_ms"), F.max(ms).alias("max_ms"))
 
 
-def lower_median_rows(df: DataFrame, keys: list[str], ms: str) -> DataFrame:
-    """The whole record of the lower-median run of every group."""
-    r = group_rank(df, keys, [ms], "_r", "_n")
-    return r.where(F.col("_r") == F.floor((F.col("_n") - 1) / 2) + 1).drop("_r", "_n")
-
-
 def log_histogram(df: DataFrame, ms: str, keys: list[str], buckets: int = 38, low: float = 0.05) -> DataFrame:
     """Counts on log-spaced buckets between max(min positive, low) and the max value.
 

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.numeric import dround
-from ..operators.stats import latency_stats, log_histogram, lower_median_rows, run_medians
+from ..operators.stats import latency_stats, log_histogram, run_medians
 from ..session import shared_scratch
 from .warehouse import Warehouse
 

@@ -477,8 +477,3 @@ QUESTIONS = {
     "detail_extract": (q14_store, q14_star),
     "customer_orders": (q15_store, q15_star),
 }
-
-
-def question(wh: Warehouse, name: str, model: str = "star", **params) -> DataFrame:
-    store_fn, star_fn = QUESTIONS[name]
-    return (store_fn if model == "store" else star_fn)(wh, **params)

@@ -138,11 +138,6 @@ def v09_category_pages(wh: Warehouse) -> DataFrame:
                       dround(F.coalesce("rating", F.lit(0.0)), 4).alias("rating"), F.coalesce("reviews", F.lit(0)).cast("bigint").alias("reviews"))
 
 
-def page(df: DataFrame, order: list, number: int, size: int = PAGE_SIZE) -> DataFrame:
-    """OFFSET paging for one request."""
-    return df.orderBy(*order).offset((number - 1) * size).limit(size)
-
-
 # V-10 search ranked by trigram similarity, for every word of the catalog -----------------------------
 def _pieces(c):
     """Distinct substrings of one, two and three letters."""

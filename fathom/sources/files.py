@@ -17,7 +17,6 @@
 
 from __future__ import annotations
 
-import os
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -98,15 +97,15 @@ def summarize(df: DataFrame) -> DataFrame:
                  (F.percentile_approx(c.cast("double"), [0.25, 0.5, 0.75]) if is_num
                   else F.lit(None).cast("array<double>")).alias(f"q{i}"),
                  F.count(c).alias(f"ct{i}"), F.count(F.lit(1)).alias(f"n{i}")]
+    def entry(i: int, f: T.StructField):
+        missing = F.round((F.col(f"n{i}") - F.col(f"ct{i}")) * 100.0 / F.col(f"n{i}"), 2)
+        return F.struct(F.lit(f.name).alias("column_name"), F.lit(f.dataType.simpleString()).alias("column_type"),
+                        F.col(f"mn{i}").alias("min"), F.col(f"mx{i}").alias("max"), F.col(f"ad{i}").alias("approx_unique"),
+                        F.col(f"av{i}").alias("avg"), F.col(f"sd{i}").alias("std"), F.col(f"q{i}")[0].alias("q25"),
+                        F.col(f"q{i}")[1].alias("q50"), F.col(f"q{i}")[2].alias("q75"), F.col(f"ct{i}").alias("count"), missing.alias("null_pct"))
+    # one row over the whole table, exploded: one scan however many columns
     row = df.agg(*aggs)
-    parts = [row.select(F.lit(f.name).alias("column_name"), F.lit(f.dataType.simpleString()).alias("column_type"),
-                        F.col(f"mn{i}").alias("min"), F.col(f"mx{i}").alias("max"),
-                        F.col(f"ad{i}").alias("approx_unique"), F.col(f"av{i}").alias("avg"),
-                        F.col(f"sd{i}").alias("std"), F.col(f"q{i}")[0].alias("q25"), F.col(f"q{i}")[1].alias("q50"),
-                        F.col(f"q{i}")[2].alias("q75"), F.col(f"ct{i}").alias("count"),
-                        F.round((F.col(f"n{i}") - F.col(f"ct{i}")) * 100.0 / F.col(f"n{i}"), 2).alias("null_pct"))
-             for i, f in fields]
-    return reduce(DataFrame.unionByName, parts)
+    return row.select(F.explode(F.array(*[entry(i, f) for i, f in fields])).alias("x")).select("x.*")
 
 
 def max_text_lengths(df: DataFrame) -> DataFrame:
@@ -143,7 +142,7 @@ def csv_round_trip(df: DataFrame, path: str) -> DataFrame:
 
 def copy_tables(tables: dict[str, DataFrame], target: str) -> None:
     for name, df in tables.items():
-        df.write.mode("overwrite").option("compression", "zstd").parquet(os.path.join(target, name))
+        df.write.mode("overwrite").option("compression", "zstd").parquet(f"{target}/{name}")
 
 
 def verify_counts(spark: SparkSession, tables: dict[str, DataFrame], target: str) -> DataFrame:
@@ -152,15 +151,8 @@ def verify_counts(spark: SparkSession, tables: dict[str, DataFrame], target: str
     for n, df in tables.items():
         parts.append(df.agg(F.count(F.lit(1)).alias("v")).select(F.lit(n).alias("table_name"),
                                                                  F.lit("source_rows").alias("side"), "v"))
-        parts.append(spark.read.parquet(os.path.join(target, n)).agg(F.count(F.lit(1)).alias("v")).select(
+        parts.append(spark.read.parquet(f"{target}/{n}").agg(F.count(F.lit(1)).alias("v")).select(
             F.lit(n).alias("table_name"), F.lit("target_rows").alias("side"), "v"))
     u = reduce(DataFrame.unionByName, parts)
     p = u.groupBy("table_name").pivot("side", ["source_rows", "target_rows"]).agg(F.first("v"))
     return p.withColumn("ok", F.col("source_rows") == F.col("target_rows"))
-
-
-def generate_rows(spark: SparkSession, n: int, partitions: int | None = None) -> DataFrame:
-    """N generated rows (spark.range is split across tasks; nothing built on the driver)."""
-    r = spark.range(0, n, 1, partitions)
-    return r.select(F.col("id"), (F.col("id") % 97).alias("bucket"), F.sha2(F.col("id").cast("string"), 256)
-                    .alias("token"))
