@@ -7,6 +7,8 @@ Queries that looked at one id are run for every id.
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -193,7 +195,7 @@ def l12_daily_units_filled(wh: Warehouse, days: int = 14) -> DataFrame:
     last = _last(wh.fact_sales)
     prods = wh.product_stats.where(F.col("units_90d").between(5, 15)).select("product_id")
     grid = fill_days(prods, "day", F.date_sub(F.lit(last), days - 1), F.lit(last))
-    sales = wh.fact_sales.where(F.col("order_date") > F.date_sub(F.lit(last), days)).groupBy(
+    sales = wh.sales_after(last - dt.timedelta(days=days)).groupBy(
         "product_id", F.col("order_date").alias("day")).agg(F.sum("quantity").alias("q"))
     j = grid.join(sales, ["product_id", "day"], "left")
     return j.select("product_id", "day", F.date_format("day", "EEEE").alias("weekday"),

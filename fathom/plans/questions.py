@@ -11,6 +11,8 @@ months/dates DATE, counts BIGINT, money DECIMAL(18,2), ratios DOUBLE.
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -39,15 +41,17 @@ def _fx(wh: Warehouse) -> DataFrame:
                                                 F.col("units_per_usd").alias("_rate")))
 
 
-def _live_orders(wh: Warehouse) -> DataFrame:
+def _live_orders(wh: Warehouse, since=None) -> DataFrame:
     o = wh.raw("orders").where(F.col("status") != "cancelled")
+    if since is not None:  # a literal bound that reaches the scan
+        o = o.where(F.col("placed_at") >= F.lit(dt.datetime.combine(since, dt.time())).cast("timestamp_ntz"))
     o = o.withColumn("_day", F.col("placed_at").cast("date"))
     return o.join(_fx(wh), ["currency_code", "_day"])
 
 
-def _store_lines(wh: Warehouse) -> DataFrame:
-    """Non-cancelled order lines with their USD net value (rate of the order day)."""
-    o = _live_orders(wh).select(F.col("id").alias("order_id"), "customer_id", "placed_at", "_day", "_rate")
+def _store_lines(wh: Warehouse, since=None) -> DataFrame:
+    """Non-cancelled order lines (from day ``since``) with their USD net value (rate of the order day)."""
+    o = _live_orders(wh, since).select(F.col("id").alias("order_id"), "customer_id", "placed_at", "_day", "_rate")
     oi = wh.raw("order_items")
     j = oi.join(o, "order_id")
     return j.withColumn("net_usd", to_usd(line_net("unit_price", "quantity", "discount"), "_rate"))
@@ -55,17 +59,19 @@ def _store_lines(wh: Warehouse) -> DataFrame:
 
 def _store_tree(wh: Warehouse) -> DataFrame:
     """category id -> department (level1) and level2 of the walked tree."""
-    t = flatten_tree(wh.raw("categories"), "id", "parent_id", "name", levels=2)
-    return t.select(F.col("id").alias("category_id"), F.col("level1"), F.col("level2"))
+    if "_store_tree" not in wh.__dict__:  # its check runs once per warehouse
+        t = flatten_tree(wh.raw("categories"), "id", "parent_id", "name", levels=2)
+        wh.__dict__["_store_tree"] = t.select(F.col("id").alias("category_id"), F.col("level1"), F.col("level2"))
+    return wh.__dict__["_store_tree"]
 
 
 def _max_day_store(wh: Warehouse):
     """Newest order day up to the watermark (cancelled included), as a literal."""
-    return wh.raw("orders").agg(F.max("placed_at")).first()[0].date()
+    return wh.last_day
 
 
 def _max_day_star(wh: Warehouse):
-    return wh.fact_orders.agg(F.max("order_date")).first()[0]
+    return wh.last_day
 
 
 # -- Q-01 monthly revenue ------------------------------------------------------------
@@ -176,7 +182,7 @@ def _top3(rev: DataFrame) -> DataFrame:
 
 def q06_store(wh: Warehouse) -> DataFrame:
     last = _max_day_store(wh)
-    x = _store_lines(wh).where(F.col("_day") > F.date_sub(F.lit(last), 365))
+    x = _store_lines(wh, last - dt.timedelta(days=364)).groupBy("product_id").agg(F.sum("net_usd").alias("net_usd"))
     p = wh.raw("products").select(F.col("id").alias("product_id"), F.col("name").alias("product_name"), "category_id")
     x = x.join(p, "product_id").join(_store_tree(wh), "category_id")
     rev = x.groupBy(F.col("level1").alias("department"), "product_id", "product_name").agg(
@@ -186,7 +192,7 @@ def q06_store(wh: Warehouse) -> DataFrame:
 
 def q06_star(wh: Warehouse) -> DataFrame:
     last = _max_day_star(wh)
-    fs = wh.fact_sales.where(F.col("order_date") > F.date_sub(F.lit(last), 365))
+    fs = wh.sales_after(last - dt.timedelta(days=365)).groupBy("product_key", "product_id").agg(F.sum("net_usd").alias("net_usd"))
     dp = wh.dim_product.select("product_key", F.col("category_l1").alias("department"), "product_name")
     rev = fs.join(dp, "product_key").groupBy("department", "product_id").agg(
         F.max("product_name").alias("product_name"), F.sum("net_usd").alias("revenue_usd"))
@@ -225,7 +231,7 @@ def q07_store(wh: Warehouse) -> DataFrame:
 
 def q07_star(wh: Warehouse) -> DataFrame:
     last = _max_day_star(wh)
-    recent = wh.fact_sales.where(F.col("order_date") > F.date_sub(F.lit(last), 90)).select(
+    recent = wh.sales_after(last - dt.timedelta(days=90)).select(
         "order_id", "product_id").distinct()
     names = wh.dim_product.where("is_current").select(F.col("product_id").alias("pid"),
                                                        F.col("product_name").alias("pname"))
@@ -309,15 +315,15 @@ def q10_store(wh: Warehouse) -> DataFrame:
                      "department", "path_ids")
     c = wh.raw("customers").where(F.col("account_manager_id").isNotNull()).select(
         F.col("id").alias("customer_id"), "account_manager_id")
-    x = _store_lines(wh).where(F.col("_day") > F.date_sub(F.lit(last), 365)).join(c, "customer_id")
-    rev = x.groupBy("account_manager_id").agg(F.sum("net_usd").alias("revenue"))
+    x = _store_lines(wh, last - dt.timedelta(days=364)).groupBy("customer_id").agg(F.sum("net_usd").alias("net_usd"))
+    rev = x.join(c, "customer_id").groupBy("account_manager_id").agg(F.sum("net_usd").alias("revenue"))
     return _leaders(chain, rev)
 
 
 def q10_star(wh: Warehouse) -> DataFrame:
     last = _max_day_star(wh)
     dc = wh.dim_customer.where(F.col("account_manager_id").isNotNull()).select("customer_id", "account_manager_id")
-    fs = wh.fact_sales.where(F.col("order_date") > F.date_sub(F.lit(last), 365))
+    fs = wh.sales_after(last - dt.timedelta(days=365)).groupBy("customer_id").agg(F.sum("net_usd").alias("net_usd"))
     rev = fs.join(dc, "customer_id").groupBy("account_manager_id").agg(F.sum("net_usd").alias("revenue"))
     chain = wh.dim_employee.select("employee_id", "level", "name", "title", "department",
                                    F.col("management_chain_ids").alias("path_ids"))
@@ -365,19 +371,20 @@ def _yoy(monthly: DataFrame, current_month) -> DataFrame:
 
 def q12_store(wh: Warehouse) -> DataFrame:
     current = _max_day_store(wh).replace(day=1)
-    x = _store_lines(wh)
+    first = current.replace(year=current.year - 2)  # twelve months and the twelve before them
+    x = _store_lines(wh, first).groupBy("product_id", month_start("placed_at").alias("month")).agg(F.sum("net_usd").alias("net_usd"))
     p = wh.raw("products").select(F.col("id").alias("product_id"), "category_id")
     x = x.join(p, "product_id").join(_store_tree(wh), "category_id")
-    monthly = x.groupBy(F.col("level1").alias("department"), month_start("placed_at").alias("month")).agg(
-        F.sum("net_usd").alias("revenue"))
+    monthly = x.groupBy(F.col("level1").alias("department"), "month").agg(F.sum("net_usd").alias("revenue"))
     return _yoy(monthly, current)
 
 
 def q12_star(wh: Warehouse) -> DataFrame:
     current = _max_day_star(wh).replace(day=1)
     dp = wh.dim_product.select("product_key", F.col("category_l1").alias("department"))
-    monthly = wh.fact_sales.join(dp, "product_key").groupBy("department", month_start("order_date").alias("month")).agg(
-        F.sum("net_usd").alias("revenue"))
+    first = current.replace(year=current.year - 2) - dt.timedelta(days=1)
+    fs = wh.sales_after(first).groupBy("product_key", month_start("order_date").alias("month")).agg(F.sum("net_usd").alias("net_usd"))
+    monthly = fs.join(dp, "product_key").groupBy("department", "month").agg(F.sum("net_usd").alias("revenue"))
     return _yoy(monthly, current)
 
 
@@ -424,7 +431,7 @@ def q14_store(wh: Warehouse) -> DataFrame:
 
 def q14_star(wh: Warehouse) -> DataFrame:
     last = _max_day_star(wh)
-    fs = wh.fact_sales.where(F.col("order_date") == F.lit(last))
+    fs = wh.sales_after(last - dt.timedelta(days=1), last)
     dp = wh.dim_product.select("product_key", "product_name")
     return fs.join(dp, "product_key").select(*DETAIL_COLS).orderBy("order_id", "line_no")
 

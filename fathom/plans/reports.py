@@ -5,6 +5,8 @@ Every top-N here carries a total tie-break order so results are stable.
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -65,7 +67,7 @@ def top_products(wh: Warehouse, days: int = 90) -> DataFrame:
     fs = wh.fact_sales
     last = _last_day(fs)
     dp = wh.dim_product.select("product_key", "product_name", "brand")
-    x = fs.where(F.col("order_date") > F.date_sub(F.lit(last), days)).join(dp, "product_key")
+    x = wh.sales_after(last - dt.timedelta(days=days)).join(dp, "product_key")
     g = x.groupBy("product_name", "brand").agg(F.sum("quantity").cast("bigint").alias("units"),
                                                F.sum("net_usd").cast(MONEY).alias("revenue_usd"))
     return g.orderBy(F.col("revenue_usd").desc(), "product_name", "brand").limit(10)
@@ -125,7 +127,7 @@ def sales_leaders(wh: Warehouse) -> DataFrame:
     fs = wh.fact_sales
     last = _last_day(fs)
     dc = wh.dim_customer.where(F.col("account_manager_id").isNotNull()).select("customer_id", "account_manager_id")
-    rev = fs.where(F.col("order_date") > F.date_sub(F.lit(last), 365)).join(dc, "customer_id") \
+    rev = wh.sales_after(last - dt.timedelta(days=365)).join(dc, "customer_id") \
         .groupBy("account_manager_id").agg(F.sum("net_usd").alias("revenue"))
     e = wh.dim_employee
     below = ancestor_pairs(e, "employee_id", "management_chain_ids").withColumnRenamed("employee_id", "ae_id")

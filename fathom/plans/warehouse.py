@@ -76,6 +76,26 @@ class Warehouse:
             df = extract(df, ORDER_TABLES[name], self.max_order_id)
         return df
 
+    @cached_property
+    def last_day(self):
+        """Day of the newest order up to the watermark (cancelled included); a literal for filters."""
+        newest = self.raw("orders").agg(F.max("placed_at")).first()[0]
+        return newest.date() if newest is not None else None
+
+    def sales_after(self, after, upto=None) -> DataFrame:
+        """Sales with ``after`` < order_date (<= ``upto``). Where the table is partitioned by year and month, the same
+        bounds are put on those, so other months are not even listed."""
+        fs = self.fact_sales
+        cond = F.col("order_date") > F.lit(after)
+        if upto is not None:
+            cond = cond & (F.col("order_date") <= F.lit(upto))
+        if {"year", "month"} <= set(fs.columns):
+            month = F.col("year") * 12 + F.col("month")
+            cond = cond & (month >= after.year * 12 + after.month)
+            if upto is not None:
+                cond = cond & (month <= upto.year * 12 + upto.month)
+        return fs.where(cond)
+
     @cached_property
     def fx_rates_daily(self) -> DataFrame:
         return daily_rates(self.raw("fx_rates"))
