@@ -81,8 +81,8 @@ def masks(radius: int, agree: int) -> list[int]:
 
 
 def blocks_for(n: int, radius: int, shard_rows: int = SHARD_ROWS) -> int:
-    """Blocks that must agree, so that a shard of evenly spread fingerprints holds at most ``shard_rows``."""
-    agree = 1
+    """Blocks that must agree, two at least, so that a shard of evenly spread fingerprints holds at most ``shard_rows``."""
+    agree = 2
     while n / 2 ** (64 * agree // (radius + agree)) > shard_rows and agree < 4:
         agree += 1
     return agree
