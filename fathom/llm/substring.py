@@ -11,7 +11,8 @@ by a window that also starts in a document with a smaller doc_id goes.
    the documents, both cut into byte planes, about nine bytes a window; a
    window that a third of all documents share is one entry per group.
 2. Reduce: per bucket, the least document of each hash; the other documents are
-   told which of their windows are repeats.
+   told which of their windows are repeats, in packed rows per group of documents
+   that a second step sorts into one row per document.
 3. The answers meet the documents by doc_id; the covered words are the union of
    the repeated windows: maximal removal intervals.
 
@@ -35,13 +36,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize, whole_text
+from .common import fresh, materialize, whole_text
 
 WINDOW = 13
 #: Windows of a map group: settled together, travelling together.
 GROUP_WINDOWS = 2_000_000
 #: Windows of a reduce bucket, on average.
 BUCKET_WINDOWS = 1_500_000
+#: Windows of the documents that are told together what to remove, at most (were all of them repeats).
+TOLD_WINDOWS = 16_000_000
 #: Characters of a word and its blank, to size buckets only.
 WORD_CHARS = 6
 
@@ -94,21 +97,36 @@ def unplanes(raw: bytes) -> np.ndarray:
     return np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(8, -1).T).view("<u8").ravel()
 
 
-_OUT = pa.schema([("bucket", pa.int32()), ("doc_id", pa.int64()), ("base", pa.int64()), ("hashes", pa.binary()), ("docs", pa.binary())])
-SENT = "bucket int, doc_id long, base long, hashes binary, docs binary"
-TOLD = "doc_id long, hashes binary"
+_OUT = pa.schema([("bucket", pa.int32()), ("grp", pa.int32()), ("base", pa.int64()), ("hashes", pa.binary()), ("docs", pa.binary())])
+SENT = "bucket int, grp int, base long, hashes binary, docs binary"
+_TOLD = pa.schema([("grp", pa.int32()), ("docs", pa.binary()), ("hashes", pa.binary())])
+TOLD = "grp int, docs binary, hashes binary"
 
 
-def _by_doc(docs: np.ndarray, hashes: np.ndarray) -> tuple[np.ndarray, list[bytes]]:
-    """Distinct documents and the hashes of each."""
-    order = np.lexsort((hashes, docs))
-    docs, hashes = docs[order], np.ascontiguousarray(hashes[order])
+def _by_group(docs: np.ndarray, hashes: np.ndarray, groups: int) -> list[tuple[int, bytes, bytes]]:
+    """(group of documents, documents, hashes): what documents are told, packed by group."""
+    with np.errstate(over="ignore"):
+        own = ((docs.view(np.uint64) * np.uint64(BASE)) >> np.uint64(32)) % np.uint64(groups)
+    order = np.argsort(own, kind="stable")
+    own, docs, hashes = own[order], docs[order], hashes[order]
+    at = np.append(0, np.flatnonzero(np.diff(own)) + 1)
+    ends = np.append(at[1:], len(own)).tolist()
+    return [(int(own[a]), docs[a:b].tobytes(), hashes[a:b].tobytes()) for a, b in zip(at.tolist(), ends)]
+
+
+def _by_doc(group: pa.Table) -> pa.Table:
+    """One row per document: all it is told."""
+    docs = np.frombuffer(b"".join(group["docs"].to_pylist()), np.int64)
+    hashes = np.frombuffer(b"".join(group["hashes"].to_pylist()), np.uint64)
+    order = np.argsort(docs, kind="stable")
+    docs, hashes = docs[order], hashes[order]
     at = np.append(0, np.flatnonzero(np.diff(docs)) + 1)
     ends = np.append(at[1:], len(docs)).tolist()
-    return docs[at], [hashes[a:b].tobytes() for a, b in zip(at.tolist(), ends)]
+    return pa.Table.from_arrays([pa.array(docs[at]), pa.array([hashes[a:b].tobytes() for a, b in zip(at.tolist(), ends)], pa.binary())],
+                                names=["doc_id", "hashes"])
 
 
-def _send(window: int, buckets: int, group_windows: int):
+def _send(window: int, buckets: int, groups: int, group_windows: int):
     edges = np.array([((i << 64) // buckets) for i in range(1, buckets)], np.uint64)
 
     def settle(ids: list[int], hashed: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
@@ -120,10 +138,9 @@ def _send(window: int, buckets: int, group_windows: int):
         least = d[new][np.cumsum(new) - 1]
         again = (d > least) & (new | np.append(True, d[1:] != d[:-1]))
         if again.any():  # settled within the group
-            docs, raws = _by_doc(d[again], h[again])
-            k = len(docs)
-            yield pa.RecordBatch.from_arrays([pa.array((docs % buckets).astype(np.int32)), pa.array(docs), pa.array(np.zeros(k, np.int64)),
-                                              pa.array(raws, pa.binary()), pa.nulls(k, pa.binary())], schema=_OUT)
+            told = _by_group(d[again], h[again], groups)
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*[(g % buckets, g, None, x, docs) for g, docs, x in told]), _OUT.types)],
+                                             schema=_OUT)
         h, d = h[new], d[new]
         cuts = np.concatenate([[0], np.searchsorted(h, edges), [len(h)]])
         rows = []
@@ -151,13 +168,11 @@ def _send(window: int, buckets: int, group_windows: int):
     return run
 
 
-def _answer(buckets: int):
-    out = pa.schema([("doc_id", pa.int64()), ("hashes", pa.binary())])
-
+def _answer(buckets: int, groups: int):
     def run(rows: pa.Table) -> pa.Table:
         low = int(rows["bucket"][0].as_py() << 64) // buckets
-        settled = rows.filter(rows["docs"].is_null()).select(["doc_id", "hashes"])
-        rows = rows.filter(rows["docs"].is_valid())
+        settled = rows.filter(rows["base"].is_null()).select(["grp", "docs", "hashes"]).cast(_TOLD)
+        rows = rows.filter(rows["base"].is_valid())
         if not rows.num_rows:
             return settled
         h = np.concatenate([np.cumsum(unplanes(x.as_py()), dtype=np.uint64) + np.uint64(low) for x in rows["hashes"]])
@@ -170,30 +185,37 @@ def _answer(buckets: int):
         later = d > least
         if not later.any():
             return settled
-        docs, raws = _by_doc(d[later], h[later])
-        return pa.concat_tables([settled.cast(out), pa.Table.from_arrays([pa.array(docs), pa.array(raws, pa.binary())], schema=out)])
+        told = _by_group(d[later], h[later], groups)
+        return pa.concat_tables([settled, pa.Table.from_arrays([pa.array(c, t) for c, t in zip(zip(*told), _TOLD.types)], schema=_TOLD)])
     return run
 
 
 def repeats(docs: DataFrame, window: int = WINDOW, group_windows: int = GROUP_WINDOWS, bucket_windows: int = BUCKET_WINDOWS) -> DataFrame:
-    """doc_id, hashes: the window hashes of a document that start in one with a smaller doc_id (in several rows)."""
+    """doc_id, hashes: the window hashes of a document that start in one with a smaller doc_id (one row per document)."""
     spark = docs.sparkSession
     rows = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("doc_id"), whole_text().alias("text"))
     chars = rows.agg(F.sum(F.length("text"))).first()[0] or 0
     buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-chars // (WORD_CHARS * bucket_windows)))
-    # what a group has settled itself travels along, in any bucket, so that windows are hashed once
-    return rows.mapInArrow(_send(window, buckets, group_windows), SENT).groupBy("bucket").applyInArrow(_answer(buckets), TOLD)
+    groups = max(min(buckets, 64), -(-chars // (WORD_CHARS * TOLD_WINDOWS)))
+    # what a map group has settled itself travels along, in any bucket, so that windows are hashed once
+    told = rows.mapInArrow(_send(window, buckets, groups, group_windows), SENT).groupBy("bucket").applyInArrow(_answer(buckets, groups), TOLD)
+    return told.groupBy("grp").applyInArrow(_by_doc, "doc_id long, hashes binary")
+
 
+def drop_repeats(docs: DataFrame, window: int = WINDOW, prefix: str = "", **sizes) -> DataFrame:
+    """All columns of ``docs`` and, with the prefix, n_words, n_removed, kept (the words left, joined by one blank) and kept_sha256.
 
-def drop_repeats(docs: DataFrame, window: int = WINDOW, **sizes) -> DataFrame:
-    """All columns of ``docs`` plus n_words, n_removed, kept (the words left, joined by one blank) and kept_sha256."""
+    Columns of ``docs`` that have these names are replaced.
+    """
     told = materialize(repeats(docs, window, **sizes), "repeats")
-    by_doc = told.groupBy("doc_id").agg(F.collect_list("hashes").alias("_told")).withColumnRenamed("doc_id", "_key")
-    rows = docs.withColumn("_id", F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST))).join(by_doc, F.col("_id") == F.col("_key"), "left")
-    kept_names = [c for c in docs.columns if c not in ("n_words", "n_removed", "kept", "kept_sha256")]
-    fed = rows.select(*[F.col(c) for c in kept_names], "_told", whole_text().alias("_text"))
-    spec = fed.select(*kept_names, F.lit(0).cast("long").alias("n_words"), F.lit(0).cast("long").alias("n_removed"),
-                      F.lit("").alias("kept"), F.lit("").alias("kept_sha256")).schema
+    added = [prefix + c for c in ("n_words", "n_removed", "kept", "kept_sha256")]
+    kept_names = [c for c in docs.columns if c.lower() not in added]
+    own, key, answers, text = fresh(docs, "own_", "key_", "told_", "text_")
+    by_doc = told.select(F.col("doc_id").alias(key), F.col("hashes").alias(answers))
+    rows = docs.withColumn(own, F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST))).withColumn(text, whole_text())
+    fed = rows.join(by_doc, F.col(own) == F.col(key), "left").select(*kept_names, answers, text)
+    zero = F.lit(0).cast("long")
+    spec = fed.select(*kept_names, zero.alias(added[0]), zero.alias(added[1]), F.lit("").alias(added[2]), F.lit("").alias(added[3])).schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -203,8 +225,7 @@ def drop_repeats(docs: DataFrame, window: int = WINDOW, **sizes) -> DataFrame:
                 words = split_words(text.as_py())
                 left = words
                 if answer.is_valid and len(words) >= window:
-                    bad = np.concatenate([np.frombuffer(x, "<u8") for x in answer.as_py()])
-                    hit = np.isin(rolling(word_hashes(words), window), bad)
+                    hit = np.isin(rolling(word_hashes(words), window), np.frombuffer(answer.as_py(), "<u8"))
                     mark = np.zeros(len(words) + 1, np.int64)
                     mark[:len(hit)] += hit
                     mark[window:window + len(hit)] -= hit
@@ -216,6 +237,6 @@ def drop_repeats(docs: DataFrame, window: int = WINDOW, **sizes) -> DataFrame:
                 digests.append(hashlib.sha256(kept[-1].encode("utf-8", "surrogatepass")).hexdigest())
             own = [batch.column(i) for i in range(len(kept_names))]
             yield pa.RecordBatch.from_arrays([*own, pa.array(n_words, pa.int64()), pa.array(n_removed, pa.int64()), pa.array(kept, pa.string()),
-                                              pa.array(digests, pa.string())], names=[*kept_names, "n_words", "n_removed", "kept", "kept_sha256"])
+                                              pa.array(digests, pa.string())], names=[*kept_names, *added])
 
     return fed.mapInArrow(run, spec)
