@@ -23,6 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import fresh
 from .labelled import training_rows
 
 SAMPLE_ROWS = 8000
@@ -30,6 +31,8 @@ ALPHA, BETA, L1, L2 = 2.0, 1.0, 16.0, 0.1
 EPOCHS = 4
 #: A toxic row counts so many times the number of other rows for each toxic one.
 POSITIVE_SHARE = 0.5
+#: Features of fewer sample rows are left out before the fit; counted in a table of 2**TABLE_BITS places.
+MIN_ROWS, TABLE_BITS = 3, 22
 PAIR, SKIP = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 TRIM = ".,;:!?\"'()[]"
 
@@ -63,6 +66,13 @@ class FTRL:
         if not len(y) or y.min() == y.max():
             self.share = float(y.mean()) if len(y) else 0.0
             return self
+        # a feature of fewer documents could not overcome the L1 penalty; a table of counts by the low bits finds most of them
+        low = np.uint64((1 << TABLE_BITS) - 1)
+        seen = np.zeros(1 << TABLE_BITS, np.uint16)
+        for r in rows:
+            at = r & low
+            seen[at] += seen[at] < 60_000
+        rows = [r[seen[r & low] >= MIN_ROWS] for r in rows]
         names, flat = np.unique(np.concatenate(rows), return_inverse=True)
         ends = np.cumsum([len(r) for r in rows])
         z, n = np.zeros(len(names) + 1), np.zeros(len(names) + 1)  # the last is the bias, which has no L1
@@ -109,18 +119,19 @@ def train(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) ->
                 yield pa.RecordBatch.from_arrays([pa.array([y], pa.int32()), pa.array([np.unique(features(text)).tobytes()], pa.binary())], names=["y", "f"])
 
     rows = training_rows(docs, labels, "toxic", sample_rows).mapInArrow(run, "y int, f binary").collect()
-    rows.sort(key=lambda r: (r["y"], bytes(r["f"])))  # the same fit whatever the order of tasks
+    rows.sort(key=lambda r: (r["y"], r["f"][:64]))  # the same fit whatever the order of tasks
     return FTRL().fit([np.frombuffer(r["f"], np.uint64) for r in rows], np.array([r["y"] for r in rows], float))
 
 
-def score(docs: DataFrame, model: FTRL) -> DataFrame:
-    """All columns of ``docs`` and ``toxic_score`` (replacing one of that name)."""
-    kept = [c for c in docs.columns if c != "toxic_score"]
-    fed = docs.select(*kept, F.coalesce(F.col("text"), F.lit("")).alias("_text"))
+def score(docs: DataFrame, model: FTRL, name: str = "toxic_score") -> DataFrame:
+    """All columns of ``docs`` and the score (replacing a column of that name)."""
+    kept = [c for c in docs.columns if c.lower() != name]
+    text, = fresh(docs, "text_")
+    fed = docs.select(*kept, F.coalesce(F.col("text"), F.lit("")).alias(text))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             got = model.score(batch.column(len(kept)).to_pylist())
-            yield pa.RecordBatch.from_arrays([*[batch.column(i) for i in range(len(kept))], pa.array(got, pa.float64())], names=[*kept, "toxic_score"])
+            yield pa.RecordBatch.from_arrays([*[batch.column(i) for i in range(len(kept))], pa.array(got, pa.float64())], names=[*kept, name])
 
-    return fed.mapInArrow(run, fed.select(*kept, F.lit(0.0).alias("toxic_score")).schema)
+    return fed.mapInArrow(run, fed.select(*kept, F.lit(0.0).alias(name)).schema)
