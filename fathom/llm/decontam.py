@@ -18,7 +18,8 @@ fingerprinted and verified once, however many documents hold them.
 
 Seeds are literals of the plan, at most ``seed_block`` at a time (a benchmark
 with more is matched in blocks); documents are read once per block without a
-shuffle, and only rows with a hit go on.
+shuffle, and only rows with a hit go on. A benchmark of more than
+``BROADCAST_ROWS`` items meets the documents' shingles in a shuffle join instead.
 
 Defined results: null and empty texts and items match nothing; an item of
 fewer than five words has one shingle; a document shorter than an item is
@@ -83,11 +84,13 @@ def _small(df: DataFrame, rows: int) -> DataFrame:
     return F.broadcast(df) if rows <= BROADCAST_ROWS else df
 
 
-def _windows(docs: DataFrame, seeds: DataFrame, hashes: list[int]) -> DataFrame:
+def _windows(docs: DataFrame, seeds: DataFrame, hashes: list[int] | None) -> DataFrame:
     """doc_id, th, item_id, m, start, words of the windows that the given seeds put forward."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_hash().alias("th"), words_of(F.lower(whole_text())).alias("w"))
     # exploded as an expression: a filter on its size would be pushed down and evaluate it twice
-    hits = F.filter(F.transform(shingles(F.col("w")), lambda h, i: F.struct(h.alias("h"), i.alias("p"))), lambda x: x["h"].isin(hashes))
+    hits = F.transform(shingles(F.col("w")), lambda h, i: F.struct(h.alias("h"), i.alias("p")))
+    if hashes is not None:
+        hits = F.filter(hits, lambda x: x["h"].isin(hashes))
     found = rows.select("doc_id", "th", "w", F.explode(hits).alias("x")).select("doc_id", "th", "w", "x.h", "x.p").join(seeds, "h")
     last = F.greatest(F.size("w") - F.col("m"), F.lit(0))
     clip = lambda c: F.least(F.greatest(c, F.lit(0)), last)
@@ -103,12 +106,13 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, radius: int = RADIUS, si
     items = materialize(items_of(benchmark), "items")
     n_items = items.count()
     seeds = items.select("item_id", "m", "spare", F.posexplode(F.slice("hashes", F.lit(1), F.col("spare") + 1)).alias("o", "h"))
-    known = [r[0] for r in seeds.select("h").distinct().orderBy("h").collect()] if n_items <= BROADCAST_ROWS else None
-    if known is None:
-        raise ValueError(f"a benchmark of more than {BROADCAST_ROWS} items is to be given in parts")
-    parts = [known[i:i + seed_block] for i in range(0, len(known), seed_block)] or [[]]
-    windows = materialize(reduce(DataFrame.union, [
-        _windows(docs, _small(seeds.where(F.col("h").isin(part)), len(known)), part) for part in parts]).distinct(), "windows")
+    if n_items <= BROADCAST_ROWS:
+        known = [r[0] for r in seeds.select("h").distinct().orderBy("h").collect()]
+        parts = [known[i:i + seed_block] for i in range(0, len(known), seed_block)] or [[]]
+        found = reduce(DataFrame.union, [_windows(docs, F.broadcast(seeds.where(F.col("h").isin(part))), part) for part in parts])
+    else:  # too many seeds for the plan: every shingle of the documents meets them in a shuffle
+        found = _windows(docs, seeds, None)
+    windows = materialize(found.distinct(), "windows")
 
     same = ["item_id", "h1", "h2"]
     once = windows.groupBy(*same).agg(F.first("words").alias("words")).withColumn("hashes", shingles(F.col("words")))

@@ -37,6 +37,8 @@ from .components import components
 SHINGLE = 4
 RADIUS = 4
 TREE_ROWS = 4096
+#: Shingles whose bits are counted together.
+PART = 1 << 15
 #: Fingerprints of a shard, on average, at which another block is added to its key.
 SHARD_ROWS = 48
 
@@ -53,10 +55,13 @@ def simhash(text: str | None, shingle: int = SHINGLE) -> int:
         return xxhash.xxh64_intdigest(joined, 42)
     ends = np.cumsum(np.fromiter(map(len, words), np.int64, n) + 1)
     starts = (ends - np.diff(ends, prepend=0)).tolist()
-    cut = [joined[a:b] for a, b in zip(starts, (ends[shingle - 1:] - 1).tolist())]
-    h = np.fromiter(map(xxhash.xxh64_intdigest, cut, repeat(42)), np.uint64, len(cut))
-    ones = np.unpackbits(h.astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int32)
-    return int(np.packbits(2 * ones > len(h), bitorder="little").view("<u8")[0])
+    stops = (ends[shingle - 1:] - 1).tolist()
+    ones = np.zeros(64, np.int64)
+    for k in range(0, len(stops), PART):  # in parts, so that a very long text needs no memory for all its bits
+        cut = [joined[a:b] for a, b in zip(starts[k:k + PART], stops[k:k + PART])]
+        h = np.fromiter(map(xxhash.xxh64_intdigest, cut, repeat(42)), np.uint64, len(cut))
+        ones += np.unpackbits(h.astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int32)
+    return int(np.packbits(2 * ones > len(stops), bitorder="little").view("<u8")[0])
 
 
 def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:

@@ -4,8 +4,8 @@ Layout, all under one folder (Parquet containers, so that Spark's commit
 protocol makes a rerun after a lost executor safe):
 
 * ``payload``  one row per block: ``part, block``, the directory of its
-  documents in ascending key order (``doc_ids``, ``key64s``, ``lens``) and
-  ``ids``, the raw little-endian ids of all of them (2 bytes each when the
+  documents in ascending key order (``doc_ids``, ``key64s``, ``lens``, ``offs``:
+  ids before each in the block) and ``ids``, the raw little-endian ids of all of them (2 bytes each when the
   vocabulary allows, else 4);
 * ``parts``    one row per part: ids in all parts before it;
 * ``index``    one row per bucket of keys: a minimal perfect hash (levels of
@@ -40,12 +40,12 @@ from ..session import shared_scratch
 from .common import whole_text
 from .tokens import DEFAULT_TOKENIZER, END_ID, encoder
 
-#: A block is closed at so many ids.
-BLOCK_IDS = 1 << 20
+#: A block is closed at so many ids or documents.
+BLOCK_IDS, BLOCK_DOCS = 1 << 20, 1 << 16
 #: Keys of one index bucket, on average.
 BUCKET_KEYS = 1 << 15
 
-PAYLOAD = "part int, block int, width int, n_ids long, doc_ids array<bigint>, key64s array<bigint>, lens array<bigint>, ids binary"
+PAYLOAD = "part int, block int, width int, n_ids long, doc_ids array<bigint>, key64s array<bigint>, lens array<bigint>, offs array<bigint>, ids binary"
 INDEX = "bucket int, sizes array<bigint>, levels array<binary>, prints binary, starts binary, lens binary, copies binary"
 U64 = np.uint64
 
@@ -97,11 +97,11 @@ def _encode_blocks(tokenizer: str, end_id: int):
         part, enc, block = TaskContext.get().partitionId(), encoder(tokenizer), 0
         width = enc.dtype.itemsize
         end = np.array([end_id], enc.dtype).tobytes()
-        ids, docs, keys, lens, n = [], [], [], [], 0
+        ids, docs, keys, lens, offs, n = [], [], [], [], [], 0
 
         def close():
             row = {"part": [part], "block": [block], "width": [width], "n_ids": [n], "doc_ids": [docs], "key64s": [keys],
-                   "lens": [lens], "ids": [b"".join(ids)]}
+                   "lens": [lens], "offs": [offs], "ids": [b"".join(ids)]}
             return pa.RecordBatch.from_pydict(row, schema=_PAYLOAD_ARROW)
 
         for batch in batches:
@@ -111,10 +111,11 @@ def _encode_blocks(tokenizer: str, end_id: int):
                 docs.append(doc_ids[i])
                 keys.append(key64s[i])
                 lens.append(len(got) + 1)
+                offs.append(n)
                 n += len(got) + 1
-                if n >= BLOCK_IDS:
+                if n >= BLOCK_IDS or len(docs) >= BLOCK_DOCS:
                     yield close()
-                    ids, docs, keys, lens, n, block = [], [], [], [], 0, block + 1
+                    ids, docs, keys, lens, offs, n, block = [], [], [], [], [], 0, block + 1
         if docs:
             yield close()
     return run
@@ -122,7 +123,7 @@ def _encode_blocks(tokenizer: str, end_id: int):
 
 _PAYLOAD_ARROW = pa.schema([("part", pa.int32()), ("block", pa.int32()), ("width", pa.int32()), ("n_ids", pa.int64()),
                             ("doc_ids", pa.list_(pa.int64())), ("key64s", pa.list_(pa.int64())), ("lens", pa.list_(pa.int64())),
-                            ("ids", pa.binary())])
+                            ("offs", pa.list_(pa.int64())), ("ids", pa.binary())])
 _INDEX_ARROW = pa.schema([("bucket", pa.int32()), ("sizes", pa.list_(pa.int64())), ("levels", pa.list_(pa.binary())),
                           ("prints", pa.binary()), ("starts", pa.binary()), ("lens", pa.binary()), ("copies", pa.binary())])
 
@@ -168,9 +169,11 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str = DEFAULT_TOKENIZER,
 
 def directory(spark: SparkSession, path: str) -> DataFrame:
     """A row per stored document from the blocks' directories, without reading the ids."""
-    blocks = spark.read.schema(PAYLOAD).parquet(f"{path}/payload").select("part", "block", "n_ids", "doc_ids", "key64s", "lens")
-    return _with_start(blocks.select("part", "block", "n_ids", F.posexplode(F.arrays_zip("doc_ids", "key64s", "lens")).alias("i", "d"),
-                                     F.col("lens").alias("all_lens")), spark, path)
+    blocks = spark.read.schema(PAYLOAD).parquet(f"{path}/payload")
+    rows = blocks.select("part", "block", F.explode(F.arrays_zip("doc_ids", "key64s", "lens", "offs")).alias("d"))
+    return rows.join(_block_starts(spark, path), ["part", "block"]).select(
+        F.col("d.doc_ids").alias("doc_id"), F.col("d.key64s").alias("key64"), (F.col("block_start") + F.col("d.offs")).alias("start"),
+        F.col("d.lens").alias("n_tokens"))
 
 
 def _block_starts(spark: SparkSession, path: str) -> DataFrame:
@@ -182,14 +185,6 @@ def _block_starts(spark: SparkSession, path: str) -> DataFrame:
         "part", "block", (F.col("before") + F.col("in_part")).alias("block_start"))
 
 
-def _with_start(exploded: DataFrame, spark: SparkSession, path: str) -> DataFrame:
-    before = F.aggregate(F.slice("all_lens", 1, F.col("i")), F.lit(0).cast("long"), lambda a, x: a + x)
-    rows = exploded.select("part", "block", F.col("d.doc_ids").alias("doc_id"), F.col("d.key64s").alias("key64"),
-                           F.col("d.lens").alias("n_tokens"), before.alias("in_block"))
-    return rows.join(_block_starts(spark, path), ["part", "block"]).select(
-        "doc_id", "key64", (F.col("block_start") + F.col("in_block")).alias("start"), "n_tokens")
-
-
 def lookup(spark: SparkSession, path: str, keys: DataFrame, bucket_keys: int = BUCKET_KEYS) -> DataFrame:
     """``keys`` (doc_id) -> doc_id, start, n_tokens, copies, found; through the index alone.
 
