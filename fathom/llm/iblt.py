@@ -36,10 +36,14 @@ from pyspark.sql import functions as F
 from .common import let, materialize, whole_text
 
 RANGE_ROWS = 2000
+#: Ranges at most, since their bounds are literals of the plan; beyond that ranges hold more rows (a window that spills).
+RANGES = 100_000
 #: Cells of a subtable of the fingerprint string.
 PRINT_CELLS = 8
-#: Cells per element that is expected to differ.
-ROOM = 2.0
+#: Cells per element that is expected to differ, and the cells that a subtable has besides: few small sketches fail.
+ROOM, LEAST_CELLS = 3.0, 16
+#: Pairs to sketch anew that may be broadcast (three numbers each); more are joined by a shuffle.
+BROADCAST_PAIRS = 1_000_000
 #: Rounds over one subtable each; what is left then is sketched anew.
 ROUNDS = 12
 
@@ -80,7 +84,7 @@ def with_next(docs: DataFrame, range_rows: int = RANGE_ROWS) -> DataFrame:
     """doc_id, text, next (text of the next document in descending doc_id order, of the first after the last), rng, rn."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), whole_text().alias("text"))
     n = rows.count()
-    cuts = -(-n // range_rows) - 1
+    cuts = -(-n // max(range_rows, -(-n // RANGES))) - 1 if n else 0
     bounds = []
     if cuts > 0:
         got = rows.agg(F.percentile_approx("doc_id", [(i + 1) / (cuts + 1) for i in range(cuts)], 10 * (cuts + 1))).first()[0]
@@ -128,7 +132,7 @@ def _attempt(pairs: DataFrame, attempt: int) -> DataFrame:
     """pairs (rng, rn, pair, size, plus, minus: arrays of elements) -> KEY, only_plus, only_minus, left (cells not peeled)."""
     signed = F.concat(F.transform("plus", lambda k: F.struct(k.alias("k"), F.lit(1).alias("c"))),
                       F.transform("minus", lambda k: F.struct(k.alias("k"), F.lit(-1).alias("c"))))
-    rows = pairs.repartition("rng", "rn").select(*KEY, "size", F.explode(signed).alias("x")).select(*KEY, "size", "x.k", "x.c")
+    rows = pairs.select(*KEY, "size", F.explode(signed).alias("x")).select(*KEY, "size", "x.k", "x.c")
     places = F.array(*[place(F.col("k"), s, F.col("size"), attempt) for s in range(3)])
     rows = rows.select(*KEY, "size", F.explode(places).alias("cell"), "c", "k", check(F.col("k")).alias("h"))
 
@@ -155,24 +159,26 @@ def _attempt(pairs: DataFrame, attempt: int) -> DataFrame:
 def differences(pairs: DataFrame) -> DataFrame:
     """pairs (rng, rn, pair, plus, minus, expect: share of elements that may differ) -> KEY, only_plus, only_minus.
 
-    Pairs that do not differ at all have no row.
+    Pairs dealt by (rng, rn) beforehand are not shuffled again. Pairs that do not differ at all have no row.
     """
     attempt, done = 0, None
     while True:
-        cells = F.ceil((F.size("plus") + F.size("minus")) * F.col("expect") * (ROOM * 2 ** attempt / 3)) + 4
+        cells = F.ceil((F.size("plus") + F.size("minus")) * F.col("expect") * (ROOM * 2 ** attempt / 3)) + LEAST_CELLS * 2 ** attempt
         got = materialize(_attempt(pairs.withColumn("size", cells.cast("int")), attempt), "peeled")
         good = got.where("left = 0").drop("left")
         done = good if done is None else done.unionByName(good)
-        if got.where("left > 0").isEmpty():
+        failed = got.where("left > 0").select(*KEY)
+        n = failed.count()
+        if not n:
             return done
-        pairs = pairs.join(got.where("left > 0").select(*KEY), KEY, "left_semi")
+        pairs = pairs.join(F.broadcast(failed) if n <= BROADCAST_PAIRS else failed, KEY, "left_semi")
         attempt += 1
 
 
 def fingerprint_edits(docs: DataFrame, range_rows: int = RANGE_ROWS) -> DataFrame:
     """doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next for every row."""
     rows = materialize(versions(docs, range_rows), "versions")
-    pairs = rows.select("rng", "rn", F.explode(F.array(
+    pairs = rows.repartition("rng", "rn").select("rng", "rn", F.explode(F.array(
         F.struct(F.lit(0).alias("pair"), F.lit(0.5).alias("expect"), F.col("a").alias("plus"), F.col("e").alias("minus")),
         F.struct(F.lit(1).alias("pair"), F.lit(1.0).alias("expect"), F.col("a").alias("plus"), F.col("n").alias("minus")))).alias("p")).select("rng", "rn", "p.*")
     found = differences(pairs)

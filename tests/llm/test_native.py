@@ -52,6 +52,7 @@ def test_edits(docs, range_rows):
 
 def test_small_sketches_are_retried(docs, monkeypatch):
     monkeypatch.setattr(iblt, "ROOM", 0.3)
+    monkeypatch.setattr(iblt, "LEAST_CELLS", 1)
     test_edits(docs, 2000)
 
 
@@ -99,7 +100,7 @@ def test_leaks(spark, docs, read):
     assert got == pytest.approx(want)
 
 
-def test_edited_leaks_and_edges(spark, edge, empty):
+def test_edited_leaks_and_edges(spark, edge, empty, monkeypatch):
     item = " ".join(f"w{i}" for i in range(50))
     changed = item.replace("w20", "other")  # 5 of 46 shingles differ: 41 / 51
     longer = item.replace("w3 ", "w3 more ")
@@ -111,6 +112,10 @@ def test_edited_leaks_and_edges(spark, edge, empty):
     assert got == pytest.approx(want)
     # more seeds than a block holds change nothing
     assert leaks(decontam.contaminated(docs, items, seed_block=3)) == pytest.approx(want)
+    # nor does the way that a large benchmark takes
+    monkeypatch.setattr(decontam, "BROADCAST_ROWS", 0)
+    assert leaks(decontam.contaminated(docs, items)) == pytest.approx(want)
+    monkeypatch.undo()
     kept = decontam.drop_contaminated(docs, items)
     assert sorted(r.doc_id for r in kept.collect()) == [5, 6] and kept.columns == docs.columns
     assert decontam.contaminated(empty, items).count() == 0
