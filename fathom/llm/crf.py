@@ -26,11 +26,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import fresh
+from .common import fresh, text_batches
 from .labelled import training_rows
 
 SAMPLE_ROWS = 6000
-#: Lines of a document that training looks at (its marginals still take all lines); documents of the sample only.
+#: Documents scored together; bounds a worker's memory.
+TEXTS = 200
 EPOCHS = 120
 RATE = 0.15
 PENALTY = 2e-4
@@ -182,11 +183,12 @@ def score(docs: DataFrame, model: LineCRF, name: str = "quality_score") -> DataF
     """All columns of ``docs`` and the score (replacing a column of that name)."""
     kept = [c for c in docs.columns if c.lower() != name]
     text, = fresh(docs, "text_")
-    fed = docs.select(*kept, F.coalesce(F.col("text"), F.lit("")).alias(text))
+    fed = text_batches(docs).select(*kept, F.coalesce(F.col("text"), F.lit("")).alias(text))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            got = model.quality(batch.column(len(kept)).to_pylist())
+            texts = batch.column(len(kept))
+            got = np.concatenate([np.zeros(0), *[model.quality(texts.slice(a, TEXTS).to_pylist()) for a in range(0, len(texts), TEXTS)]])
             yield pa.RecordBatch.from_arrays([*[batch.column(i) for i in range(len(kept))], pa.array(got, pa.float64())], names=[*kept, name])
 
     return fed.mapInArrow(run, fed.select(*kept, F.lit(0.0).alias(name)).schema)

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize, whole_text
+from .common import materialize, text_batches, whole_text
 from .tokens import DEFAULT_TOKENIZER, END_ID, encoder
 
 WINDOW = 4096
@@ -101,7 +101,7 @@ def pieces(docs: DataFrame, window: int = WINDOW, tokenizer: str = DEFAULT_TOKEN
                     out.append((doc_id, a, len(ids), zlib.crc32(ids.tobytes()), len(raw), salt))
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out)], schema=schema) if out else pa.RecordBatch.from_pylist([], schema=schema)
 
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("doc_id", "text").alias("salt"), whole_text().alias("text"))
+    rows = text_batches(docs).select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("doc_id", "text").alias("salt"), whole_text().alias("text"))
     return rows.mapInArrow(run, PIECES)
 
 

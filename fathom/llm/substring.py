@@ -36,11 +36,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import fresh, materialize, whole_text
+from .common import fresh, materialize, text_batches, whole_text
 
 WINDOW = 13
 #: Windows of a map group: settled together, travelling together.
-GROUP_WINDOWS = 2_000_000
+GROUP_WINDOWS = 1_000_000
 #: Windows of a reduce bucket, on average.
 BUCKET_WINDOWS = 1_500_000
 #: Windows of the documents that are told together what to remove, at most (were all of them repeats).
@@ -193,7 +193,7 @@ def _answer(buckets: int, groups: int):
 def repeats(docs: DataFrame, window: int = WINDOW, group_windows: int = GROUP_WINDOWS, bucket_windows: int = BUCKET_WINDOWS) -> DataFrame:
     """doc_id, hashes: the window hashes of a document that start in one with a smaller doc_id (one row per document)."""
     spark = docs.sparkSession
-    rows = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("doc_id"), whole_text().alias("text"))
+    rows = text_batches(docs).select(F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("doc_id"), whole_text().alias("text"))
     chars = rows.agg(F.sum(F.length("text"))).first()[0] or 0
     buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-chars // (WORD_CHARS * bucket_windows)))
     groups = max(min(buckets, 64), -(-chars // (WORD_CHARS * TOLD_WINDOWS)))

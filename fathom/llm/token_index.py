@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window
 
 from ..session import shared_scratch
-from .common import whole_text
+from .common import text_batches, whole_text
 from .tokens import DEFAULT_TOKENIZER, END_ID, encoder
 
 #: A block is closed at so many ids or documents.
@@ -136,7 +136,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str = DEFAULT_TOKENIZER,
                  bucket_keys: int = BUCKET_KEYS) -> None:
     """Encode every whole text and write payload, parts and index under ``path``."""
     spark = docs.sparkSession
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(F.col("doc_id").cast("long")).alias("key64"),
+    rows = text_batches(docs).select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(F.col("doc_id").cast("long")).alias("key64"),
                        whole_text().alias("text"))
     dealt = rows.repartitionByRange(F.col("doc_id").asc_nulls_first(), F.xxhash64("text")).sortWithinPartitions(
         F.col("doc_id").asc_nulls_first(), F.xxhash64("text"))
