@@ -19,6 +19,19 @@ def whole_text(col: str | Column = "text") -> Column:
     return F.coalesce(F.col(col) if isinstance(col, str) else col, F.lit(""))
 
 
+#: Whole texts are large rows: so many of them travel to Python at once.
+TEXTS_PER_BATCH = 1000
+
+
+def text_batches(df: DataFrame) -> DataFrame:
+    """``df``, with the session's Arrow batches held to ``TEXTS_PER_BATCH`` rows (at most what the session asks for)."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    conf = df.sparkSession.conf
+    if not 0 < int(conf.get(key, "10000")) <= TEXTS_PER_BATCH:
+        conf.set(key, str(TEXTS_PER_BATCH))
+    return df
+
+
 def fresh(df: DataFrame, *names: str) -> list[str]:
     """Each name, or the name with underscores before it if ``df`` has such a column."""
     taken, out = {c.lower() for c in df.columns}, []
@@ -49,12 +62,19 @@ def words_of(text: Column) -> Column:
 _SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
+#: Narrow rows (a few numbers each) of one file, where their number is known.
+ROWS_PER_FILE = 500_000
+
+
+def materialize(df: DataFrame, name: str, narrow_rows: int | None = None) -> DataFrame:
     """Write ``df`` to the shared scratch folder and read it back: cuts lineage, survives lost executors.
 
     The write's shuffle files are no longer needed once it has committed, so they are let go at once.
+    ``narrow_rows``, a bound of the number of rows of a few numbers each, keeps small tables from many files.
     """
     spark = df.sparkSession
+    if narrow_rows is not None:
+        df = df.coalesce(max(8, -(-narrow_rows // ROWS_PER_FILE)))
     path = shared_scratch(spark, name)
     before = spark.conf.get(_SHUFFLE_CLEANUP, "false")
     spark.conf.set(_SHUFFLE_CLEANUP, "true")

@@ -36,7 +36,7 @@ def components(edges: DataFrame) -> DataFrame:
     now = materialize(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "links")
     state = _state(now)
     while state[0]:
-        now = materialize(_small_star(_large_star(now)), "links")
+        now = materialize(_small_star(_large_star(now)), "links", 2 * state[0])  # stars add no links but those to a root
         new = _state(now)
         if new == state:
             break

@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import fresh, materialize, text_hash, whole_text
+from .common import fresh, materialize, text_batches, text_hash, whole_text
 from .components import components
 
 SHINGLE = 4
@@ -73,7 +73,7 @@ def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
             fps = np.array([simhash(t.as_py(), shingle) for t in batch.column(2)], np.uint64).view(np.int64)
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(fps, pa.int64())], schema=schema)
 
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_hash().alias("th"), whole_text().alias("text"))
+    rows = text_batches(docs).select(F.col("doc_id").cast("long").alias("doc_id"), text_hash().alias("th"), whole_text().alias("text"))
     return rows.mapInArrow(run, "doc_id long, th long, fp long")
 
 
@@ -196,7 +196,7 @@ def links(distinct: DataFrame, radius: int = RADIUS, tree_rows: int = TREE_ROWS,
 def _grouped(docs: DataFrame, shingle: int, radius: int, tree_rows: int) -> tuple[DataFrame, DataFrame]:
     """Marked rows (doc_id, th, fp), and fp, head (least doc_id), root (one per component)."""
     marked = materialize(fingerprints(docs, shingle), "simhash")
-    heads = materialize(marked.groupBy("fp").agg(F.min("doc_id").alias("head")), "simhash-heads")
+    heads = materialize(marked.groupBy("fp").agg(F.min("doc_id").alias("head")), "simhash-heads", marked.count())
     groups = components(links(heads.select("fp"), radius, tree_rows))
     return marked, heads.join(groups, heads["fp"] == groups["node"], "left").select("fp", "head", F.coalesce("root", "fp").alias("root"))
 
@@ -215,7 +215,7 @@ def keep_first(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS, tr
     own, text, copies, n = fresh(docs, "own_", "th_", "copies_", "n_")
     chosen = rows.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "th", "copies")).alias("r")).select(
         F.col("r.doc_id").alias(own), F.col("r.th").alias(text), F.col("r.copies").alias(copies))
-    chosen = materialize(chosen, "simhash-kept")
+    chosen = materialize(chosen, "simhash-kept", marked.count())
     found = docs.join(chosen, docs["doc_id"].cast("long").eqNullSafe(F.col(own)) & (text_hash() == F.col(text)))
     if chosen.where(F.col(copies) > 1).isEmpty():
         return found.select(*docs.columns)
