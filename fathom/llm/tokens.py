@@ -23,9 +23,9 @@ import numpy as np
 DEFAULT_TOKENIZER = "word_bpe_49k.json"
 END_ID = 2
 #: Chunks kept per worker; when the table is full, others are encoded each time (bounds memory, not results).
-CACHE_WORDS = 1_000_000
+CACHE_WORDS = 700_000
 #: Words looked up together.
-GROUP_WORDS = 200_000
+GROUP_WORDS = 6_000
 #: Longer chunks are encoded but not kept.
 CACHE_CHARS = 64
 
