@@ -33,7 +33,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import let, materialize, whole_text
+from .common import ROWS_PER_FILE, let, materialize, whole_text
 
 RANGE_ROWS = 2000
 #: Ranges at most, since their bounds are literals of the plan; beyond that ranges hold more rows (a window that spills).
@@ -42,6 +42,8 @@ RANGES = 100_000
 PRINT_CELLS = 8
 #: Cells per element that is expected to differ, and the cells that a subtable has besides: few small sketches fail.
 ROOM, LEAST_CELLS = 3.0, 16
+#: Documents whose cells are peeled in one task, on average; a task's cells fit its memory.
+PEEL_ROWS = 2000
 #: Pairs to sketch anew that may be broadcast (three numbers each); more are joined by a shuffle.
 BROADCAST_PAIRS = 1_000_000
 #: Rounds over one subtable each; what is left then is sketched anew.
@@ -156,7 +158,7 @@ def _attempt(pairs: DataFrame, attempt: int) -> DataFrame:
                                    F.count(F.when(F.col("cell") >= 0, 1)).alias("left"))
 
 
-def differences(pairs: DataFrame) -> DataFrame:
+def differences(pairs: DataFrame, n_pairs: int) -> DataFrame:
     """pairs (rng, rn, pair, plus, minus, expect: share of elements that may differ) -> KEY, only_plus, only_minus.
 
     Pairs dealt by (rng, rn) beforehand are not shuffled again. Pairs that do not differ at all have no row.
@@ -164,7 +166,9 @@ def differences(pairs: DataFrame) -> DataFrame:
     attempt, done = 0, None
     while True:
         cells = F.ceil((F.size("plus") + F.size("minus")) * F.col("expect") * (ROOM * 2 ** attempt / 3)) + LEAST_CELLS * 2 ** attempt
-        got = materialize(_attempt(pairs.withColumn("size", cells.cast("int")), attempt), "peeled")
+        counts = _attempt(pairs.withColumn("size", cells.cast("int")), attempt)
+        # a few numbers a pair, dealt to few files
+        got = materialize(counts.repartition(max(8, -(-n_pairs // ROWS_PER_FILE))), "peeled")
         good = got.where("left = 0").drop("left")
         done = good if done is None else done.unionByName(good)
         failed = got.where("left > 0").select(*KEY)
@@ -178,10 +182,12 @@ def differences(pairs: DataFrame) -> DataFrame:
 def fingerprint_edits(docs: DataFrame, range_rows: int = RANGE_ROWS) -> DataFrame:
     """doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next for every row."""
     rows = materialize(versions(docs, range_rows), "versions")
-    pairs = rows.repartition("rng", "rn").select("rng", "rn", F.explode(F.array(
+    n = rows.count()
+    parts = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-n // PEEL_ROWS))
+    pairs = rows.repartition(parts, "rng", "rn").select("rng", "rn", F.explode(F.array(
         F.struct(F.lit(0).alias("pair"), F.lit(0.5).alias("expect"), F.col("a").alias("plus"), F.col("e").alias("minus")),
         F.struct(F.lit(1).alias("pair"), F.lit(1.0).alias("expect"), F.col("a").alias("plus"), F.col("n").alias("minus")))).alias("p")).select("rng", "rn", "p.*")
-    found = differences(pairs)
+    found = differences(pairs, 2 * n)
     by_row = found.groupBy("rng", "rn").agg(*[
         F.max(F.when(F.col("pair") == p, F.col(c))).alias(f"{c}_{p}") for p in (0, 1) for c in ("only_plus", "only_minus")])
 
