@@ -20,7 +20,7 @@ def test_store_table_matches_oracle(wh, con, table):
     assert compare(df, con, sql, cols) is None
 
 
-STAR = [("fx_rates_daily", "dw_fx"), ("dim_category", "dw_dim_category"), ("dim_product", "dw_dim_product"),
+STAR = [("fx_rates_daily", "st_fx_rates_daily"), ("dim_category", "dw_dim_category"), ("dim_product", "dw_dim_product"),
         ("dim_employee", "dw_dim_employee"), ("dim_customer", "dw_dim_customer"), ("fact_orders", "dw_fact_orders"),
         ("fact_sales", "dw_fact_sales"), ("fact_returns", "dw_fact_returns"), ("fact_reviews", "dw_fact_reviews")]
 
