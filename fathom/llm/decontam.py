@@ -9,11 +9,12 @@ words as the benchmark item. A window counts as the item's passage if
 * the weighted similarity of the shingles (sum of lesser counts over sum of
   greater counts) is 0.8 or more, computed exactly.
 
-Which windows are fingerprinted: a window with similarity s shares all but
-(1 - s) / (1 + s) of the item's shingles, so it holds at least one of any
-larger part of them. The first such part of each item are its seeds; windows
-start where a seed in the document puts them, give or take the number of words
-that may differ. No passage is lost by this. Windows with the same words are
+Which windows are fingerprinted: a window of at most the item's length and with
+similarity s lacks at most 1 - s of the item's shingles (the bound also holds for
+a document shorter than the item), so it holds at least one of any larger part of
+them. The first such part of each item are its seeds; windows start where a seed
+in the document puts them, give or take the number of words that may differ in a
+window as long as the item. Windows with the same words are
 fingerprinted and verified once, however many documents hold them.
 
 Seeds are literals of the plan, at most ``seed_block`` at a time (a benchmark
@@ -71,13 +72,14 @@ def blocks(fp: Column, radius: int = RADIUS) -> Column:
                      for i, (a, b) in enumerate(zip(cuts, cuts[1:]))])
 
 
-def items_of(benchmark: DataFrame) -> DataFrame:
-    """item_id, m (words), hashes, fp, spare (shingles that may be missing)."""
+def items_of(benchmark: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+    """item_id, m (words), hashes, fp, n_seeds (one more than the shingles that any window may lack), spare (those a window of m words may lack)."""
     words = words_of(F.lower(whole_text()))
     rows = benchmark.select("item_id", words.alias("w")).where(F.size("w") > 0).select(
         "item_id", F.size("w").alias("m"), shingles(F.col("w")).alias("hashes"))
-    spare = F.floor(F.size("hashes") * ((1 - SIMILARITY) / (1 + SIMILARITY)) + 1e-9).cast("int")
-    return rows.select("item_id", "m", "hashes", simhash(F.col("hashes")).alias("fp"), spare.alias("spare")).distinct()
+    share = lambda part: F.floor(F.size("hashes") * part + 1e-9).cast("int")
+    return rows.select("item_id", "m", "hashes", simhash(F.col("hashes")).alias("fp"), (share(1 - similarity) + 1).alias("n_seeds"),
+                       share((1 - similarity) / (1 + similarity)).alias("spare")).distinct()
 
 
 def _small(df: DataFrame, rows: int) -> DataFrame:
@@ -103,9 +105,9 @@ def _windows(docs: DataFrame, seeds: DataFrame, hashes: list[int] | None) -> Dat
 def contaminated(docs: DataFrame, benchmark: DataFrame, radius: int = RADIUS, similarity: float = SIMILARITY,
                  seed_block: int = SEED_BLOCK) -> DataFrame:
     """doc_id, th (hash of the text), item_id, start, n_words, hamming, similarity: the best window of every document and item that match."""
-    items = materialize(items_of(benchmark), "items")
+    items = materialize(items_of(benchmark, similarity), "items")
     n_items = items.count()
-    seeds = items.select("item_id", "m", "spare", F.posexplode(F.slice("hashes", F.lit(1), F.col("spare") + 1)).alias("o", "h"))
+    seeds = items.select("item_id", "m", "spare", F.posexplode(F.slice("hashes", F.lit(1), F.col("n_seeds"))).alias("o", "h"))
     if n_items <= BROADCAST_ROWS:
         known = [r[0] for r in seeds.select("h").distinct().orderBy("h").collect()]
         parts = [known[i:i + seed_block] for i in range(0, len(known), seed_block)] or [[]]

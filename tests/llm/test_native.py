@@ -123,6 +123,18 @@ def test_edited_leaks_and_edges(spark, edge, empty, monkeypatch):
     assert decontam.drop_contaminated(edge, items).count() == 13
 
 
+def test_items_cut_at_the_ends(spark):
+    words = [f"w{i}" for i in range(100)]
+    docs = [(100 * front + back, " ".join(words[front:100 - back])) for front in range(0, 25, 4) for back in range(0, 25, 4)]
+    docs += [(10_000 + d, f"before it {t} after it") for d, t in docs if d % 100 < 9 and d < 900]
+    items = [(1, " ".join(words)), (2, " ".join(words[:15]))]
+    want = brute_leaks(docs, items)
+    assert (1600, 1) in want and (8, 1) in want and (808, 1) in want and (2400, 1) not in want
+    frame = lambda rows, names: spark.createDataFrame(rows, names)
+    got = leaks(decontam.contaminated(frame(docs, "doc_id long, text string"), frame(items, "item_id long, text string")))
+    assert got == pytest.approx(want)
+
+
 def test_blocks_miss_nothing_within_the_radius(spark):
     import random
     rnd = random.Random(4)
