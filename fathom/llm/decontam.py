@@ -12,9 +12,10 @@ words as the benchmark item. A window counts as the item's passage if
 Which windows are fingerprinted: a window of at most the item's length and with
 similarity s lacks at most 1 - s of the item's shingles (the bound also holds for
 a document shorter than the item), so it holds at least one of any larger part of
-them. The first such part of each item are its seeds; windows start where a seed
-in the document puts them, give or take the number of words that may differ in a
-window as long as the item. Windows with the same words are
+them. The first such part of each item are its seeds, and every window that holds
+a seed anywhere is put forward: moved sentences do not hide a passage. A seed that
+follows its predecessor in the document puts forward only the window that starts
+at it, since the predecessor put forward the others. Windows with the same words are
 fingerprinted and verified once, however many documents hold them.
 
 Seeds are literals of the plan, at most ``seed_block`` at a time (a benchmark
@@ -73,13 +74,19 @@ def blocks(fp: Column, radius: int = RADIUS) -> Column:
 
 
 def items_of(benchmark: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
-    """item_id, m (words), hashes, fp, n_seeds (one more than the shingles that any window may lack), spare (those a window of m words may lack)."""
+    """item_id, m (words), hashes, fp, n_seeds (one more than the shingles that a window may lack)."""
     words = words_of(F.lower(whole_text()))
     rows = benchmark.select("item_id", words.alias("w")).where(F.size("w") > 0).select(
         "item_id", F.size("w").alias("m"), shingles(F.col("w")).alias("hashes"))
-    share = lambda part: F.floor(F.size("hashes") * part + 1e-9).cast("int")
-    return rows.select("item_id", "m", "hashes", simhash(F.col("hashes")).alias("fp"), (share(1 - similarity) + 1).alias("n_seeds"),
-                       share((1 - similarity) / (1 + similarity)).alias("spare")).distinct()
+    n_seeds = F.floor(F.size("hashes") * (1 - similarity) + 1e-9).cast("int") + 1
+    return rows.select("item_id", "m", "hashes", simhash(F.col("hashes")).alias("fp"), n_seeds.alias("n_seeds")).distinct()
+
+
+def seeds_of(items: DataFrame) -> DataFrame:
+    """item_id, m, h, before: each seed once an item, with the seeds that precede it in the item."""
+    own = F.transform(F.slice("hashes", F.lit(1), F.col("n_seeds")), lambda h, i: F.struct(h.alias("h"), F.get(F.col("hashes"), i - 1).alias("b")))
+    return items.select("item_id", "m", F.explode(own).alias("s")).groupBy("item_id", "m", F.col("s.h").alias("h")).agg(
+        F.collect_set("s.b").alias("before"))
 
 
 def _small(df: DataFrame, rows: int) -> DataFrame:
@@ -90,15 +97,19 @@ def _windows(docs: DataFrame, seeds: DataFrame, hashes: list[int] | None) -> Dat
     """doc_id, th, item_id, m, start, words of the windows that the given seeds put forward."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_hash().alias("th"), words_of(F.lower(whole_text())).alias("w"))
     # exploded as an expression: a filter on its size would be pushed down and evaluate it twice
-    hits = F.transform(shingles(F.col("w")), lambda h, i: F.struct(h.alias("h"), i.alias("p")))
+    hits = let(shingles(F.col("w")), lambda all_: F.transform(all_, lambda h, i: F.struct(h.alias("h"), i.alias("p"), F.get(all_, i - 1).alias("b"))))
     if hashes is not None:
         hits = F.filter(hits, lambda x: x["h"].isin(hashes))
-    found = rows.select("doc_id", "th", "w", F.explode(hits).alias("x")).select("doc_id", "th", "w", "x.h", "x.p").join(seeds, "h")
+    found = rows.select("doc_id", "th", "w", F.explode(hits).alias("x")).select("doc_id", "th", "w", "x.*").join(seeds, "h")
     last = F.greatest(F.size("w") - F.col("m"), F.lit(0))
-    clip = lambda c: F.least(F.greatest(c, F.lit(0)), last)
-    starts = F.sequence(clip(F.col("p") - F.col("o") - F.col("spare")), clip(F.col("p") - F.col("o") + F.col("spare")))
-    cut = found.select("doc_id", "th", "item_id", "m", "w", F.explode(starts).alias("start"))
-    return cut.select("doc_id", "th", "item_id", "m", "start", F.slice("w", F.col("start") + 1, F.col("m")).alias("words")).withColumn(
+    clip = lambda c: F.least(F.greatest(c, F.lit(0)), last).cast("int")
+    follows = F.coalesce(F.array_contains("before", F.col("b")), F.lit(False))
+    first = F.when(follows, F.col("p")).otherwise(F.col("p") - F.greatest(F.col("m") - SHINGLE, F.lit(0)))
+    # only the words about a hit go on to its windows
+    found = found.select("doc_id", "th", "item_id", "m", "w", clip(first).alias("lo"), clip(F.col("p")).alias("hi"))
+    found = found.select("doc_id", "th", "item_id", "m", "lo", F.slice("w", F.col("lo") + 1, F.col("hi") - F.col("lo") + F.col("m")).alias("near"),
+                         F.explode(F.sequence("lo", "hi")).alias("start"))
+    return found.select("doc_id", "th", "item_id", "m", "start", F.slice("near", F.col("start") - F.col("lo") + 1, F.col("m")).alias("words")).withColumn(
         "h1", F.xxhash64("words")).withColumn("h2", F.xxhash64(F.lit(7), "words"))
 
 
@@ -107,7 +118,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, radius: int = RADIUS, si
     """doc_id, th (hash of the text), item_id, start, n_words, hamming, similarity: the best window of every document and item that match."""
     items = materialize(items_of(benchmark, similarity), "items")
     n_items = items.count()
-    seeds = items.select("item_id", "m", "spare", F.posexplode(F.slice("hashes", F.lit(1), F.col("n_seeds"))).alias("o", "h"))
+    seeds = seeds_of(items)
     if n_items <= BROADCAST_ROWS:
         known = [r[0] for r in seeds.select("h").distinct().orderBy("h").collect()]
         parts = [known[i:i + seed_block] for i in range(0, len(known), seed_block)] or [[]]

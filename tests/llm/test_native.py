@@ -135,6 +135,22 @@ def test_items_cut_at_the_ends(spark):
     assert got == pytest.approx(want)
 
 
+def test_reordered_passages(spark, monkeypatch):
+    words = [f"w{i}" for i in range(100)]
+    twice = [f"t{i % 20}" for i in range(60)]  # shingles that repeat within the item
+    moved = [words[-cut:] + words[:-cut] for cut in (5, 20, 40, 60, 80, 95)] + [words[:30] + words[60:] + words[30:60], words[::-1]]
+    moved += [twice, twice[30:] + twice[:30], twice[7:] + twice, words[:15] + twice + words[15:]]
+    docs = [(d, " ".join(w)) for d, w in enumerate(moved)] + [(100 + d, " ".join(["x", "y", "z"] * 40 + w + ["x", "y", "z"] * 40)) for d, w in enumerate(moved)]
+    items = [(1, " ".join(words)), (2, " ".join(twice)), (3, " ".join(words[:40]))]
+    want = brute_leaks(docs, items)
+    assert {(101, 1), (102, 1), (106, 1), (109, 2)} <= set(want) and (107, 1) not in want
+    docs = spark.createDataFrame(docs, "doc_id long, text string")
+    items = spark.createDataFrame(items, "item_id long, text string")
+    assert leaks(decontam.contaminated(docs, items)) == pytest.approx(want)
+    monkeypatch.setattr(decontam, "BROADCAST_ROWS", 0)
+    assert leaks(decontam.contaminated(docs, items)) == pytest.approx(want)
+
+
 def test_blocks_miss_nothing_within_the_radius(spark):
     import random
     rnd = random.Random(4)
