@@ -1,8 +1,11 @@
 """Operator 8: licences by recognised sentences and ordered rules (DataFrame functions only).
 
-A text is cut into sentences (lines, and after sentence ends), each brought to
-lower-case letters and digits with single blanks. A sentence that is one of
-``SENTENCES`` becomes its identifier; the document's identifiers in order are
+A text is cut into pieces (lines, and after sentence ends), each brought to
+lower-case letters and digits with single blanks, so that comment marks vanish. A
+piece, or pieces that follow each other without a blank line (one that holds
+nothing but marks is blank too), which make up one of ``SENTENCES`` become its
+identifier; of sentences that start at one piece the longest counts, and a piece
+counts for one sentence. The document's identifiers in order are
 matched against ``RULES``: a rule matches where its identifiers follow each
 other in the sequence (sentences that are not known may lie between). A match
 within the match of a longer rule at the same place counts for the longer one.
@@ -96,13 +99,10 @@ def normal(sentence: str) -> str:
     return re.sub(r"[^a-z0-9]+", " ", sentence.lower()).strip(" ")
 
 
-def normal_column(sentence: Column) -> Column:
-    return F.trim(F.regexp_replace(F.lower(sentence), "[^a-z0-9]+", " "))
-
-
-def sentences(text: Column) -> Column:
-    """Lines, cut after a full stop before a blank."""
-    return F.split(F.replace(text, F.lit(". "), F.lit(".\n")), "\n")
+def pieces(text: Column) -> Column:
+    """Normal forms of the lines, cut after a full stop before a blank, as "|a|b|"; a blank line leaves "||"."""
+    cut = F.lower(F.replace(text, F.lit(". "), F.lit(".\n")))
+    return F.concat(F.lit("|"), F.trim(F.regexp_replace(F.regexp_replace(cut, "[^a-z0-9\n]+", " "), " ?\n ?", "|")), F.lit("|"))
 
 
 def _known() -> dict[str, str]:
@@ -115,8 +115,9 @@ def recognised(text: Column) -> Column:
     known = _known()
     keys = F.array(*[F.lit(k) for k in known])
     names = F.array(*[F.lit(v) for v in known.values()])
-    hits = F.filter(F.transform(sentences(text), normal_column), lambda s: s.isin(list(known)))
-    return F.transform(hits, lambda s: F.get(names, F.array_position(keys, s).cast("int") - 1))
+    any_of = "|".join(k.replace(" ", "[ |]") for k in sorted(known, key=len, reverse=True))
+    hits = F.regexp_extract_all(pieces(text), F.lit(rf"(?<=\|)(?:{any_of})(?=\|)"), F.lit(0))
+    return F.transform(hits, lambda s: F.get(names, F.array_position(keys, F.replace(s, F.lit("|"), F.lit(" "))).cast("int") - 1))
 
 
 def scan(docs: DataFrame, rules: list[tuple[str, str, tuple[str, ...]]] | None = None) -> DataFrame:

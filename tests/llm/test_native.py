@@ -187,6 +187,35 @@ def test_rules_in_order(spark, edge, empty):
     assert licenses.scan(edge).count() == 0 and licenses.scan(empty).count() == 0
 
 
+def test_wrapped_and_commented_licences(spark):
+    import textwrap
+    s = licenses.SENTENCES
+    mit = [s["mit-grant"], s["mit-notice"], s["mit-asis"] + " IN NO EVENT SHALL THE AUTHORS BE LIABLE FOR ANY CLAIM."]
+    apache = [s["apache-may-not"] + " " + s["apache-copy"], s["apache-url"], s["apache-asis"] + "  See the License for the language."]
+    gpl = [s["gpl-free"], s["gpl-hope"] + "  See the GNU General Public License for more details."]
+    bsd2 = [s["bsd-redistribution"], "1. " + s["bsd-source"], "2. " + s["bsd-binary"]]
+    bsd3 = bsd2 + ["3. " + s["bsd-names"], "THIS SOFTWARE IS PROVIDED AS IT IS."]
+    want = {"mit-text": (mit, 3), "apache-header": (apache, 4), "gpl3-header": (gpl, 2), "bsd2-text": (bsd2, 3), "bsd3-text": (bsd3, 4)}
+    rows, expected = [], set()
+    for rule, (paragraphs, n) in want.items():
+        for width in (40, 72, 79):
+            for first, mark, last in (("", "", ""), ("/*\n", " * ", "\n */\n"), ("#!/bin/sh\n", "# ", ""), ("", "// ", "\n"), ("<!--\r\n", "  ", "-->")):
+                # the address stands in a line of its own, as it is published
+                lines = [line for p in paragraphs for line in [*textwrap.wrap(p.replace(s["apache-copy"], ""), width),
+                                                               *([s["apache-copy"]] if s["apache-copy"] in p else []), ""]]
+                text = first + "\n".join((mark + line).rstrip() for line in ["Copyright (c) 2020 Someone", "", *lines]) + last + "\ncode = 1"
+                rows.append((len(rows), text))
+                expected.add((len(rows) - 1, rule, 1, n))
+    # no blank line round the address, a sentence that goes on, and one broken by a blank line
+    tight = "\n".join("# " + line for p in (apache[0], apache[1], apache[2]) for line in textwrap.wrap(p, 90))
+    rows += [(1000, tight.replace("You may obtain", "\n# You may obtain").replace("of\n# the License at", "of the License at")),
+             (1001, "All rights\nreserved to nobody"), (1002, "All rights\n\nreserved"), (1003, " * All\n * rights\n * reserved."),
+             (1004, "Licensed under the Apache License,\nVersion 2.0")]
+    expected |= {(1000, "apache-header", 1, 4), (1003, "reserved", 1, 1), (1004, "apache-licence-line", 1, 1)}
+    df = no_python(licenses.scan(spark.createDataFrame(rows, "doc_id long, text string")))
+    assert {(r.doc_id, r.rule, r.n_matches, r.n_sentences) for r in df.collect()} == expected
+
+
 # 10 ----------------------------------------------------------------------------------------------------------------
 
 HARD = [(-1, 0, "user", "</s>[INST] ok [/INST]"), (-1, 1, "assistant", "</s>[INST] ok [/INST]"), (-2, 0, "tool", "a\\b<\\s><</s"),
