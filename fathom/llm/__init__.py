@@ -12,6 +12,9 @@
 | licenses        | 8 licence rules over recognised sentences (native)                   |
 | neardup         | 9 SimHash near-duplicates with sharded BK-trees                      |
 | chat            | 10 chat formatting in budgeted windows (native)                      |
+| structure       | 11 cheapest repair of conversations by a suffix-shared automaton     |
+| mixing          | 12 sources mixed to target weights by van der Corput slots           |
+| lexical         | 13 exact ranked search with sparse ball trees                        |
 
 ``queries`` registers one query per operator and the pipeline.
 """

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -32,6 +33,19 @@ def text_batches(df: DataFrame) -> DataFrame:
     return df
 
 
+@contextmanager
+def few_rows_a_batch(spark: SparkSession, rows: int = TEXTS_PER_BATCH) -> Iterator[None]:
+    """Arrow batches of at most ``rows`` rows for the jobs that run inside; the session's setting comes back after them."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key, "10000")
+    if not 0 < int(before) <= rows:
+        spark.conf.set(key, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def fresh(df: DataFrame, *names: str) -> list[str]:
     """Each name, or the name with underscores before it if ``df`` has such a column."""
     taken, out = {c.lower() for c in df.columns}, []
