@@ -39,7 +39,7 @@ MAX_EPOCHS = 3
 BLOCK_WORDS = 2048
 SEED = "mix"
 #: Rows (expected) that one chunk of a running total holds.
-CHUNK = 1 << 16
+CHUNK = 1 << 12
 
 
 def _before(df: DataFrame, group: list[str], chunk: str, order: list[str], value: str, name: str) -> DataFrame:
