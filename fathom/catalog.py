@@ -95,6 +95,13 @@ def _register_loads():
         register(name, fn, OL.SQL.get(name))
 
 
+def _register_changes():
+    from oracle import changes as OC
+    from .plans.changes import CHANGES
+    for name, fn in CHANGES.items():
+        register(name, fn, OC.SQL.get(name), star=False)
+
+
 def _register_coverage():
     from oracle import coverage as OC
     from .plans.coverage import COVERAGE
@@ -127,6 +134,7 @@ _register_analysis()
 _register_checks()
 _register_trees()
 _register_loads()
+_register_changes()
 _register_coverage()
 _register_streams()
 _register_idioms()

@@ -46,7 +46,7 @@ def dense_key(df: DataFrame, order_cols: list[str | Column], name: str, start: i
 
 
 def ntile_global(df: DataFrame, order_cols: list[str | Column], buckets: int, name: str) -> DataFrame:
-    """``ntile(buckets) OVER (ORDER BY order_cols)`` without a single-task window.
+    """``ntile(buckets) OVER (ORDER BY order_cols)`` for any order, without a single-task window.
 
     The tile follows from the global rank and the row count (both from the
     offsets): the first ``N % buckets`` tiles hold one row more.

@@ -2,16 +2,22 @@
 
 ``percentile``/``median`` aggregates and ``row_number() OVER (PARTITION BY g
 ORDER BY v)`` both funnel a whole group through one task; with one hot group
-(a third of the rows) that task holds a third of the data. ``group_rank``
-instead range-partitions on (group, value): a hot group is cut into many
-partitions, each partition counts its slice of every group, and a small
-table of per-(partition, group) counts gives every slice its offset. The
-rank of a row is offset + position inside the slice. Percentiles then pick
-the rows at the needed ranks. Everything is exact.
-
-Latency helpers (A13-A18) build on it: nearest-rank percentiles, the
-order-statistics confidence interval of p99, medians of runs and a
-log-spaced histogram.
+(a third of the rows) that task holds a third of the data.
+
+``order_values`` takes the values at a few ranks by counting: equal values are
+counted before the shuffle, counts per cell of a fixed grid say which cells hold
+the wanted ranks, and only the values of those cells are put in order.
+``rows_at_ranks`` does the same for rows with a tie-breaker. Nothing is sorted
+as a whole; one pass over the rows serves all ranks of a question, and only
+their different values with counts are written.
+
+``group_rank`` numbers every row: it range-partitions on (group, value), so a hot
+group is cut into many partitions, each partition counts its slice of every
+group, and a small table of per-(partition, group) counts gives every slice its
+offset. Everything is exact.
+
+Latency helpers (A13-A18): nearest-rank percentiles, the order-statistics
+confidence interval of p99, medians of runs and a log-spaced histogram.
 """
 
 from __future__ import annotations
@@ -56,6 +62,70 @@ def group_rank(df: DataFrame, groups: list[str], order: list[str | Column], name
     return j.select(*cols, *extra)
 
 
+# -- values at ranks, by counting ---------------------------------------------------------------
+#: Cells of the counting grid between one power of two and the next.
+GRID = 4096
+
+
+def grid_cell(value: Column) -> Column:
+    """A whole number that never falls as ``value`` grows (NaN last): cells a 4096th of an octave wide, on either side of zero."""
+    d = value.cast("double")
+    step = F.floor(F.least(F.log2(F.abs(d)), F.lit(2000.0)) * GRID).cast("bigint") + F.lit(2000 * GRID)
+    return F.when(F.isnan(d), F.lit(1 << 62)).when(d == 0, F.lit(0).cast("bigint")).otherwise(F.when(d < 0, -step).otherwise(step))
+
+
+def _counted(df: DataFrame, groups: list[str], value: str) -> DataFrame:
+    """Different values of each group with their numbers of rows (_c); written, since they are read twice and the rows only once."""
+    return written(df.where(F.col(value).isNotNull()).groupBy(*groups, value).agg(F.count(F.lit(1)).alias("_c")), "counted")
+
+
+def _rank_cells(counts: DataFrame, groups: list[str], value: str, ranks: Column) -> DataFrame:
+    """Of ``counts`` (groups, value, _c) the rows that hold one of the wanted ``ranks`` (an array made from _n, the group's size).
+
+    Counts per grid cell say which cells hold a wanted rank; only their values are put in order. A window holds the
+    cells of one group, or the values of one cell: no group meets in a task. Adds _n, and
+    _lo and _hi: the row has the ranks above _lo up to _hi.
+    """
+    cells = counts.withColumn("_cell", grid_cell(F.col(value)))
+    per = cells.groupBy(*groups, "_cell").agg(F.sum("_c").alias("_cc"))
+    whole = Window.partitionBy(*groups)
+    before = whole.orderBy("_cell").rowsBetween(Window.unboundedPreceding, -1)
+    per = per.select(*groups, "_cell", "_cc", F.coalesce(F.sum("_cc").over(before), F.lit(0)).alias("_base"), F.sum("_cc").over(whole).alias("_n"))
+    hit = per.where(F.exists(ranks, lambda r: (r > F.col("_base")) & (r <= F.col("_base") + F.col("_cc"))))
+    h, c = hit.select(*groups, "_cell", "_base", "_n").alias("h"), cells.alias("c")
+    near = c.join(h, _eq(c, h, [*groups, "_cell"])).select("c.*", "h._base", "h._n")
+    inside = Window.partitionBy(*groups, "_cell").orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
+    near = near.withColumn("_hi", F.col("_base") + F.sum("_c").over(inside)).withColumn("_lo", F.col("_hi") - F.col("_c"))
+    return near.where(F.exists(ranks, lambda r: (r > F.col("_lo")) & (r <= F.col("_hi")))).drop("_cell", "_base")
+
+
+def order_values(df: DataFrame, groups: list[str], value: str, ranks: dict[str, Column]) -> DataFrame:
+    """Per group its size ``_n`` and, by name, the value at each rank (an expression of ``_n``); null values are not counted.
+
+    Equal values are counted before the shuffle, so a hot group arrives as its different values."""
+    counts = _counted(df.select(*groups, value), groups, value)
+    wanted = {k: r.cast("bigint") for k, r in ranks.items()}
+    near = _rank_cells(counts, groups, value, F.array(*wanted.values()))
+    at = [F.max(F.when((r > F.col("_lo")) & (r <= F.col("_hi")), F.col(value))).alias(k) for k, r in wanted.items()]
+    return near.groupBy(*groups).agg(F.max("_n").alias("_n"), *at)
+
+
+def rows_at_ranks(df: DataFrame, groups: list[str], value: str, tie: str, ranks: Column) -> DataFrame:
+    """(groups, value, tie, _rank) of the rows at the wanted ranks (an array made from _n) in the order (value, tie) of each group.
+
+    First the values that hold the ranks, then, among the rows that share such a value (they may be most of the
+    group), the ties: both by ``_rank_cells``. ``tie`` is a number that tells the rows of a group apart."""
+    rows = df.select(*groups, value, tie).where(F.col(value).isNotNull())
+    counts = _counted(rows, groups, value)
+    held = _rank_cells(counts, groups, value, ranks)
+    mine = F.filter(ranks, lambda r: (r > F.col("_lo")) & (r <= F.col("_hi")))
+    held = held.select(*[F.col(g).alias(f"_g{i}") for i, g in enumerate(groups)], F.col(value).alias("_held"), "_lo", mine.alias("_ranks"))
+    same = reduce(lambda a, b: a & b, [F.col(g).eqNullSafe(F.col(f"_g{i}")) for i, g in enumerate(groups)], F.col(value) == F.col("_held"))
+    tied = rows.join(held, same).select(*groups, value, tie, "_ranks", F.col("_lo").alias("_skip"), F.lit(1).cast("bigint").alias("_c"))
+    found = _rank_cells(tied, [*groups, value, "_ranks", "_skip"], tie, F.transform("_ranks", lambda r: r - F.col("_skip")))
+    return found.select(*groups, value, tie, (F.col("_skip") + F.col("_hi")).alias("_rank"))
+
+
 def exact_percentiles(df: DataFrame, groups: list[str], value: str, qs: dict[str, float],
                       method: str = "cont", count_name: str | None = None) -> DataFrame:
     """One row per group with a column per named quantile.
@@ -63,52 +133,52 @@ def exact_percentiles(df: DataFrame, groups: list[str], value: str, qs: dict[str
     ``cont``: linear interpolation between the order statistics around (n-1)q+1.
     ``disc``: nearest rank, the ceil(q n)-th value (at least the first).
     """
-    r = group_rank(df.where(F.col(value).isNotNull()).select(*groups, value), groups, [value], "_r", "_n")
-    picks, outs = [], []
-    for nm, q in qs.items():
+    n = F.col("_n")
+    place = {k: (n - 1) * F.lit(q) + 1 for k, q in qs.items()}
+    if method == "cont":
+        ranks = {f"_{side}{i}": cut(place[k]) for i, k in enumerate(qs) for side, cut in (("lo", F.floor), ("hi", F.ceil))}
+    else:
+        ranks = {f"_lo{i}": _nearest(q) for i, q in enumerate(qs.values())}
+    found = order_values(df, groups, value, ranks)
+    out = []
+    for i, k in enumerate(qs):
+        low = F.col(f"_lo{i}").cast("double")
         if method == "cont":
-            h = (F.col("_n") - 1) * F.lit(q) + 1
-            lo, hi = F.floor(h), F.ceil(h)
-            picks.append((lo, hi))
-            outs.append((nm, h - lo))
-        else:
-            k = F.greatest(F.least(F.ceil(F.col("_n") * F.lit(q)), F.col("_n")), F.lit(1))
-            picks.append((k, k))
-            outs.append((nm, None))
-    wanted = reduce(lambda a, b: a | b, [(F.col("_r") == lo) | (F.col("_r") == hi) for lo, hi in picks])
-    sel = r.where(wanted)
-    aggs = [F.first("_n").alias("_n")]
-    for i, (lo, hi) in enumerate(picks):
-        aggs.append(F.max(F.when(F.col("_r") == lo, F.col(value))).alias(f"_lo{i}"))
-        aggs.append(F.max(F.when(F.col("_r") == hi, F.col(value))).alias(f"_hi{i}"))
-    g = sel.groupBy(*groups).agg(*aggs)
-    res = []
-    for i, (nm, frac) in enumerate(outs):
-        lo_v, hi_v = F.col(f"_lo{i}").cast("double"), F.col(f"_hi{i}").cast("double")
-        if frac is None:
-            res.append(lo_v.alias(nm))
-        else:
-            f = ((F.col("_n") - 1) * F.lit(qs[nm]) + 1) - F.floor((F.col("_n") - 1) * F.lit(qs[nm]) + 1)
-            res.append((lo_v + f * (hi_v - lo_v)).alias(nm))
+            low = low + (place[k] - F.floor(place[k])) * (F.col(f"_hi{i}").cast("double") - low)
+        out.append(low.alias(k))
     if count_name:
-        res.append(F.col("_n").cast("bigint").alias(count_name))
-    return g.select(*groups, *res)
+        out.append(n.cast("bigint").alias(count_name))
+    return found.select(*groups, *out)
+
+
+def _nearest(q: float) -> Column:
+    return F.greatest(F.least(F.ceil(F.col("_n") * F.lit(q)), F.col("_n")), F.lit(1))
 
 
 # -- latency statistics ------------------------------------------------------------------
+_NEAREST = {"p50": 0.50, "p95": 0.95, "p99": 0.99, "p999": 0.999, "p9999": 0.9999}
+
+
+def _interval(q: float) -> dict[str, Column]:
+    """Ranks n q -/+ 1.96 sqrt(n q (1-q)), rounded half to even, clamped."""
+    n = F.col("_n")
+    spread = 1.96 * F.sqrt(n * q * (1 - q))
+    clamp = lambda r: F.least(F.greatest(F.bround(r, 0), F.lit(1)), n)
+    return {"p99_low": clamp(n * q - spread), "p99_high": clamp(n * q + spread)}
+
+
 def latency_stats(df: DataFrame, keys: list[str], ms: str, ok: str, ts: str) -> DataFrame:
     """Per group: done, failed, per_second, nearest-rank p50/p95/p99/p99.9/p99.99, max,
     the 95% interval of p99 from order statistics, and samples above p99.99."""
-    good = df.where(F.col(ok))
-    pct = exact_percentiles(good, keys, ms, {"p50": 0.50, "p95": 0.95, "p99": 0.99, "p999": 0.999,
-                                             "p9999": 0.9999}, method="disc")
     base = df.groupBy(*keys).agg(
         F.count_if(F.col(ok)).cast("bigint").alias("done"), F.count_if(~F.col(ok)).cast("bigint").alias("failed"),
         F.max(F.when(F.col(ok), F.col(ms))).alias("max"),
         ((F.unix_micros(F.max(ts).cast("timestamp")) - F.unix_micros(F.min(ts).cast("timestamp"))) / 1e6)
         .alias("seconds"))
-    ci = p99_interval(good, keys, ms)
-    j = base.join(pct, keys, "left").join(ci, keys, "left")
+    # all quantiles and both ends of the interval in one go
+    ranks = order_values(df.where(F.col(ok)), keys, ms, {**{k: _nearest(q) for k, q in _NEAREST.items()}, **_interval(0.99)}).drop("_n")
+    ranks = ranks.withColumns({k: F.col(k).cast("double") for k in _NEAREST})
+    j = base.join(ranks, keys, "left")
     return j.select(*keys, "done", "failed",
                     F.when(F.col("seconds") > 0, F.col("done") / F.col("seconds")).alias("per_second"),
                     "p50", "p95", "p99", "p999", "p9999", "max", "p99_low", "p99_high",
@@ -117,27 +187,17 @@ def latency_stats(df: DataFrame, keys: list[str], ms: str, ok: str, ts: str) ->
 
 
 def p99_interval(df: DataFrame, keys: list[str], ms: str, q: float = 0.99) -> DataFrame:
-    """Order statistics at rank n q -/+ 1.96 sqrt(n q (1-q)), rounded half to even, clamped."""
-    r = group_rank(df.select(*keys, ms), keys, [ms], "_r", "_n")
-    spread = 1.96 * F.sqrt(F.col("_n") * q * (1 - q))
-    lo = F.least(F.greatest(F.bround(F.col("_n") * q - spread, 0), F.lit(1)), F.col("_n"))
-    hi = F.least(F.greatest(F.bround(F.col("_n") * q + spread, 0), F.lit(1)), F.col("_n"))
-    sel = r.where((F.col("_r") == lo) | (F.col("_r") == hi))
-    return sel.groupBy(*keys).agg(F.max(F.when(F.col("_r") == lo, F.col(ms))).alias("p99_low"),
-                                  F.max(F.when(F.col("_r") == hi, F.col(ms))).alias("p99_high"))
+    """The 95% interval of p99 by order statistics."""
+    return order_values(df, keys, ms, _interval(q)).drop("_n")
 
 
 def run_medians(df: DataFrame, keys: list[str], ms: str) -> DataFrame:
     """Median of runs: lower median ((n-1) div 2 + 1-th, the faster middle run), upper
     median (n div 2 + 1-th), min, max, runs."""
-    r = group_rank(df.select(*keys, ms), keys, [ms], "_r", "_n")
-    lower = F.floor((F.col("_n") - 1) / 2) + 1
-    upper = F.floor(F.col("_n") / 2) + 1
-    return r.groupBy(*keys).agg(
-        F.first("_n").cast("bigint").alias("runs"),
-        F.max(F.when(F.col("_r") == lower, F.col(ms))).alias("median_ms"),
-        F.max(F.when(F.col("_r") == upper, F.col(ms))).alias("upper_median_ms"),
-        F.min(ms).alias("min_ms"), F.max(ms).alias("max_ms"))
+    n = F.col("_n")
+    found = order_values(df, keys, ms, {"median_ms": F.floor((n - 1) / 2) + 1, "upper_median_ms": F.floor(n / 2) + 1,
+                                        "min_ms": F.lit(1), "max_ms": n})
+    return found.select(*keys, n.cast("bigint").alias("runs"), "median_ms", "upper_median_ms", "min_ms", "max_ms")
 
 
 def log_histogram(df: DataFrame, ms: str, keys: list[str], buckets: int = 38, low: float = 0.05) -> DataFrame:

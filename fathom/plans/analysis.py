@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.numeric import dround
-from ..operators.stats import latency_stats, log_histogram, run_medians
+from ..operators.stats import latency_stats, log_histogram, rows_at_ranks, run_medians
 from ..session import shared_scratch
 from .warehouse import Warehouse
 
@@ -30,9 +30,8 @@ def a13_run_medians(wh: Warehouse) -> DataFrame:
 
 def a14_lower_median_run(wh: Warehouse) -> DataFrame:
     s = _samples(wh).select(*KEYS, "event_id", "latency_ms", "ok")
-    from ..operators.stats import group_rank
-    r = group_rank(s, KEYS, ["latency_ms", "event_id"], "_r", "_n")
-    return r.where(F.col("_r") == F.floor((F.col("_n") - 1) / 2) + 1).drop("_r", "_n")
+    middle = rows_at_ranks(s, KEYS, "latency_ms", "event_id", F.array((F.floor((F.col("_n") - 1) / 2) + 1).cast("bigint")))
+    return s.join(middle.select(*KEYS, "event_id"), [*KEYS, "event_id"])
 
 
 def a15_latency_stats(wh: Warehouse) -> DataFrame:

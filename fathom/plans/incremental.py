@@ -7,17 +7,21 @@ A run moves the warehouse from watermark ``prev`` to ``w``:
    replaced whole)  U  orders of returns filed since the last load (one distinct
    DataFrame; ids are never collected or pasted into query text);
 2. the delta = every order-table row of a changed order (left semi join);
-3. raw order tables: old rows of unchanged orders (left anti join) + the delta;
+3. raw order tables: in the blocks of ids that hold a changed order, old rows of
+   unchanged orders (left anti join) + the delta; other raw tables only where their
+   digest differs from that of the last load;
 4. ``dim_product``: surrogate keys stay stable and no version is ever dropped;
    versions whose attributes differ (null-safe) take the new ones, new versions
    are numbered above the current maximum;
 5. facts of the delta are built by the same functions as a full build (a
    Warehouse whose raw layer is the delta), then replace the old facts of the
-   changed orders; ``customer_order_number`` is renumbered only for customers
-   that have a changed order;
-6. small dimensions and marts are rebuilt from the merged tables.
+   changed orders in the months that hold them; ``customer_order_number`` is
+   renumbered only for customers that have a changed order, from their slots of the
+   index by customer, and months where a number moved are written as well;
+6. dimensions and marts are rebuilt where one of their inputs changed.
 
-The result is written as a new version and published only when complete.
+All else is named by the new manifest where it lies. The version is published only
+when it is complete.
 """
 
 from __future__ import annotations
@@ -33,7 +37,9 @@ from pyspark.sql.window import Window
 from ..operators.keys import dense_key
 from ..session import shared_scratch, written
 from ..sources.fixtures import STORE_TABLES, Store
-from .publish import PARTITIONS, PublishedWarehouse, build_full, counted_write, etl_runs, laid_out, next_version, note_run, publish, utc_now
+from .publish import (MADE_OF, MONTHS, STAR_WAVES, PublishedWarehouse, _PublishedStore, build_full, by_customer, counted_write, etl_runs, finish_run,
+                      next_version, part_of, utc_now)
+from .versions import Load, Version, digests, run_parallel
 from .warehouse import ORDER_TABLES, STAR_TABLES, Warehouse
 
 #: Changes are looked for from so long before the last extract began, so that what was committed while it read is seen.
@@ -113,80 +119,114 @@ def renumber_orders(fact_orders: DataFrame, customers: DataFrame) -> DataFrame:
     return keep.unionByName(fixed.select(*fact_orders.columns))
 
 
+def _months(dates: DataFrame) -> set[str]:
+    """Parts (``year=Y/month=M``) of the order dates in the only column of ``dates``."""
+    day = F.col(dates.columns[0])
+    return {f"year={r.y}/month={r.m}" for r in dates.select(F.year(day).alias("y"), F.month(day).alias("m")).distinct().collect()}
+
+
+def _parts(ids: DataFrame, size: int, name: str) -> set[str]:
+    """Parts (blocks or slots) of the ids in the only column of ``ids``."""
+    return {f"{name}={r.p}" for r in ids.select(part_of(F.col(ids.columns[0]), size).alias("p")).distinct().collect()}
+
+
 def build_incremental(spark: SparkSession, src: Store, root: str, w: int | None = None,
                       publish_version: bool = True, extracted_at: dt.datetime | None = None) -> dict:
     """Bring the published warehouse under ``root`` up to watermark ``w`` from ``src``.
 
+    Only what changed is written: blocks of order tables and months of facts that hold changed
+    orders, slots of their customers, and tables whose digest (or whose inputs' digest) differs.
     ``extracted_at``: the source's clock as this extract begins (default: now, UTC)."""
     t0 = time.time()
     data_until = extracted_at or utc_now()
     prev = PublishedWarehouse.open(spark, root)
-    info = spark.read.parquet(f"{prev.vdir}/meta/etl_info").first()
-    prev_w = int(info["max_order_id"])
+    old, info = prev.version, prev.info
+    prev_w, sizes = int(info["max_order_id"]), {"block": info["block"], "slot": info["slot"]}
     w = w if w is not None else int(src.table("orders").agg(F.max("id")).first()[0])
     max_ret = prev.raw("returns").agg(F.max("id")).first()[0] or 0
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    version = next_version(root)
-    vdir = f"{root.rstrip('/')}/{version}"
+    load = Load(spark, root, next_version(root), old)
     steps: list = []
 
-    def step(label, df, path, name):
-        counted_write(laid_out(df, name, n), label, path, PARTITIONS.get(name), steps)
+    def step(layer, name, df, replaces=None, digest=None):
+        counted_write(load, df, layer, name, n, sizes, steps, replaces, digest)
 
     # written once: every table below is cut by the same ids
     changed = written(changed_orders(src, prev_w, w, info["data_until"] - OVERLAP, max_ret), "changed-orders")
-    delta, raw_new = {}, {}
-    for name, key in ORDER_TABLES.items():
-        ids = changed.withColumnRenamed("id", key)
-        delta[name] = src.table(name).where(F.col(key) <= F.lit(w)).join(ids, key, "left_semi")
-        raw_new[name] = prev.raw(name).join(ids, key, "left_anti").unionByName(delta[name])
-
-    for name in STORE_TABLES:
-        step(f"raw.{name}", raw_new[name] if name in raw_new else src.table(name), f"{vdir}/raw/{name}", name)
-    fresh_full = Warehouse(_RawStore(spark, vdir), w)
-    step("raw.fx_rates_daily", fresh_full.fx_rates_daily, f"{vdir}/raw/fx_rates_daily", "fx_rates_daily")
-
-    fresh_dim = written(fresh_full.dim_product, "dim-product")
-    step("dw.dim_product", merge_dim_product(prev.dim_product, fresh_dim), f"{vdir}/dw/dim_product", "dim_product")
-    dim_product = spark.read.parquet(f"{vdir}/dw/dim_product")
-
-    dwh = _DeltaWarehouse(_RawStore(spark, vdir), w, delta, dim_product, spark.read.parquet(f"{vdir}/raw/fx_rates_daily"))
-    changed_ids = changed.withColumnRenamed("id", "order_id")
-    fo = prev.fact_orders.join(changed_ids, "order_id", "left_anti").unionByName(dwh.fact_orders)
-    step("dw.fact_orders", renumber_orders(fo, delta["orders"].select("customer_id")), f"{vdir}/dw/fact_orders", "fact_orders")
-    dwh.__dict__["fact_orders"] = spark.read.parquet(f"{vdir}/dw/fact_orders")
-
-    # product keys never move, so sales and returns of unchanged orders are taken as they are
-    fs = prev.fact_sales.drop("year", "month").join(changed_ids, "order_id", "left_anti")
-    step("dw.fact_sales", fs.unionByName(dwh.fact_sales.select(*fs.columns)), f"{vdir}/dw/fact_sales", "fact_sales")
-    dwh.__dict__["fact_sales"] = spark.read.parquet(f"{vdir}/dw/fact_sales").drop("year", "month")
-
-    fr = prev.fact_returns.join(changed_ids, "order_id", "left_anti")
-    step("dw.fact_returns", fr.unionByName(dwh.fact_returns.select(*fr.columns)), f"{vdir}/dw/fact_returns", "fact_returns")
+    blocks = _parts(changed, sizes["block"], "block")
 
-    rebuilt = PublishedWarehouse(spark, vdir, raw_only=True)
+    # raw order tables: blocks that hold changed orders; other raw tables: those that differ
+    def order_table(name, key):
+        ids = changed.withColumnRenamed("id", key)
+        delta = src.table(name).where(F.col(key) <= F.lit(w)).join(ids, key, "left_semi")
+        rows = old.read("raw", name, blocks).drop("block").join(ids, key, "left_anti").unionByName(delta)
+        step("raw", name, rows, blocks)
+
+    now = digests({t: src.table(t) for t in STORE_TABLES if t not in ORDER_TABLES})
+    differ = {t for t, d in now.items() if d != old.digest("raw", t)}
+    run_parallel([(lambda t=t, k=k: order_table(t, k),) for t, k in ORDER_TABLES.items() if blocks]
+                 + [(lambda t=t: step("raw", t, src.table(t), digest=now[t]),) for t in differ], lambda job: job())
+    if blocks:
+        differ.add("orders")
+    fresh = Warehouse(_PublishedStore(load), w)
+    if "fx_rates" in differ:
+        step("raw", "fx_rates_daily", fresh.fx_rates_daily)
+
+    if differ & set(MADE_OF["dim_product"]):
+        merged = merge_dim_product(prev.dim_product, written(fresh.dim_product, "dim-product"))
+        step("dw", "dim_product", merged)
+
+    rebuilt = PublishedWarehouse(load, raw_only=True)
     done = ("dim_product", "fact_orders", "fact_sales", "fact_returns")
-    for name in done:
-        rebuilt.mark_written(name)
+    if blocks:
+        def delta_of(name):
+            ids = changed.withColumnRenamed("id", ORDER_TABLES[name])
+            return load.read("raw", name, blocks).drop("block").join(ids, ORDER_TABLES[name], "left_semi")
+
+        dwh = _DeltaWarehouse(_PublishedStore(load), w, {t: delta_of(t) for t in ORDER_TABLES}, load.read("dw", "dim_product"),
+                              load.read("raw", "fx_rates_daily"))
+        dwh.__dict__["fact_orders"] = delta = written(dwh.fact_orders, "delta-orders")
+        ids = changed.withColumnRenamed("id", "order_id")
+        before = old.read("raw", "orders", blocks).join(changed, "id", "left_semi").select("customer_id", F.col("placed_at").cast("date").alias("order_date"))
+        touched = written(before.unionByName(delta.select("customer_id", "order_date")), "touched")
+        months, slots = _months(touched.select("order_date")), _parts(touched.select("customer_id"), sizes["slot"], "slot")
+
+        # numbers of affected customers' orders, from the slots that hold them; an order whose number moves rewrites its month
+        listed = old.read("idx", "orders_by_customer", slots).drop("slot")
+        customers = renumber_orders(listed.join(ids, "order_id", "left_anti").unionByName(by_customer(delta)), touched)
+        step("idx", "orders_by_customer", customers, slots)
+        numbers = load.read("idx", "orders_by_customer", slots).select("order_id", "order_date", F.col("customer_order_number").alias("_no"))
+        moved = written(numbers.join(listed.select("order_id", "customer_order_number"), "order_id", "left")
+                        .where(~F.col("customer_order_number").eqNullSafe(F.col("_no"))).drop("customer_order_number"), "renumbered")
+        renumbered = months | _months(moved.select("order_date"))
+
+        cols = [f.name for f in old.schema("dw", "fact_orders") if f.name not in MONTHS]
+        kept = old.read("dw", "fact_orders", renumbered).select(*cols).join(ids, "order_id", "left_anti")
+        orders = kept.unionByName(delta.select(*cols)).join(moved.select("order_id", "_no"), "order_id", "left")
+        orders = orders.withColumn("customer_order_number", F.coalesce("_no", "customer_order_number")).select(*cols)
+
+        def facts(name):
+            cols = [f.name for f in old.schema("dw", name) if f.name not in MONTHS]
+            return old.read("dw", name, months).select(*cols).join(ids, "order_id", "left_anti").unionByName(getattr(dwh, name).select(*cols))
+
+        # product keys never move, so sales and returns of unchanged orders are taken as they are
+        run_parallel([("dw", "fact_orders", orders, renumbered), ("dw", "fact_sales", facts("fact_sales"), months),
+                      ("dw", "fact_returns", facts("fact_returns"), months)], step)
+
     for name in STAR_TABLES:
-        if name not in done:
-            step(f"dw.{name}", rebuilt.table(name), f"{vdir}/dw/{name}", name)
+        if name in done or not differ & set(MADE_OF[name]):
             rebuilt.mark_written(name)
-
-    note_run(spark, root, vdir, version, "incremental", w, data_until, t0, steps)
-    if publish_version:
-        publish(root, version)
-    return {"version": version, "path": vdir, "max_order_id": w, "previous_max_order_id": prev_w,
+    for wave in STAR_WAVES:
+        todo = [t for t in wave if t not in rebuilt._written]
+        run_parallel([("dw", t, rebuilt.table(t)) for t in todo], step)
+        for t in todo:
+            rebuilt.mark_written(t)
+
+    finish_run(load, "incremental", w, data_until, t0, sizes, steps, publish_version)
+    return {"version": load.version, "path": load.path, "max_order_id": w, "previous_max_order_id": prev_w,
             "steps": steps, "seconds": round(time.time() - t0, 3)}
 
 
-class _RawStore(Store):
-    """A Store whose tables are the raw layer of a version folder."""
-
-    def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.sf_dir}/raw/{name}")
-
-
 # -- E16/E17: additive upserts and stock movements ---------------------------------------------
 def upsert_add(df: DataFrame, new: DataFrame, keys: list[str], qty: str) -> DataFrame:
     """Insert new keys, add quantities for existing ones (one grouped union, no row updates)."""
@@ -220,6 +260,12 @@ def _loaded_in_two(wh: Warehouse) -> tuple[str, PublishedWarehouse]:
     return root, PublishedWarehouse.open(wh.spark, root)
 
 
+def first_load(wh: Warehouse) -> PublishedWarehouse:
+    """The version that the full load of the older orders published."""
+    root, _ = _loaded_in_two(wh)
+    return PublishedWarehouse(Version(wh.spark, root, "v=000001"))
+
+
 def e09_incremental_sales(wh: Warehouse) -> DataFrame:
     """Sales after a full and an incremental load: those of one full load, versions by business key."""
     _, pub = _loaded_in_two(wh)

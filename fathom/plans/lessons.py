@@ -22,6 +22,9 @@ from ..operators.keys import ntile_global
 from ..operators.reshape import fill_days, pivot_agg, unpivot
 from ..operators.stats import exact_percentiles
 from ..operators.topk import top_k
+from ..sources.fixtures import Store
+from .incremental import first_load
+from .publish import PublishedWarehouse
 from .warehouse import Warehouse
 
 MONEY = "decimal(18,2)"
@@ -182,8 +185,9 @@ def l10_price_then_now(wh: Warehouse) -> DataFrame:
 
 
 # L-11 catalog as of a date, by department (SCD2 point in time) ---------------------------------------------
-def l11_catalog_as_of(wh: Warehouse, as_of: str = "1998-01-01 00:00:00") -> DataFrame:
-    t = F.to_timestamp_ntz(F.lit(as_of))
+def l11_catalog_as_of(wh: Warehouse, as_of: dt.datetime | None = None) -> DataFrame:
+    """``as_of``: an instant (default: the newest order)."""
+    t = F.lit(as_of or wh.raw("orders").agg(F.max("placed_at")).first()[0]).cast("timestamp_ntz")
     dp = wh.dim_product.where((t >= F.col("valid_from")) & (t < F.col("valid_to")))
     return dp.groupBy(F.col("category_l1").alias("department")).agg(
         F.count(F.lit(1)).cast("bigint").alias("products"),
@@ -319,21 +323,26 @@ def l16_days_of_stock(wh: Warehouse) -> DataFrame:
 
 
 # L-17 up-to-the-second total: warehouse as of the last load UNION ALL live orders since -------------------------
-def l17_history_plus_live(wh: Warehouse, loaded_up_to: int | None = None) -> DataFrame:
-    w = loaded_up_to if loaded_up_to is not None else (wh.max_order_id * 9) // 10
-    old = Warehouse(wh.store, w)
-    hist = old.fact_orders.agg(F.lit("warehouse (last ETL)").alias("source"),
+def history_plus_live(store: Store, loaded: PublishedWarehouse) -> DataFrame:
+    """Totals of the loaded warehouse, and of the source's orders above its watermark (its ``etl_info``) at the rates of their days."""
+    w = loaded.max_order_id
+    hist = loaded.fact_orders.agg(F.lit("warehouse (last ETL)").alias("source"),
                                F.count(F.lit(1)).cast("bigint").alias("orders"),
                                dround(F.sum("total_usd").cast("double"), 0).alias("revenue_usd"))
-    live = wh.store.orders.where(F.col("id") > F.lit(w)).select(
+    live = store.table("orders").where(F.col("id") > F.lit(w)).select(
         "id", "currency_code", "total", F.col("placed_at").cast("date").alias("_day"))
-    lj = asof_join(live, wh.store.fx_rates, ["currency_code"], "_day", "rate_date", how="inner")
+    lj = asof_join(live, store.table("fx_rates"), ["currency_code"], "_day", "rate_date", how="inner")
     tail = lj.agg(F.lit("postgres (since ETL)").alias("source"), F.count(F.lit(1)).cast("bigint").alias("orders"),
                   dround(F.sum(F.col("total").cast("double") / F.col("units_per_usd").cast("double")), 0)
                   .alias("revenue_usd"))
     return hist.unionByName(tail)
 
 
+def l17_history_plus_live(wh: Warehouse) -> DataFrame:
+    """With the full load that a later incremental one has yet to follow."""
+    return history_plus_live(wh.store, first_load(wh))
+
+
 # L-18 VIP spend summary with and without a delete filter (temp view + cache) ------------------------------------
 def l18_vip_spend(wh: Warehouse) -> DataFrame:
     fo = wh.fact_orders.where(F.col("status") != "cancelled")

@@ -1,17 +1,13 @@
-"""Full warehouse build, versioned publish, and readers of a published version.
+"""Full warehouse build, published as a version, and readers of a published version.
 
-Layout under ``root``::
+The tables are laid out and versioned as ``versions`` describes, in three layers::
 
-    root/v=000001/raw/<table>/        store tables cut at the watermark
-    root/v=000001/dw/<table>/         dimensions, facts, marts
-    root/v=000001/meta/etl_steps/     one row per step: label, rows, seconds
-    root/v=000001/meta/etl_info/      the run: mode, watermark, data_until, times
-    root/etl_runs/                    one row per run, appended
-    root/_CURRENT                     text file naming the published version
+    raw   store tables cut at the watermark; order tables in blocks of order ids
+    dw    dimensions, facts (by month of the order) and marts
+    idx   orders_by_customer: the orders of each customer, in slots of customer ids
 
-A build writes a fresh version folder; only after every step succeeded is the
-pointer file replaced (write temp + rename). Readers resolve the pointer once
-when they open the warehouse, so a failed build leaves the old version live.
+A version also has ``meta/etl_steps`` (label, rows, seconds of each step) and
+``meta/etl_info`` (the run); ``root/etl_runs`` has a row per published run.
 On a cluster ``root`` is a shared filesystem / object store path.
 """
 
@@ -19,16 +15,14 @@ from __future__ import annotations
 
 import datetime as dt
 import time
-from concurrent.futures import ThreadPoolExecutor
 from functools import cached_property
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.fixtures import STORE_TABLES, Store
-from .warehouse import STAR_TABLES, Warehouse
-
-POINTER = "_CURRENT"
+from .versions import Load, Version, digest_of, exists, next_version, publish, run_parallel
+from .warehouse import ORDER_TABLES, STAR_TABLES, Warehouse
 
 # star tables in dependency waves: every table of a wave only reads earlier waves
 STAR_WAVES = [
@@ -38,116 +32,108 @@ STAR_WAVES = [
     ["fact_returns", "product_pairs", "product_stats"],
 ]
 
+#: What each star table is made of; an incremental load takes over a table none of whose inputs changed.
+MADE_OF = {
+    "dim_date": ["orders"], "dim_category": ["categories"], "dim_employee": ["employees"],
+    "dim_product": ["product_prices", "products", "brands", "categories"],
+    "dim_customer": ["customers", "countries", "employees"], "dim_warehouse": ["warehouses", "countries", "employees"],
+    "dim_promotion": ["promotions", "promotion_products"], "fact_reviews": ["reviews"], "fact_inventory": ["inventory", "products"],
+    "product_pairs": ["orders"], "product_stats": ["orders", "reviews", "product_prices", "products", "brands", "categories"],
+}
 
-def _run_parallel(jobs, step, threads: int = 8):
-    """Run independent write steps from a few driver threads (Spark runs their jobs side by side)."""
-    with ThreadPoolExecutor(max_workers=min(threads, len(jobs))) as ex:
-        for f in [ex.submit(step, *j) for j in jobs]:
-            f.result()
-
-
-def _fs(path: str):
-    """Hadoop FileSystem + Path for ``path`` (local disk, HDFS or an object store alike)."""
-    spark = SparkSession.getActiveSession()
-    hp = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return spark, hp.getFileSystem(spark._jsc.hadoopConfiguration()), hp
-
-
-def _exists(path: str) -> bool:
-    _, fs, hp = _fs(path)
-    return bool(fs.exists(hp))
-
-
-def current(root: str) -> str | None:
-    spark, fs, hp = _fs(f"{root.rstrip('/')}/{POINTER}")
-    if not fs.exists(hp):
-        return None
-    jio = spark._jvm.java.io
-    reader = jio.BufferedReader(jio.InputStreamReader(fs.open(hp), "UTF-8"))
-    try:
-        version = reader.readLine().strip()
-    finally:
-        reader.close()
-    return f"{root.rstrip('/')}/{version}"
+#: How tables are laid out, in every build alike: (range-partition columns, sort columns). Rates and orders are read by date.
+LAYOUT = {
+    "orders": (["block", "placed_at"], ["block", "placed_at", "id"]),
+    "order_items": (["order_id"], ["block", "order_id", "line_no"]),
+    "payments": (["order_id"], ["block", "order_id", "id"]),
+    "shipments": (["order_id"], ["block", "order_id", "id"]),
+    "returns": (["order_id"], ["block", "order_id", "id"]),
+    "fx_rates": (["rate_date"], ["rate_date", "currency_code"]),
+    "fx_rates_daily": (["day"], ["day", "currency_code"]),
+    "fact_sales": (["order_date"], ["year", "month", "placed_at", "order_id", "line_no"]),
+    "fact_orders": (["order_date"], ["year", "month", "placed_at", "order_id"]),
+    "fact_returns": (["order_date"], ["year", "month", "return_date", "return_id"]),
+    "orders_by_customer": (["customer_id"], ["slot", "customer_id", "placed_at", "order_id"]),
+}
+MONTHS = ("year", "month")
+PARTITIONS = {"fact_sales": MONTHS, "fact_orders": MONTHS, "fact_returns": MONTHS, "orders_by_customer": ("slot",),
+              **{t: ("block",) for t in ORDER_TABLES}}
+#: Columns that get Parquet Bloom filters: what rows are looked up by.
+BLOOM = {"orders": ["id"], "order_items": ["order_id"], "payments": ["order_id"], "shipments": ["order_id"], "returns": ["order_id"],
+         "orders_by_customer": ["customer_id"]}
 
+#: Ids in a block of order tables and customers in a slot: at least so many, and at most ``MOST_PARTS`` parts to begin with.
+LEAST_BLOCK, LEAST_SLOT, MOST_PARTS = 100_000, 10_000, 512
 
-def next_version(root: str) -> str:
-    _, fs, hp = _fs(root)
-    fs.mkdirs(hp)
-    names = [st.getPath().getName() for st in fs.listStatus(hp)]
-    nums = [int(d[2:]) for d in names if d.startswith("v=") and d[2:].isdigit()]
-    return f"v={max(nums, default=0) + 1:06d}"
+BY_CUSTOMER = ["customer_id", "order_id", "placed_at", "status", "currency_code", "total", "order_date", "line_count", "total_usd",
+               "customer_order_number"]
 
 
-def publish(root: str, version: str) -> None:
-    """Atomically point readers at ``version``: write a small temp file, then rename it over the pointer."""
-    spark, fs, tmp = _fs(f"{root.rstrip('/')}/{POINTER}.tmp")
-    out = fs.create(tmp, True)
-    try:
-        out.write(bytearray(version.encode("utf-8")))
-    finally:
-        out.close()
-    hfs = spark._jvm.org.apache.hadoop.fs
-    dst = hfs.Path(f"{root.rstrip('/')}/{POINTER}")
-    fc = hfs.FileContext.getFileContext(dst.toUri(), spark._jsc.hadoopConfiguration())
-    opts = spark.sparkContext._gateway.new_array(hfs.Options.Rename, 1)
-    opts[0] = hfs.Options.Rename.OVERWRITE
-    fc.rename(fs.makeQualified(tmp), fs.makeQualified(dst), opts)
+def width(highest: int, least: int) -> int:
+    return max(least, -(-(highest + 1) // MOST_PARTS))
 
 
-def _write(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:
-    w = df.write.mode("overwrite").option("compression", "zstd")
-    if partition_by:
-        w = w.partitionBy(*partition_by)
-    w.parquet(path)
+def part_of(id_column: Column, size: int) -> Column:
+    return F.floor(id_column / size).cast("long")
 
 
-def _clustered(df: DataFrame, n: int, by: list[str], sort: list[str]) -> DataFrame:
-    """Range-partition on the date so each file covers a date range (row-group skipping)."""
-    return df.repartitionByRange(n, *by).sortWithinPartitions(*sort)
+def laid_out(df: DataFrame, name: str, n: int, sizes: dict[str, int]) -> DataFrame:
+    """``df`` in the layout of table ``name``, with its part columns; ``sizes``: ids in a block and in a slot."""
+    parts = PARTITIONS.get(name, ())
+    df = df.drop(*parts)
+    if "year" in parts:
+        df = df.withColumn("year", F.year("order_date")).withColumn("month", F.month("order_date"))
+    if "block" in parts:
+        df = df.withColumn("block", part_of(F.col(ORDER_TABLES[name]), sizes["block"]))
+    if "slot" in parts:
+        df = df.withColumn("slot", part_of(F.col("customer_id"), sizes["slot"]))
+    if name not in LAYOUT:
+        return df
+    by, sort = LAYOUT[name]
+    return df.repartitionByRange(n, *by).sortWithinPartitions(*sort)  # each file covers a range (row groups can be skipped)
 
 
-#: How tables are laid out, in every build alike: (range-partition columns, sort columns). Rates and orders are
-#: read by date, so their files cover date ranges.
-LAYOUT = {
-    "orders": (["placed_at"], ["placed_at"]),
-    "fx_rates": (["rate_date"], ["rate_date", "currency_code"]),
-    "fx_rates_daily": (["day"], ["day", "currency_code"]),
-    "fact_sales": (["order_date"], ["placed_at", "order_id", "line_no"]),
-    "fact_orders": (["order_date"], ["placed_at", "order_id"]),
-}
-PARTITIONS = {"fact_sales": ["year", "month"]}
+def by_customer(fact_orders: DataFrame) -> DataFrame:
+    """The index of orders by customer, from order facts."""
+    return fact_orders.withColumnRenamed("total_local", "total").select(*BY_CUSTOMER)
 
 
-def laid_out(df: DataFrame, name: str, n: int) -> DataFrame:
-    """``df`` in the layout of table ``name`` (with its partition columns)."""
-    if name == "fact_sales":
-        df = df.withColumn("year", F.year("order_date")).withColumn("month", F.month("order_date"))
-    return _clustered(df, n, *LAYOUT[name]) if name in LAYOUT else df
+def _write(df: DataFrame, path: str) -> None:
+    df.write.mode("overwrite").option("compression", "zstd").parquet(path)
 
 
-def counted_write(df: DataFrame, label: str, path: str, partition_by: list[str] | None, steps: list) -> None:
-    """Write and note (label, rows, seconds); the rows are counted by the write itself."""
+def counted_write(load: Load, df: DataFrame, layer: str, name: str, n: int, sizes: dict[str, int], steps: list, replaces=None, digest: str | None = None) -> None:
+    """Write a table in its layout and note (label, rows, seconds); rows and digest are taken by the write itself."""
     t0 = time.time()
-    obs = Observation(label)
-    _write(df.observe(obs, F.count(F.lit(1)).alias("rows")), path, partition_by)
-    steps.append((label, int(obs.get["rows"]), round(time.time() - t0, 3)))
+    obs = Observation(f"{layer}.{name}")
+    more = [digest_of(df).alias("digest")] if layer == "raw" and name not in PARTITIONS and digest is None else []
+    out = laid_out(df, name, n, sizes).observe(obs, F.count(F.lit(1)).alias("rows"), *more)
+    load.write(out, layer, name, PARTITIONS.get(name, ()), replaces, digest, BLOOM.get(name, ()))
+    if more:
+        load.note_digest(layer, name, obs.get["digest"])
+    steps.append((f"{layer}.{name}", int(obs.get["rows"]), round(time.time() - t0, 3)))
 
 
 def utc_now() -> dt.datetime:
     return dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
 
 
-_RUN = "version string, mode string, max_order_id long, data_until timestamp_ntz, finished_at timestamp_ntz, seconds double"
+_RUN = ("version string, mode string, max_order_id long, data_until timestamp_ntz, finished_at timestamp_ntz, seconds double, "
+        "block long, slot long")
 
 
-def note_run(spark: SparkSession, root: str, vdir: str, version: str, mode: str, w: int, data_until: dt.datetime, started: float,
-             steps: list) -> None:
-    """Steps and run of this version, and one more row in the history of runs under ``root``."""
-    _write(spark.createDataFrame(steps, "label string, rows long, seconds double").coalesce(1), f"{vdir}/meta/etl_steps")
-    run = spark.createDataFrame([(version, mode, w, data_until, utc_now(), round(time.time() - started, 3))], _RUN).coalesce(1)
-    _write(run, f"{vdir}/meta/etl_info")
-    run.write.mode("append").parquet(f"{root.rstrip('/')}/etl_runs")
+def finish_run(load: Load, mode: str, w: int, data_until: dt.datetime, started: float, sizes: dict[str, int], steps: list,
+               publish_version: bool) -> None:
+    """Manifest, steps and run of this version; then the pointer; then one more row in the history of published runs."""
+    load.finish()
+    spark = load.spark
+    _write(spark.createDataFrame(steps, "label string, rows long, seconds double").coalesce(1), f"{load.path}/meta/etl_steps")
+    row = (load.version, mode, w, data_until, utc_now(), round(time.time() - started, 3), sizes["block"], sizes["slot"])
+    run = spark.createDataFrame([row], _RUN).coalesce(1)
+    _write(run, f"{load.path}/meta/etl_info")
+    if publish_version:
+        publish(load.root, load.version)
+        run.write.mode("append").parquet(f"{load.root}/etl_runs")
 
 
 def etl_runs(spark: SparkSession, root: str, latest: int = 50) -> DataFrame:
@@ -157,98 +143,104 @@ def etl_runs(spark: SparkSession, root: str, latest: int = 50) -> DataFrame:
 
 
 def build_full(spark: SparkSession, sf_dir: str | Store, root: str, max_order_id: int | None = None,
-               publish_version: bool = True, extracted_at: dt.datetime | None = None) -> dict:
-    """Extract -> dimensions -> facts -> marts -> metadata -> publish. Returns run info.
+               publish_version: bool = True, extracted_at: dt.datetime | None = None, sizes: dict[str, int] | None = None) -> dict:
+    """Extract -> dimensions -> facts -> marts -> manifest -> publish. Returns run info.
 
     ``sf_dir`` is the driver data folder, or a ``Store`` (e.g. a source after changes).
     ``extracted_at`` is the source's clock when the extract began (default: now, UTC); the
-    next incremental load looks for changes from a little before it."""
+    next incremental load looks for changes from a little before it. ``sizes`` gives the ids in a
+    block and a slot (default: by the highest id)."""
     t_start = time.time()
     data_until = extracted_at or utc_now()
-    version = next_version(root)
-    vdir = f"{root.rstrip('/')}/{version}"
     store = sf_dir if isinstance(sf_dir, Store) else Store(spark, sf_dir)
     wh = Warehouse(store, max_order_id)
     w = wh.max_order_id
+    if sizes is None:
+        customers = wh.raw("customers").agg(F.max("id")).first()[0] or 0
+        sizes = {"block": width(w, LEAST_BLOCK), "slot": width(customers, LEAST_SLOT)}
+    load = Load(spark, root, next_version(root))
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    steps = []
-
-    def step(label, make, path, partition_by=None):
-        counted_write(make(), label, path, partition_by, steps)
+    steps: list = []
 
-    def raw_job(name):
-        return (f"raw.{name}", lambda: laid_out(wh.raw(name), name, n), f"{vdir}/raw/{name}", None)
+    def step(layer, name, make):
+        counted_write(load, make(), layer, name, n, sizes, steps)
 
     # independent tables are written concurrently: small ones cost job overhead, not work
-    _run_parallel([raw_job(t) for t in STORE_TABLES]
-                  + [("raw.fx_rates_daily", lambda: laid_out(wh.fx_rates_daily, "fx_rates_daily", n),
-                      f"{vdir}/raw/fx_rates_daily", None)], step)
+    run_parallel([("raw", t, lambda t=t: wh.raw(t)) for t in STORE_TABLES]
+                 + [("raw", "fx_rates_daily", lambda: wh.fx_rates_daily)], step)
 
     # the rest of the build reads the written raw layer, not the derivation again
-    pub = PublishedWarehouse(spark, vdir, raw_only=True)
-
-    def dw_job(name):
-        return (f"dw.{name}", lambda: laid_out(pub.table(name), name, n), f"{vdir}/dw/{name}", PARTITIONS.get(name))
-
+    pub = PublishedWarehouse(load, raw_only=True)
     for wave in STAR_WAVES:
-        _run_parallel([dw_job(t) for t in wave], step)
+        run_parallel([("dw", t, lambda t=t: pub.table(t)) for t in wave], step)
         for t in wave:
             pub.mark_written(t)
+    step("idx", "orders_by_customer", lambda: by_customer(pub.fact_orders))
 
-    note_run(spark, root, vdir, version, "full", w, data_until, t_start, steps)
-    if publish_version:
-        publish(root, version)
-    return {"version": version, "path": vdir, "max_order_id": w, "steps": steps,
+    finish_run(load, "full", w, data_until, t_start, sizes, steps, publish_version)
+    return {"version": load.version, "path": load.path, "max_order_id": w, "steps": steps,
             "seconds": round(time.time() - t_start, 3)}
 
 
 class PublishedWarehouse(Warehouse):
-    """A Warehouse whose layers are read from a written version folder."""
+    """A Warehouse whose layers are read from a version."""
 
-    def __init__(self, spark: SparkSession, vdir: str, raw_only: bool = False):
-        self.spark = spark
-        self.vdir = vdir
+    def __init__(self, version: Version, raw_only: bool = False):
+        self.spark = version.spark
+        self.version = version
         self._raw_only = raw_only
         self._written: set[str] = set()
-        self.store = _PublishedStore(spark, vdir)
+        self.store = _PublishedStore(version)
         self._w = None
 
     @classmethod
     def open(cls, spark: SparkSession, root: str) -> "PublishedWarehouse":
-        v = current(root)
-        if v is None:
-            raise FileNotFoundError(f"no published warehouse under {root}")
-        return cls(spark, v)
+        return cls(Version.open(spark, root))
 
     def mark_written(self, name: str) -> None:
         self._written.add(name)
         self.__dict__.pop(name, None)
 
     def raw(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.vdir}/raw/{name}")
+        return self.version.read("raw", name).drop("block")
+
+    @cached_property
+    def info(self) -> dict:
+        """The run that wrote this version."""
+        return self.spark.read.schema(_RUN).parquet(f"{self.version.path}/meta/etl_info").first().asDict()
 
     @cached_property
     def max_order_id(self) -> int:  # type: ignore[override]
-        info = f"{self.vdir}/meta/etl_info"
-        if _exists(info):
-            return int(self.spark.read.parquet(info).first()["max_order_id"])
+        if exists(f"{self.version.path}/meta/etl_info"):
+            return int(self.info["max_order_id"])
         return int(self.raw("orders").agg(F.max("id")).first()[0])
 
+    # -- few rows by key: the files that may hold them, not the table ------------------------------
+    def orders_of(self, customer_id: int) -> DataFrame:
+        slot = f"slot={customer_id // self.info['slot']}"
+        return self.version.lookup("idx", "orders_by_customer", "customer", [customer_id], [slot]).drop("slot")
+
+    order_facts_of = orders_of
+
+    def order_rows(self, name: str, order_ids: list[int]) -> DataFrame:
+        blocks = {f"block={i // self.info['block']}" for i in order_ids}
+        return self.version.lookup("raw", name, "order", order_ids, blocks).drop("block") if order_ids else self.raw(name).limit(0)
+
     def __getattribute__(self, name):
         if name in STAR_TABLES or name == "fx_rates_daily":
             d = object.__getattribute__(self, "__dict__")
             if name == "fx_rates_daily":
                 return object.__getattribute__(self, "raw")("fx_rates_daily")
             if not d.get("_raw_only") or name in d.get("_written", ()):
-                vdir = d["vdir"]
-                return object.__getattribute__(self, "spark").read.parquet(f"{vdir}/dw/{name}")
+                out = d["version"].read("dw", name)
+                return out if name == "fact_sales" else out.drop(*MONTHS) if name in PARTITIONS else out
         return object.__getattribute__(self, name)
 
 
 class _PublishedStore(Store):
-    def __init__(self, spark, vdir):
-        super().__init__(spark, vdir)
-        self.vdir = vdir
+    def __init__(self, version: Version):
+        super().__init__(version.spark, version.path)
+        self.version = version
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.vdir}/raw/{name}")
+        return self.version.read("raw", name).drop("block")

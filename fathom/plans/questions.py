@@ -23,6 +23,7 @@ from ..functions.timefn import epoch_seconds, month_start, months_between_bounda
 from ..operators.asof import asof_join
 from ..operators.hierarchy import ancestor_pairs, flatten_tree
 from ..operators.keys import ntile_global
+from ..operators.pairs import pairs
 from ..operators.stats import exact_percentiles
 from ..operators.topk import keep_one, top_k
 from .warehouse import Warehouse
@@ -201,15 +202,9 @@ def q06_star(wh: Warehouse) -> DataFrame:
 
 # -- Q-07 basket pairs ---------------------------------------------------------------------------
 def _pairs(recent: DataFrame, names: DataFrame) -> DataFrame:
-    """Top 20 product pairs bought in the same order.
-
-    The self join is an equi join on order_id with ``b > a``: each order emits
-    its own pairs once (bounded by its distinct products), and the count is
-    aggregated partially on the map side before the shuffle.
-    """
-    a, b = recent.alias("a"), recent.alias("b")
-    p = a.join(b, (F.col("a.order_id") == F.col("b.order_id")) & (F.col("b.product_id") > F.col("a.product_id")))
-    c = p.groupBy(F.col("a.product_id").alias("product_a"), F.col("b.product_id").alias("product_b")).agg(
+    """Top 20 pairs by common orders; an order with very many products is paired in blocks over many tasks."""
+    met = pairs(recent.withColumn("one", F.lit(1)), "order_id", "product_id", "one", ordered=True)
+    c = met.groupBy(F.col("product_id").alias("product_a"), F.col("other").alias("product_b")).agg(
         F.count(F.lit(1)).cast("bigint").alias("orders_together"))
     top = c.orderBy(F.col("orders_together").desc(), "product_a", "product_b").limit(20)
     na = names.select(F.col("pid").alias("product_a"), F.col("pname").alias("name_a"))
@@ -437,22 +432,16 @@ def q14_star(wh: Warehouse) -> DataFrame:
 
 
 # -- Q-15 customer orders -----------------------------------------------------------------------------------------
-def customer_of_watermark(wh: Warehouse) -> int:
-    return wh.raw("orders").where(F.col("id") == wh.max_order_id).select("customer_id").first()[0]
-
-
 def q15_store(wh: Warehouse, customer_id: int | None = None) -> DataFrame:
-    cid = customer_id if customer_id is not None else customer_of_watermark(wh)
-    o = wh.raw("orders").where(F.col("customer_id") == cid).select(
-        F.col("id").alias("order_id"), "placed_at", "status", "currency_code", "total",
-        F.col("placed_at").cast("date").alias("_day"))
+    cid = customer_id if customer_id is not None else wh.watermark_customer
+    o = wh.orders_of(cid).select("order_id", "placed_at", "status", "currency_code", "total", F.col("placed_at").cast("date").alias("_day"))
     latest = o.orderBy(F.col("placed_at").desc(), F.col("order_id").desc()).limit(20)
     fx = wh.raw("fx_rates").select(F.col("currency_code").alias("currency_code"), "rate_date", "units_per_usd")
     # as-of lookup of the rate (latest business day <= order day) instead of a per-row LATERAL
     with_fx = asof_join(latest, fx.withColumnRenamed("currency_code", "currency_code"), ["currency_code"],
                         "_day", "rate_date", how="inner")
-    lines = wh.raw("order_items").join(latest.select("order_id"), "order_id").groupBy("order_id").agg(
-        F.count(F.lit(1)).alias("n"))
+    ids = [r.order_id for r in latest.select("order_id").collect()]  # at most 20
+    lines = wh.order_rows("order_items", ids).groupBy("order_id").agg(F.count(F.lit(1)).alias("n"))
     j = with_fx.join(lines, "order_id", "left")
     return j.select("order_id", "placed_at", "status", F.coalesce("n", F.lit(0)).cast("bigint").alias("line_count"),
                     to_usd("total", "units_per_usd").cast(MONEY).alias("total_usd")).orderBy(
@@ -460,10 +449,9 @@ def q15_store(wh: Warehouse, customer_id: int | None = None) -> DataFrame:
 
 
 def q15_star(wh: Warehouse, customer_id: int | None = None) -> DataFrame:
-    cid = customer_id if customer_id is not None else customer_of_watermark(wh)
-    fo = wh.fact_orders.where(F.col("customer_id") == cid)
-    out = fo.select("order_id", "placed_at", "status", F.coalesce("line_count", F.lit(0)).cast("bigint")
-                    .alias("line_count"), _money("total_usd").alias("total_usd"))
+    cid = customer_id if customer_id is not None else wh.watermark_customer
+    out = wh.order_facts_of(cid).select("order_id", "placed_at", "status", F.coalesce("line_count", F.lit(0)).cast("bigint")
+                                        .alias("line_count"), _money("total_usd").alias("total_usd"))
     return out.orderBy(F.col("placed_at").desc(), F.col("order_id").desc()).limit(20)
 
 

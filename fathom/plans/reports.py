@@ -18,6 +18,9 @@ from ..operators.asof import asof_join
 from ..operators.hierarchy import ancestor_pairs
 from ..operators.stats import exact_percentiles
 from ..operators.topk import top_k
+from ..sources.fixtures import Store
+from .incremental import first_load
+from .publish import PublishedWarehouse
 from .warehouse import Warehouse
 
 MONEY = "decimal(18,2)"
@@ -168,15 +171,18 @@ def sales_by_country(wh: Warehouse) -> DataFrame:
 
 
 # D-10 orders since the last load ------------------------------------------------------------------------
-def orders_since(wh: Warehouse, loaded_up_to: int | None = None) -> DataFrame:
-    """Orders in the source above the warehouse watermark: one pushed-down literal filter."""
-    w = loaded_up_to if loaded_up_to is not None else (wh.max_order_id * 9) // 10
-    o = wh.store.orders.where(F.col("id") > F.lit(w))
+def orders_since(store: Store, loaded: PublishedWarehouse) -> DataFrame:
+    """Orders in the source above the watermark of what was loaded (its ``etl_info``): one pushed-down literal filter."""
+    o = store.table("orders").where(F.col("id") > F.lit(loaded.max_order_id))
     return o.agg(F.count(F.lit(1)).cast("bigint").alias("orders"),
                  F.count_distinct("customer_id").cast("bigint").alias("customers"),
                  F.max("placed_at").alias("last_order_at"))
 
 
+def _orders_since_first_load(wh: Warehouse) -> DataFrame:
+    return orders_since(wh.store, first_load(wh))
+
+
 # D-11 monthly revenue report -------------------------------------------------------------------------------
 def monthly_report(wh: Warehouse) -> DataFrame:
     return wh.fact_sales.groupBy(month_start("order_date").alias("month")).agg(
@@ -225,7 +231,7 @@ REPORTS = {
     "d07_sales_leaders": sales_leaders,
     "d08_unusual_days_recent": unusual_days_recent,
     "d09_sales_by_country": sales_by_country,
-    "d10_orders_since_load": orders_since,
+    "d10_orders_since_load": _orders_since_first_load,
     "d11_monthly_report": monthly_report,
     "d12_race_monthly_revenue": race_monthly_revenue,
     "d12_race_category_rollup": race_category_rollup,

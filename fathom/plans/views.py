@@ -2,11 +2,14 @@
 
 The store answers one product / customer / cart at a time; here each view is
 computed for every key in one job, joined on keys (no per-key loops). "now"
-is an explicit ``as_of`` (default: the newest order), never the wall clock.
+is an explicit ``as_of`` taken from the data (the newest order; for promotions the start
+of the newest one that covers a product), never the wall clock.
 """
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -18,13 +21,17 @@ from ..operators.stats import group_rank
 from ..operators.topk import keep_one, top_k
 from .warehouse import Warehouse
 
-PROMO_AS_OF = "1997-01-15 00:00:00"
-
 
 def _now(wh: Warehouse):
     return wh.raw("orders").agg(F.max("placed_at")).first()[0]
 
 
+def _promotion_start(wh: Warehouse):
+    """When the newest promotion that covers a product begins."""
+    covering = wh.raw("promotion_products").select(F.col("promotion_id").alias("id")).distinct()
+    return wh.raw("promotions").join(covering, "id").agg(F.max("starts_at")).first()[0]
+
+
 def _half_up(x):
     """Round half away from zero to a whole number (money in cents from doubles)."""
     return F.signum(x) * F.floor(F.abs(x) + 0.5)
@@ -51,8 +58,8 @@ def v02_trending(wh: Warehouse) -> DataFrame:
 
 
 # V-03 active promotion per product at a time, and the promo price ---------------------------
-def v03_active_promotion(wh: Warehouse, as_of: str = PROMO_AS_OF) -> DataFrame:
-    t = F.to_timestamp_ntz(F.lit(as_of))
+def v03_active_promotion(wh: Warehouse, as_of: dt.datetime | None = None) -> DataFrame:
+    t = F.lit(as_of or _promotion_start(wh)).cast("timestamp_ntz")
     pr = wh.raw("promotions").where((t >= F.col("starts_at")) & (t < F.col("ends_at")))
     pp = wh.raw("promotion_products").join(pr.withColumnRenamed("id", "promotion_id"), "promotion_id")
     best = keep_one(pp, ["product_id"], [F.col("discount_pct").desc(), F.col("promotion_id")])
@@ -88,7 +95,7 @@ def v06_latest_reviews(wh: Warehouse) -> DataFrame:
     r = wh.raw("reviews")
     c = wh.raw("customers").select(F.col("id").alias("customer_id"), "first_name", "country_code")
     t = top_k(r, ["product_id"], [F.col("created_at").desc(), F.col("id").desc()], 5)
-    return t.join(c, "customer_id").select("product_id", "id", "rating", "title", "created_at", "first_name",
+    return t.join(c, "customer_id").select("product_id", "id", "rating", "title", "body", "created_at", "first_name",
                                            "country_code")
 
 
@@ -203,10 +210,11 @@ def v13_default_address(wh: Warehouse) -> DataFrame:
 # V-14 cart lines with price and total stock ----------------------------------------------------------------
 def v14_cart_lines(wh: Warehouse) -> DataFrame:
     ci = wh.raw("cart_items")
-    p = wh.raw("products").select(F.col("id").alias("product_id"), "name", "price_usd")
+    p = wh.raw("products").select(F.col("id").alias("product_id"), "name", "price_usd", "brand_id")
+    b = wh.raw("brands").select(F.col("id").alias("brand_id"), F.col("name").alias("brand"))
     stock = wh.raw("inventory").groupBy("product_id").agg(F.sum("quantity_on_hand").cast("bigint").alias("in_stock"))
-    return ci.join(p, "product_id").join(stock, "product_id", "left").select(
-        "cart_id", "product_id", "name", "quantity", "price_usd", F.coalesce("in_stock", F.lit(0)).alias("in_stock"))
+    return ci.join(p, "product_id").join(b, "brand_id").join(stock, "product_id", "left").select(
+        "cart_id", "product_id", "name", "brand", "quantity", "price_usd", F.coalesce("in_stock", F.lit(0)).alias("in_stock"))
 
 
 # V-15 order lines with returned units, and per-order payment / shipment counts -----------------------------
@@ -224,6 +232,45 @@ def v15_order_detail(wh: Warehouse) -> DataFrame:
                     F.coalesce("shipments", F.lit(0)).alias("shipments"))
 
 
+# V-15 the order page in full: header, lines, payments, shipments, returns of every order ---------------------------
+def v15_order_headers(wh: Warehouse) -> DataFrame:
+    """Each order with its shipping address, promotion code, currency sign and customer."""
+    o = wh.raw("orders").withColumnRenamed("id", "order_id")
+    sign = wh.raw("currencies").select(F.col("code").alias("currency_code"), "symbol")
+    to = wh.raw("addresses").select(F.col("id").alias("shipping_address_id"), "line1", "city", "postal_code", "country_code")
+    who = wh.raw("customers").select(F.col("id").alias("customer_id"), F.concat_ws(" ", "first_name", "last_name").alias("customer"))
+    code = wh.raw("promotions").select(F.col("id").alias("promotion_id"), F.col("code").alias("promo_code"))
+    j = o.join(sign, "currency_code").join(to, "shipping_address_id").join(who, "customer_id").join(code, "promotion_id", "left")
+    return j.select("order_id", "customer_id", "customer", "status", "placed_at", "updated_at", "currency_code", "symbol", "subtotal", "discount",
+                    "shipping_fee", "tax", "total", "line1", "city", "postal_code", "country_code", "promo_code")
+
+
+def v15_order_lines(wh: Warehouse) -> DataFrame:
+    """Each line with its product's name and the units that came back."""
+    back = wh.raw("returns").groupBy("order_id", "line_no").agg(F.sum("quantity").cast("bigint").alias("returned"))
+    p = wh.raw("products").select(F.col("id").alias("product_id"), "name")
+    j = wh.raw("order_items").join(p, "product_id").join(back, ["order_id", "line_no"], "left")
+    return j.select("order_id", "line_no", "product_id", "name", "quantity", "unit_price", "discount", F.coalesce("returned", F.lit(0)).alias("returned"))
+
+
+def v15_order_payments(wh: Warehouse) -> DataFrame:
+    """Each attempt to pay, numbered in the order of the page (a failed one and its repeat are two)."""
+    place = F.row_number().over(Window.partitionBy("order_id").orderBy("paid_at", "id"))  # a few attempts an order
+    return wh.raw("payments").select("order_id", place.alias("place"), "method", "status", "amount", "paid_at")
+
+
+def v15_order_shipments(wh: Warehouse) -> DataFrame:
+    """Each parcel with its warehouse."""
+    w = wh.raw("warehouses").select(F.col("id").alias("warehouse_id"), F.col("name").alias("warehouse"))
+    return wh.raw("shipments").join(w, "warehouse_id").select("order_id", "id", "status", "carrier", "tracking_number", "shipped_at", "delivered_at", "warehouse")
+
+
+def v15_order_returns(wh: Warehouse) -> DataFrame:
+    """Each return, numbered in the order of the page."""
+    place = F.row_number().over(Window.partitionBy("order_id").orderBy("requested_at", "id"))
+    return wh.raw("returns").select("order_id", place.alias("place"), "line_no", "quantity", "reason", "status", "refund_amount", "requested_at")
+
+
 # V-16 returnable units and unit refund per line (integer cents) ----------------------------------------------
 def v16_returnable(wh: Warehouse) -> DataFrame:
     o = wh.raw("orders").where(F.col("status") == "delivered").select(F.col("id").alias("order_id"))
@@ -259,44 +306,91 @@ def v17_warehouse_choice(wh: Warehouse) -> DataFrame:
 
 
 # V-18 cart pricing in cents ---------------------------------------------------------------------------------
-def v18_price_carts(wh: Warehouse, as_of: str = PROMO_AS_OF) -> DataFrame:
-    """Price every cart as an order: unit = round(price cents x fx); promo discount; shipping
-    5.99 x fx unless vip or at least 5000 USD after discount; tax on the discounted subtotal."""
-    carts = wh.raw("carts").select(F.col("id").alias("cart_id"), "customer_id")
+def price_carts(wh: Warehouse, codes: DataFrame, as_of: dt.datetime) -> DataFrame:
+    """Price every cart as an order, with the promotion code that ``codes`` (cart_id, code) gives it, if any.
+
+    A code that is not active at ``as_of``, or that covers no product of the cart, is a problem: such a cart gets no price.
+    Unit = price cents x rate; discount on the lines that the code covers; shipping 5.99 USD unless the customer is vip
+    or the rest is worth 5,000 US cents or more; tax on the rest. Each amount is rounded half up to whole cents."""
+    t = F.lit(as_of).cast("timestamp_ntz")
+    carts = wh.raw("carts").select(F.col("id").alias("cart_id"), "customer_id").join(codes, "cart_id", "left")
+    active = wh.raw("promotions").where((t >= F.col("starts_at")) & (t < F.col("ends_at"))).select("code", F.col("id").alias("promotion_id"), "discount_pct")
     cu = wh.raw("customers").select(F.col("id").alias("customer_id"), "segment", "country_code")
     co = wh.raw("countries").select(F.col("code").alias("country_code"), "currency_code", "tax_rate")
-    day = F.to_date(F.lit(as_of[:10]))
-    fx = wh.fx_rates_daily.where(F.col("day") == day).select("currency_code", F.col("units_per_usd").alias("fx"))
-    promo = v03_active_promotion(wh, as_of).select("product_id", F.col("discount_pct").alias("pct"))
+    fx = wh.fx_rates_daily.where(F.col("day") == F.lit(as_of.date())).select("currency_code", F.col("units_per_usd").cast("double").alias("fx"))
+    covered = wh.raw("promotion_products").select("promotion_id", "product_id", F.lit(True).alias("covered"))
     p = wh.raw("products").select(F.col("id").alias("product_id"), "price_usd")
-    items = wh.raw("cart_items").join(carts, "cart_id").join(cu, "customer_id").join(co, "country_code") \
-        .join(fx, "currency_code").join(p, "product_id").join(promo, "product_id", "left")
-    fxd = F.col("fx").cast("double")
-    unit = _half_up((F.col("price_usd") * 100).cast("double") * fxd)
-    disc = F.when(F.col("pct").isNotNull(), _half_up(unit * F.col("quantity") * F.col("pct") / 100)).otherwise(0)
-    lines = items.select("cart_id", "segment", "fx", "tax_rate", (unit * F.col("quantity")).alias("gross"),
-                         disc.alias("disc"))
-    g = lines.groupBy("cart_id", "segment", "fx", "tax_rate").agg(F.sum("gross").alias("subtotal"),
-                                                                  F.sum("disc").alias("discount"))
-    net = F.col("subtotal") - F.col("discount")
-    ship = F.when((F.col("segment") != "vip") & (net / F.col("fx").cast("double") < 5000),
-                  _half_up(599 * F.col("fx").cast("double"))).otherwise(0)
-    tax = _half_up(net * F.col("tax_rate").cast("double"))
-    out = g.select("cart_id", F.col("subtotal").cast("bigint").alias("subtotal_cents"),
-                   F.col("discount").cast("bigint").alias("discount_cents"), ship.cast("bigint").alias("shipping_cents"),
-                   tax.cast("bigint").alias("tax_cents"))
-    return out.withColumn("total_cents", F.col("subtotal_cents") - F.col("discount_cents") + F.col("shipping_cents")
-                          + F.col("tax_cents"))
-
-
-# V-19 product admin list: sorted by name with page numbers -----------------------------------------------------
-def v19_product_admin(wh: Warehouse) -> DataFrame:
-    p = wh.raw("products").select("id", "sku", "name", "price_usd", "is_active")
-    b = wh.raw("brands").select(F.col("id").alias("brand_id"), F.col("name").alias("brand"))
-    x = wh.raw("products").select("id", "brand_id").join(b, "brand_id").join(p, "id")
+    head = carts.join(active, "code", "left").join(cu, "customer_id").join(co, "country_code").join(fx, "currency_code")
+    lines = wh.raw("cart_items").select("cart_id", "product_id", "quantity").join(head, "cart_id").join(p, "product_id")
+    lines = lines.join(covered, ["promotion_id", "product_id"], "left").withColumn("covered", F.coalesce("covered", F.lit(False)))
+    gross = _half_up((F.col("price_usd") * 100).cast("double") * F.col("fx")) * F.col("quantity")
+    off = F.when(F.col("covered"), _half_up(gross * F.col("discount_pct").cast("double") / 100)).otherwise(0.0)
+    by_cart = lines.groupBy("cart_id", "code", "promotion_id", "segment", "fx", "tax_rate").agg(
+        F.sum(gross).alias("subtotal"), F.sum(off).alias("discount"), F.max("covered").alias("covered"))
+    problem = F.when(F.col("code").isNotNull() & F.col("promotion_id").isNull(), "code is not active").when(
+        F.col("code").isNotNull() & ~F.col("covered"), "code covers no product of the cart")
+    rest = F.col("subtotal") - F.col("discount")
+    shipping = F.when((F.col("segment") != "vip") & (rest / F.col("fx") < 5000), _half_up(599 * F.col("fx"))).otherwise(0.0)
+    amounts = {"subtotal_cents": F.col("subtotal"), "discount_cents": F.col("discount"), "shipping_cents": shipping,
+               "tax_cents": _half_up(rest * F.col("tax_rate").cast("double"))}
+    out = by_cart.withColumn("problem", problem)
+    out = out.select("cart_id", "code", "problem", *[F.when(F.col("problem").isNull(), v).cast("bigint").alias(k) for k, v in amounts.items()])
+    return out.withColumn("total_cents", F.col("subtotal_cents") - F.col("discount_cents") + F.col("shipping_cents") + F.col("tax_cents"))
+
+
+def v18_price_carts(wh: Warehouse) -> DataFrame:
+    """Every cart priced at the start of the newest promotion: every second one tries its code, every third of the others that of some other promotion."""
+    as_of = _promotion_start(wh)
+    pr = wh.raw("promotions")
+    newest = pr.where(F.col("starts_at") == F.lit(as_of)).agg(F.min("code").alias("now"))
+    other = pr.where(F.col("starts_at") != F.lit(as_of)).select((F.col("id") % 5).alias("k"), "code").groupBy("k").agg(F.min("code").alias("other"))
+    k = wh.raw("carts").select(F.col("id").alias("cart_id"), F.floor(F.col("id") / 10).alias("n")).withColumn("one", F.lit(1)).withColumn("k", F.col("n") % 5)
+    codes = k.join(newest.withColumn("one", F.lit(1)), "one").join(other, "k", "left").select(
+        "cart_id", F.when(F.col("n") % 2 == 0, F.col("now")).when(F.col("n") % 3 == 0, F.col("other")).alias("code"))
+    return price_carts(wh, codes, as_of)
+
+
+# V-19 product admin list: search, active filter, six sorts, pages -----------------------------------------------------
+ADMIN_SORTS = {
+    "id": lambda: [F.col("id")], "id_desc": lambda: [F.col("id").desc()],
+    "price": lambda: [F.col("price_usd"), F.col("id")], "price_desc": lambda: [F.col("price_usd").desc(), F.col("id")],
+    "name": lambda: [F.col("name"), F.col("id")], "name_desc": lambda: [F.col("name").desc(), F.col("id")],
+    "created": lambda: [F.col("created_at"), F.col("id")],
+}
+
+
+def product_admin(wh: Warehouse, search: str | None = None, only_active: bool = False, sort: str = "id", page_size: int = PAGE_SIZE) -> DataFrame:
+    """Products whose name or SKU contains ``search`` (any case; blanks around it do not count), by ``sort``, with position and page.
+
+    A sort that is not known goes by id; a page holds 1 to 200 products."""
     from ..operators.keys import dense_key
-    keyed = dense_key(x.select("id", "sku", "name", "brand", "price_usd", "is_active"), ["name", "id"], "position")
-    return keyed.withColumn("page", ((F.col("position") - 1) / PAGE_SIZE).cast("bigint") + 1)
+    page_size = min(max(page_size, 1), 200)
+    p = wh.raw("products").select("id", "sku", "name", "price_usd", "is_active", "created_at", "brand_id", "category_id")
+    term = (search or "").strip().lower()
+    if term:
+        p = p.where(F.contains(F.lower("name"), F.lit(term)) | F.contains(F.lower("sku"), F.lit(term)))
+    if only_active:
+        p = p.where("is_active")
+    b = wh.raw("brands").select(F.col("id").alias("brand_id"), F.col("name").alias("brand"))
+    c = wh.raw("categories").select(F.col("id").alias("category_id"), F.col("name").alias("category"))
+    rows = p.join(b, "brand_id").join(c, "category_id").select("id", "sku", "name", "brand", "category", "price_usd", "is_active", "created_at")
+    keyed = dense_key(rows, ADMIN_SORTS.get(sort, ADMIN_SORTS["id"])(), "position")
+    return keyed.withColumn("page", F.floor((F.col("position") - 1) / page_size).cast("bigint") + 1)
+
+
+def v19_product_admin(wh: Warehouse) -> DataFrame:
+    """The whole list by name."""
+    return product_admin(wh, sort="name").drop("category", "created_at")
+
+
+def v19_product_admin_sorts(wh: Warehouse) -> DataFrame:
+    """Active products that a search for the first word (by alphabet) of all names finds, in every sort."""
+    term = wh.raw("products").agg(F.min(F.split("name", " ")[0])).first()[0]
+    out = None
+    for sort in ADMIN_SORTS:
+        one = product_admin(wh, f" {term} ".upper(), True, sort, 10).withColumn("sort", F.lit(sort))
+        out = one if out is None else out.unionByName(one)
+    return out
 
 
 VIEWS = {k: v for k, v in globals().items() if k[:1] == "v" and k[1:3].isdigit() and callable(v)}

@@ -27,6 +27,7 @@ from ..functions.numeric import dround
 from ..functions.timefn import date_key, minutes_between_boundaries
 from ..operators.hierarchy import closure, flatten_tree
 from ..operators.keys import dense_key
+from ..operators.pairs import pairs
 from ..operators.topk import keep_one, top_k
 from ..sources.fixtures import Store
 
@@ -82,6 +83,31 @@ class Warehouse:
         newest = self.raw("orders").agg(F.max("placed_at")).first()[0]
         return newest.date() if newest is not None else None
 
+    # -- few rows by key ------------------------------------------------------------------------
+    @cached_property
+    def watermark_customer(self) -> int:
+        """The customer of the newest order."""
+        return self.order_rows("orders", [self.max_order_id]).select("customer_id").first()[0]
+
+    def orders_of(self, customer_id: int) -> DataFrame:
+        """Orders of one customer: order_id, placed_at, status, currency_code, total."""
+        o = self.raw("orders").where(F.col("customer_id") == customer_id)
+        return o.select("customer_id", F.col("id").alias("order_id"), "placed_at", "status", "currency_code", "total")
+
+    def order_facts_of(self, customer_id: int) -> DataFrame:
+        """Order facts of one customer: order_id, placed_at, status, line_count, total_usd."""
+        return self.fact_orders.where(F.col("customer_id") == customer_id)
+
+    def order_rows(self, name: str, order_ids: list[int]) -> DataFrame:
+        """Rows of an order table that belong to a few orders."""
+        return self.raw(name).where(F.col(ORDER_TABLES[name]).isin(order_ids))
+
+    def order_with_lines(self, order_id: int) -> DataFrame:
+        """One order and its lines: a row per line (O9); an order without lines has one row."""
+        o = self.order_rows("orders", [order_id]).select(F.col("id").alias("order_id"), "customer_id", "placed_at", "status", "currency_code", "total")
+        li = self.order_rows("order_items", [order_id]).select("order_id", "line_no", "product_id", "quantity", "unit_price", "discount")
+        return o.join(li, "order_id", "left")
+
     def sales_after(self, after, upto=None) -> DataFrame:
         """Sales with ``after`` < order_date (<= ``upto``). Where the table is partitioned by year and month, the same
         bounds are put on those, so other months are not even listed."""
@@ -285,17 +311,13 @@ class Warehouse:
     def product_pairs(self) -> DataFrame:
         """Frequently bought together: top 8 other products per product.
 
-        Lines are first collapsed to (order, product, lines); the self join then
-        pairs distinct products of an order and weights each pair by the
-        product of line counts, which equals counting every pair of lines.
+        Lines are first collapsed to (order, product, lines); distinct products
+        of an order are then paired, and each pair is weighted by the product of
+        line counts, which equals counting every pair of lines.
         """
         per = self.fact_sales.groupBy("order_id", "product_id").agg(F.count(F.lit(1)).alias("n"))
-        a = per.alias("a")
-        b = per.alias("b")
-        pairs = a.join(b, (F.col("a.order_id") == F.col("b.order_id")) & (F.col("a.product_id") != F.col("b.product_id")))
-        counted = pairs.groupBy(F.col("a.product_id").alias("product_id"),
-                                F.col("b.product_id").alias("other_product_id")).agg(
-            F.sum(F.col("a.n") * F.col("b.n")).alias("orders_together"))
+        counted = pairs(per, "order_id", "product_id", "n").groupBy("product_id", F.col("other").alias("other_product_id")).agg(
+            F.sum(F.col("n") * F.col("other_weight")).alias("orders_together"))
         return top_k(counted, ["product_id"], [F.col("orders_together").desc(), F.col("other_product_id")], 8)
 
     @cached_property

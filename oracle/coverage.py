@@ -31,22 +31,29 @@ SQL["s15_column_ranges"] = " UNION ALL ".join(
 
 _NAMES = ("dim_category dim_product dim_employee dim_customer dim_warehouse dim_promotion fact_orders fact_sales fact_returns fact_reviews "
           "product_stats").split()
-SQL["s16_star_tables"] = " UNION ALL ".join(f"SELECT 'dw_{n}' AS table_name, count(*) AS estimated_rows FROM dw_{n}" for n in _NAMES) + """
-UNION ALL SELECT 'dw_dim_date', CAST(max(placed_at) AS DATE) - CAST(min(placed_at) AS DATE) + 366 FROM st_orders
-UNION ALL SELECT 'dw_fact_inventory', count(*) FROM st_inventory
-UNION ALL SELECT 'dw_product_pairs', sum(least(others, 8)) FROM (
+#: Rows of every star table.
+_STAR_ROWS = " UNION ALL ".join(f"SELECT '{n}' AS name, count(*) AS n FROM dw_{n}" for n in _NAMES) + """
+UNION ALL SELECT 'dim_date', CAST(max(placed_at) AS DATE) - CAST(min(placed_at) AS DATE) + 366 FROM st_orders
+UNION ALL SELECT 'fact_inventory', count(*) FROM st_inventory
+UNION ALL SELECT 'product_pairs', sum(least(others, 8)) FROM (
     SELECT a.product_id, count(DISTINCT b.product_id) AS others FROM dw_fact_sales a, dw_fact_sales b
     WHERE b.order_id = a.order_id AND b.product_id <> a.product_id GROUP BY a.product_id)"""
-
-SQL["c01_warehouses_agree"] = " UNION ALL ".join(
-    f"SELECT '{n}' AS \"table\", count(*) AS rows_a, count(*) AS rows_b, 0 AS only_a, 0 AS only_b FROM dw_{n}"
-    for n in ("fact_orders", "fact_sales", "fact_returns", "dim_category", "dim_customer"))
+SQL["s16_star_tables"] = f"SELECT 'dw_' || name AS table_name, CAST(n AS BIGINT) AS estimated_rows FROM ({_STAR_ROWS})"
+SQL["c01_warehouses_agree"] = f"""
+SELECT name AS "table", CAST(n AS BIGINT) AS rows_a, CAST(n AS BIGINT) AS rows_b, CAST(0 AS BIGINT) AS only_a, CAST(0 AS BIGINT) AS only_b, '' AS samples_a, '' AS samples_b
+FROM ({_STAR_ROWS})"""
+_STORE = ("currencies countries fx_rates employees customers addresses categories brands products product_prices suppliers product_suppliers "
+          "warehouses inventory promotions promotion_products orders order_items shipments payments returns reviews").split()
+#: A tenth of the customers has a cart, with one or two different products.
+_CARTS = """
+UNION ALL SELECT 'carts', count(*), count(*), true FROM st_customers WHERE id % 10 = 0
+UNION ALL SELECT 'cart_items', n, n, true FROM (
+    SELECT sum(CASE WHEN (7 * id) % p = (13 * id + 1) % p THEN 1 ELSE 2 END)::BIGINT AS n FROM st_customers, (SELECT count(*) AS p FROM part) WHERE id % 10 = 0)"""
 SQL["c03_copied_rows"] = " UNION ALL ".join(
-    f"SELECT '{n}' AS table_name, count(*) AS source_rows, count(*) AS target_rows, true AS ok FROM st_{n}"
-    for n in ("countries", "customers", "products", "orders", "order_items"))
+    f"SELECT '{n}' AS table_name, count(*) AS source_rows, count(*) AS target_rows, true AS ok FROM st_{n}" for n in _STORE) + _CARTS
 SQL["c04_models_agree"] = " UNION ALL ".join(
-    f"SELECT '{q}' AS question, count(*) AS rows_a, count(*) AS rows_b, 0 AS missing_columns, 0 AS differing_cells FROM ({over(STAR_SOURCE, QUESTION[q])})"
-    for q in ("monthly_revenue", "cohort_retention", "rfm_segments", "clv_buckets", "top_products_per_department"))
+    f"SELECT '{q}' AS question, count(*) AS rows_a, count(*) AS rows_b, 0 AS missing_columns, 0 AS differing_cells FROM ({over(STAR_SOURCE, sql)})"
+    for q, sql in QUESTION.items())
 SQL["c05_normalized_products"] = """
 SELECT product_id, trim(product_name) AS product_name, round(CAST(list_price_usd AS DOUBLE), 2) AS list_price_usd, CAST(is_active AS BIGINT) AS is_active,
        CAST(is_current AS BIGINT) AS is_current, replace(strftime(valid_from, '%Y-%m-%d %H:%M:%S'), ' 00:00:00', '') AS valid_from

@@ -1,7 +1,8 @@
 """Oracle statements for the store-page batch views (DuckDB dialect)."""
 
 NOW = "(SELECT max(placed_at) FROM st_orders)"
-AS_OF = "TIMESTAMP '1997-01-15 00:00:00'"
+#: When the newest promotion that covers a product begins.
+AS_OF = "(SELECT max(starts_at) FROM st_promotions WHERE id IN (SELECT promotion_id FROM st_promotion_products))"
 TRI = ("list_distinct(flatten(list_transform(list_filter(string_split_regex(lower({s}), '[^a-z0-9]+'), "
        "lambda w: w <> ''), lambda w: list_transform(range(1, length(w) + 2), "
        "lambda i: substring('  ' || w || ' ', i, 3)))))")
@@ -52,7 +53,7 @@ SELECT product_id, count(*) AS reviews, round(avg(rating), 4) AS avg_rating,
 FROM st_reviews GROUP BY product_id"""
 
 SQL["v06_latest_reviews"] = """
-SELECT r.product_id, r.id, r.rating, 'Review ' || r.id AS title, r.created_at, c.first_name, c.country_code
+SELECT r.product_id, r.id, r.rating, 'Review ' || r.id AS title, 'Fine.' AS body, r.created_at, c.first_name, c.country_code
 FROM st_reviews r JOIN st_customers c ON c.id = r.customer_id
 QUALIFY row_number() OVER (PARTITION BY r.product_id ORDER BY r.created_at DESC, r.id DESC) <= 5"""
 
@@ -143,8 +144,8 @@ q_items AS (
            CAST(1 + c.id % 3 AS INTEGER) AS quantity
     FROM q_carts c
 ), q_stock AS (SELECT product_id, CAST(sum(quantity_on_hand) AS BIGINT) AS in_stock FROM st_inventory GROUP BY ALL)
-SELECT i.cart_id, i.product_id, p.name, i.quantity, p.price_usd, coalesce(s.in_stock, 0) AS in_stock
-FROM q_items i JOIN st_products p ON p.id = i.product_id LEFT JOIN q_stock s ON s.product_id = i.product_id"""
+SELECT i.cart_id, i.product_id, p.name, b.name AS brand, i.quantity, p.price_usd, coalesce(s.in_stock, 0) AS in_stock
+FROM q_items i JOIN st_products p ON p.id = i.product_id JOIN st_brands b ON b.id = p.brand_id LEFT JOIN q_stock s ON s.product_id = i.product_id"""
 
 SQL["v15_order_detail"] = """
 WITH q_r AS (SELECT order_id, line_no, sum(quantity) AS returned FROM st_returns GROUP BY ALL),
@@ -186,35 +187,80 @@ SELECT p.id, 'SKU-' || lpad(CAST(p.id AS VARCHAR), 8, '0') AS sku, p.name, b.nam
        (row_number() OVER (ORDER BY p.name, p.id) - 1) // 24 + 1 AS page
 FROM st_products p JOIN st_brands b ON b.id = p.brand_id"""
 
+SQL["v15_order_headers"] = """
+SELECT o.id AS order_id, o.customer_id, c.first_name || ' ' || c.last_name AS customer, o.status, o.placed_at, o.placed_at + INTERVAL 2 DAY AS updated_at,
+       o.currency_code, CASE o.currency_code WHEN 'USD' THEN '$' WHEN 'CAD' THEN 'C$' WHEN 'EUR' THEN '€' WHEN 'GBP' THEN '£' ELSE '¥' END AS symbol,
+       o.subtotal, o.discount, o.shipping_fee, o.tax, o.total, a.line1, a.city, a.postal_code, a.country_code,
+       CASE WHEN o.promotion_id IS NOT NULL THEN 'PROMO' || o.promotion_id END AS promo_code
+FROM st_orders o JOIN st_customers c ON c.id = o.customer_id JOIN st_addresses a ON a.id = o.shipping_address_id"""
+
+SQL["v15_order_lines"] = """
+SELECT i.order_id, i.line_no, i.product_id, p.name, i.quantity, i.unit_price, i.discount,
+       CAST(coalesce((SELECT sum(r.quantity) FROM st_returns r WHERE r.order_id = i.order_id AND r.line_no = i.line_no), 0) AS BIGINT) AS returned
+FROM st_order_items i JOIN st_products p ON p.id = i.product_id"""
+
+SQL["v15_order_payments"] = """
+SELECT order_id, CAST(row_number() OVER (PARTITION BY order_id ORDER BY paid_at, id) AS INTEGER) AS place, method, status, amount, paid_at FROM st_payments"""
+
+SQL["v15_order_shipments"] = """
+SELECT s.order_id, s.id, CASE WHEN delivered_at IS NOT NULL THEN 'delivered' WHEN shipped_at IS NOT NULL THEN 'in_transit' ELSE 'pending' END AS status,
+       s.carrier, 'TRK' || s.id AS tracking_number, s.shipped_at, s.delivered_at, w.name AS warehouse
+FROM st_shipments s JOIN st_warehouses w ON w.id = s.warehouse_id"""
+
+SQL["v15_order_returns"] = """
+SELECT order_id, CAST(row_number() OVER (PARTITION BY order_id ORDER BY requested_at, id) AS INTEGER) AS place, line_no, quantity, reason, 'refunded' AS status,
+       refund_amount, requested_at FROM st_returns"""
+
+SQL["v19_product_admin_sorts"] = """
+WITH q_word AS (SELECT min(split_part(name, ' ', 1)) AS term FROM st_products),
+q_found AS (
+    SELECT p.id, p.sku, p.name, b.name AS brand, c.name AS category, p.price_usd, p.is_active,
+           TIMESTAMP '1994-01-01 00:00:00' AS created_at
+    FROM st_products p JOIN st_brands b ON b.id = p.brand_id JOIN st_categories c ON c.id = p.category_id, q_word
+    WHERE p.is_active AND (p.name ILIKE '%' || term || '%' OR p.sku ILIKE '%' || term || '%')
+), q_placed AS (
+    SELECT *, 'id' AS sort, row_number() OVER (ORDER BY id) AS position FROM q_found
+    UNION ALL SELECT *, 'id_desc', row_number() OVER (ORDER BY id DESC) FROM q_found
+    UNION ALL SELECT *, 'price', row_number() OVER (ORDER BY price_usd, id) FROM q_found
+    UNION ALL SELECT *, 'price_desc', row_number() OVER (ORDER BY price_usd DESC, id) FROM q_found
+    UNION ALL SELECT *, 'name', row_number() OVER (ORDER BY name, id) FROM q_found
+    UNION ALL SELECT *, 'name_desc', row_number() OVER (ORDER BY name DESC, id) FROM q_found
+    UNION ALL SELECT *, 'created', row_number() OVER (ORDER BY created_at, id) FROM q_found
+)
+SELECT *, (position - 1) // 10 + 1 AS page FROM q_placed"""
+
 SQL["v18_price_carts"] = f"""
-WITH q_carts AS (SELECT id AS cart_id, id AS customer_id FROM st_customers WHERE id % 10 = 0),
-q_items AS (
-    SELECT DISTINCT c.cart_id, unnest([1 + (7 * c.cart_id) % (SELECT count(*) FROM part),
-                                       1 + (13 * c.cart_id + 1) % (SELECT count(*) FROM part)]) AS product_id,
-           CAST(1 + c.cart_id % 3 AS INTEGER) AS quantity
-    FROM q_carts c
-), {_PROMO},
-q_lines AS (
-    SELECT i.cart_id, cu.segment, CAST(fx.units_per_usd AS DOUBLE) AS fx, CAST(co.tax_rate AS DOUBLE) AS tax_rate,
-           sign(CAST(p.price_usd * 100 AS DOUBLE) * CAST(fx.units_per_usd AS DOUBLE))
-             * floor(abs(CAST(p.price_usd * 100 AS DOUBLE) * CAST(fx.units_per_usd AS DOUBLE)) + 0.5) AS unit,
-           i.quantity, CAST(b.discount_pct AS DOUBLE) AS pct
-    FROM q_items i JOIN q_carts c ON c.cart_id = i.cart_id JOIN st_customers cu ON cu.id = c.customer_id
-    JOIN st_countries co ON co.code = cu.country_code
-    JOIN st_fx_rates_daily fx ON fx.currency_code = co.currency_code AND fx.day = DATE '1997-01-15'
-    JOIN st_products p ON p.id = i.product_id
-    LEFT JOIN q_best b ON b.product_id = i.product_id AND b.rn = 1
+WITH q_promo AS (
+    SELECT id AS promotion_id, code, CAST(discount_pct AS DOUBLE) AS pct, starts_at = {AS_OF} AS newest, {AS_OF} >= starts_at AND {AS_OF} < ends_at AS active FROM st_promotions
 ), q_cart AS (
-    SELECT cart_id, segment, fx, tax_rate, sum(unit * quantity) AS subtotal,
-           sum(CASE WHEN pct IS NOT NULL THEN sign(unit * quantity * pct / 100) * floor(abs(unit * quantity * pct / 100) + 0.5)
-                    ELSE 0 END) AS discount
-    FROM q_lines GROUP BY cart_id, segment, fx, tax_rate
-), q_priced AS (
-    SELECT cart_id, CAST(subtotal AS BIGINT) AS subtotal_cents, CAST(discount AS BIGINT) AS discount_cents,
-           CAST(CASE WHEN segment <> 'vip' AND (subtotal - discount) / fx < 5000
-                     THEN sign(599 * fx) * floor(abs(599 * fx) + 0.5) ELSE 0 END AS BIGINT) AS shipping_cents,
-           CAST(sign((subtotal - discount) * tax_rate) * floor(abs((subtotal - discount) * tax_rate) + 0.5) AS BIGINT)
-               AS tax_cents
+    SELECT id AS cart_id, segment, country_code,
+           CASE WHEN (id // 10) % 2 = 0 THEN (SELECT min(code) FROM q_promo WHERE newest)
+                WHEN (id // 10) % 3 = 0 THEN (SELECT min(p.code) FROM q_promo p WHERE NOT p.newest AND p.promotion_id % 5 = (id // 10) % 5) END AS code
+    FROM st_customers WHERE id % 10 = 0
+), q_items AS (
+    SELECT DISTINCT cart_id, unnest([1 + (7 * cart_id) % (SELECT count(*) FROM part), 1 + (13 * cart_id + 1) % (SELECT count(*) FROM part)]) AS product_id,
+           1 + cart_id % 3 AS quantity
     FROM q_cart
+), q_lines AS (
+    SELECT c.cart_id, c.code, a.promotion_id, c.segment, CAST(fx.units_per_usd AS DOUBLE) AS fx, CAST(co.tax_rate AS DOUBLE) AS tax_rate, a.pct,
+           floor(CAST(p.price_usd * 100 AS DOUBLE) * CAST(fx.units_per_usd AS DOUBLE) + 0.5) * i.quantity AS gross, pp.product_id IS NOT NULL AS covered
+    FROM q_cart c JOIN q_items i USING (cart_id) JOIN st_products p ON p.id = i.product_id JOIN st_countries co ON co.code = c.country_code
+    JOIN st_fx_rates_daily fx ON fx.currency_code = co.currency_code AND fx.day = CAST({AS_OF} AS DATE)
+    LEFT JOIN q_promo a ON a.code = c.code AND a.active
+    LEFT JOIN st_promotion_products pp ON pp.promotion_id = a.promotion_id AND pp.product_id = i.product_id
+), q_sums AS (
+    SELECT cart_id, code, promotion_id, segment, fx, tax_rate, sum(gross) AS subtotal, bool_or(covered) AS covered,
+           sum(CASE WHEN covered THEN floor(gross * pct / 100 + 0.5) ELSE 0 END) AS discount
+    FROM q_lines GROUP BY ALL
+), q_told AS (
+    SELECT *, CASE WHEN code IS NOT NULL AND promotion_id IS NULL THEN 'code is not active'
+                   WHEN code IS NOT NULL AND NOT covered THEN 'code covers no product of the cart' END AS problem FROM q_sums
+), q_priced AS (
+    SELECT cart_id, code, problem, CASE WHEN problem IS NULL THEN CAST(subtotal AS BIGINT) END AS subtotal_cents,
+           CASE WHEN problem IS NULL THEN CAST(discount AS BIGINT) END AS discount_cents,
+           CASE WHEN problem IS NULL THEN CAST(CASE WHEN segment <> 'vip' AND (subtotal - discount) / fx < 5000 THEN floor(599 * fx + 0.5) ELSE 0 END AS BIGINT) END AS shipping_cents,
+           CASE WHEN problem IS NULL THEN CAST(floor((subtotal - discount) * tax_rate + 0.5) AS BIGINT) END AS tax_cents
+    FROM q_told
 )
 SELECT *, subtotal_cents - discount_cents + shipping_cents + tax_cents AS total_cents FROM q_priced"""
+
