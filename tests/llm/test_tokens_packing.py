@@ -50,8 +50,37 @@ def test_index_edges(edge):
     assert got == sorted((n, c) for _, _, n, c in brute([r[:2] for r in edge_rows()]))
     spans = sorted((r.start, r.n_tokens) for r in rows)
     assert spans[0][0] == 0 and all(a + n == b for (a, n), (b, _) in zip(spans, spans[1:]))
-    assert all(r.index_start is not None for r in rows)
-    assert {r.copies for r in rows if r.doc_id in (1, 8)} == {2}
+    assert {k: sum(r.doc_id == k for r in rows) for k in (1, 8, None)} == {1: 2, 8: 2, None: 2}
+
+
+def test_fetch_reads_the_ids_of_keys(spark, docs, tmp_path, monkeypatch):
+    """Keyed access: index, block, place. A key's documents are all fetched, over several blocks; other keys give nothing."""
+    monkeypatch.setattr(token_index, "BLOCK_DOCS", 3)
+    rows = [(r.doc_id, r.text) for r in docs.limit(40).collect()] + [(7_000, f"copy {k}") for k in range(10)] + [(None, "no key")]
+    path = f"file://{tmp_path}/t"
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    token_index.write_tokens(df, path, bucket_keys=8)
+    blocks = token_index.directory(spark, path).where("doc_id = 7000").select("part", "block").distinct().count()
+    assert blocks >= 4
+    some = [rows[3][0], rows[11][0], 7_000, None, 123_456]
+    asked = spark.createDataFrame([(k,) for k in some], "doc_id long")
+    got = sorted(((r.doc_id is not None, r.doc_id or 0), list(r.ids)) for r in token_index.fetch(spark, path, asked, bucket_keys=8).collect())
+    want = sorted(((k is not None, k or 0), plain_ids(t) + [2]) for k, t in rows if k in some)
+    assert got == want
+
+
+def test_rows_come_through_the_index(spark, docs, tmp_path):
+    """A wrong slot loses its row: nothing else leads to the payload."""
+    path = f"file://{tmp_path}/t"
+    token_index.write_tokens(docs, path)
+    index = spark.read.schema(token_index.INDEX).parquet(f"{path}/index").collect()
+    broken = [{**r.asDict(), "place": bytes(len(r["place"]) - 8) + bytes([255] * 7 + [0])} for r in index]
+    spark.createDataFrame(broken, token_index.INDEX).write.parquet(f"{path}-broken/index")
+    for name in ("payload", "parts"):
+        spark.read.parquet(f"{path}/{name}").write.parquet(f"{path}-broken/{name}")
+    keys = docs.select("doc_id")
+    assert token_index.fetch(spark, path, keys, with_ids=False).count() == docs.count()
+    assert token_index.fetch(spark, f"{path}-broken", keys, with_ids=False).count() < docs.count()
 
 
 def test_lookup_finds_all_and_refuses_others(spark, docs, tmp_path):
