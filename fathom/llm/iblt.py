@@ -15,8 +15,12 @@ exploded and every aggregation of the peeling runs on that partitioning. Cells
 of a pair follow from its number of paragraphs and the share expected to
 differ, so work is linear in the text.
 
-The fingerprint string is a sketch of fixed size; likeness is the number of
-elements shared by both versions over the number in either.
+What peeling gives is kept: ``recovered`` returns the digests that differ, with their
+side, and likeness (elements shared by both versions over elements in either) is
+counted from them. The fingerprint string is a sketch of fixed size with the same
+cells (count, xor of elements, xor of checks), so two stored fingerprints can be
+subtracted and peeled as well (``compare_prints``): where few elements differ they are
+recovered, else the pair is told as not decoded.
 
 Next documents: rows are cut into ranges of doc_id of about ``range_rows`` rows
 (boundaries from approximate percentiles), a window per range finds the next
@@ -25,11 +29,15 @@ one, and the last of each range looks at the head of the range below.
 Defined results: null text is empty (no elements); two empty texts are alike
 (1.0); repeated doc_ids are ordered by the hash of their text, null doc_ids are
 the smallest; a single document is its own next one; an empty table gives no
-rows; extra columns are not read.
+rows; very long texts are read whole; rows that share a doc_id are documents of
+their own; extra columns are not read.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -69,17 +77,25 @@ def check(key: Column) -> Column:
     return F.xxhash64(key, F.lit("check"))
 
 
+def print_place(key: Column, subtable: int, size: Column | int) -> Column:
+    """Cell of an element in one subtable of the fingerprint string: other bits of the element for each."""
+    return F.pmod(F.shiftright(key, 20 * subtable), size if isinstance(size, Column) else F.lit(size).cast("long"))
+
+
 def print_of(keys: Column, cells: int = PRINT_CELLS) -> Column:
-    """A sketch of three subtables as text: the number of elements, then count and xor of each cell."""
+    """A sketch of three subtables as text: the number of elements, then ``count:elements:checks`` of each cell."""
     numbers = F.sequence(F.lit(0), F.lit(cells - 1))
+    xor = lambda own, name: F.lower(F.hex(F.aggregate(own, F.lit(0).cast("long"), lambda a, x: a.bitwiseXOR(x[name]))))
 
-    def subtable(s: int) -> Column:
-        def cell(j: Column) -> Column:
-            own = F.filter(keys, lambda k: F.pmod(F.shiftright(k, 20 * s), F.lit(cells)) == j)
-            return F.concat(F.hex(F.size(own)), F.lit(":"), F.lower(F.hex(F.aggregate(own, F.lit(0).cast("long"), lambda a, k: a.bitwiseXOR(k)))))
-        return F.array_join(F.transform(numbers, cell), " ")
+    def text(rows: Column) -> Column:
+        def subtable(s: int) -> Column:
+            def cell(j: Column) -> Column:
+                return let(F.filter(rows, lambda x: print_place(x["k"], s, cells) == j),
+                           lambda own: F.concat_ws(":", F.size(own).cast("string"), xor(own, "k"), xor(own, "h")))
+            return F.array_join(F.transform(numbers, cell), " ")
+        return F.concat_ws("|", F.size(rows).cast("string"), *[subtable(s) for s in range(3)])
 
-    return F.concat_ws("|", F.size(keys).cast("string"), *[subtable(s) for s in range(3)])
+    return let(F.transform(keys, lambda k: F.struct(k.alias("k"), check(k).alias("h"))), text)
 
 
 def with_next(docs: DataFrame, range_rows: int = RANGE_ROWS) -> DataFrame:
@@ -130,64 +146,119 @@ def versions(docs: DataFrame, range_rows: int = RANGE_ROWS) -> DataFrame:
 KEY = ["rng", "rn", "pair"]
 
 
-def _attempt(pairs: DataFrame, attempt: int) -> DataFrame:
-    """pairs (rng, rn, pair, size, plus, minus: arrays of elements) -> KEY, only_plus, only_minus, left (cells not peeled)."""
-    signed = F.concat(F.transform("plus", lambda k: F.struct(k.alias("k"), F.lit(1).alias("c"))),
-                      F.transform("minus", lambda k: F.struct(k.alias("k"), F.lit(-1).alias("c"))))
-    rows = pairs.select(*KEY, "size", F.explode(signed).alias("x")).select(*KEY, "size", "x.k", "x.c")
-    places = F.array(*[place(F.col("k"), s, F.col("size"), attempt) for s in range(3)])
-    rows = rows.select(*KEY, "size", F.explode(places).alias("cell"), "c", "k", check(F.col("k")).alias("h"))
+def _peel(cells: DataFrame, key: list[str], where: Callable[[Column, int, Column], Column]) -> DataFrame:
+    """cells (key, size, cell, c, k, h) -> key, side, digest: an element only on the plus (1) or minus (-1) side, or a cell left (0).
 
+    ``where``: cell of an element in a subtable. A peeled element stays as a row of its own, of the cell -1 or -2."""
     def merged(df: DataFrame) -> DataFrame:
-        out = df.groupBy(*KEY, "size", "cell").agg(F.sum("c").cast("int").alias("c"), F.bit_xor("k").alias("k"), F.bit_xor("h").alias("h"))
+        out = df.groupBy(*key, "size", "cell", "digest").agg(F.sum("c").cast("int").alias("c"), F.bit_xor("k").alias("k"), F.bit_xor("h").alias("h"))
         return out.where("c <> 0 OR k <> 0 OR h <> 0")
 
-    cells = merged(rows)
+    zero = F.lit(0).cast("long")
+    cells = merged(cells.withColumn("digest", zero))
+    part = lambda cell, digest, c, k, h: F.struct(cell.cast("int").alias("cell"), digest.alias("digest"), c.cast("int").alias("c"), k.alias("k"), h.alias("h"))
     for r in range(ROUNDS):
         own = r % 3
         lone = (F.col("cell") >= own * F.col("size")) & (F.col("cell") < (own + 1) * F.col("size")) & (F.abs("c") == 1) & (
             F.col("h") == check(F.col("k")))
-        part = lambda cell, c, k, h: F.struct(cell.alias("cell"), c.alias("c"), k.alias("k"), h.alias("h"))
-        out = [part(place(F.col("k"), s, F.col("size"), attempt), -F.col("c"), F.col("k"), F.col("h")) for s in range(3) if s != own]
-        zero = F.lit(0).cast("long")
-        out.append(part(F.when(F.col("c") > 0, -1).otherwise(-2), F.lit(1), zero, zero))  # what has been peeled is only counted
-        stay = F.array(part(F.col("cell"), F.col("c"), F.col("k"), F.col("h")))
-        cells = merged(cells.select(*KEY, "size", F.explode(F.when(lone, F.array(*out)).otherwise(stay)).alias("x")).select(*KEY, "size", "x.*"))
-    count = lambda which: F.sum(F.when(F.col("cell") == which, F.col("c")).otherwise(0)).cast("long")
-    return cells.groupBy(*KEY).agg(count(-1).alias("only_plus"), count(-2).alias("only_minus"),
-                                   F.count(F.when(F.col("cell") >= 0, 1)).alias("left"))
+        out = [part(where(F.col("k"), s, F.col("size")), zero, -F.col("c"), F.col("k"), F.col("h")) for s in range(3) if s != own]
+        out.append(part(F.when(F.col("c") > 0, -1).otherwise(-2), F.col("k"), F.lit(1), zero, zero))
+        stay = F.array(part(F.col("cell"), F.col("digest"), F.col("c"), F.col("k"), F.col("h")))
+        cells = merged(cells.select(*key, "size", F.explode(F.when(lone, F.array(*out)).otherwise(stay)).alias("x")).select(*key, "size", "x.*"))
+    side = F.when(F.col("cell") == -1, 1).when(F.col("cell") == -2, -1).otherwise(0)
+    return cells.select(*key, side.alias("side"), "digest")
 
 
-def differences(pairs: DataFrame, n_pairs: int) -> DataFrame:
-    """pairs (rng, rn, pair, plus, minus, expect: share of elements that may differ) -> KEY, only_plus, only_minus.
+def _attempt(pairs: DataFrame, attempt: int) -> DataFrame:
+    """pairs (rng, rn, pair, size, plus, minus: arrays of elements) -> KEY, side, digest as ``_peel`` gives them."""
+    signed = F.concat(F.transform("plus", lambda k: F.struct(k.alias("k"), F.lit(1).alias("c"))),
+                      F.transform("minus", lambda k: F.struct(k.alias("k"), F.lit(-1).alias("c"))))
+    rows = pairs.select(*KEY, "size", F.explode(signed).alias("x")).select(*KEY, "size", "x.k", "x.c")
+    places = F.array(*[place(F.col("k"), s, F.col("size"), attempt) for s in range(3)])
+    rows = rows.select(*KEY, "size", F.explode(places).alias("cell"), "c", "k", check(F.col("k")).alias("h"))
+    return _peel(rows, KEY, lambda k, s, size: place(k, s, size, attempt))
 
-    Pairs dealt by (rng, rn) beforehand are not shuffled again. Pairs that do not differ at all have no row.
-    """
+
+def _rounds(pairs: DataFrame, n_pairs: int, digests: bool) -> DataFrame:
+    """All pairs peeled, those that fail with larger sketches: digests that differ, or (KEY, only_plus, only_minus) counted from them."""
     attempt, done = 0, None
     while True:
         cells = F.ceil((F.size("plus") + F.size("minus")) * F.col("expect") * (ROOM * 2 ** attempt / 3)) + LEAST_CELLS * 2 ** attempt
-        counts = _attempt(pairs.withColumn("size", cells.cast("int")), attempt)
-        # a few numbers a pair, dealt to few files
-        got = materialize(counts.repartition(max(8, -(-n_pairs // ROWS_PER_FILE))), "peeled")
-        good = got.where("left = 0").drop("left")
-        done = good if done is None else done.unionByName(good)
-        failed = got.where("left > 0").select(*KEY)
+        rows = _attempt(pairs.withColumn("size", cells.cast("int")), attempt)
+        if digests:
+            got = materialize(rows, "peeled")
+            failed = got.where("side = 0").select(*KEY).distinct()
+        else:
+            counts = rows.groupBy(*KEY).agg(*[F.count_if(F.col("side") == s).alias(n) for s, n in ((1, "only_plus"), (-1, "only_minus"), (0, "left"))])
+            # a few numbers a pair, dealt to few files
+            got = materialize(counts.repartition(max(8, -(-n_pairs // ROWS_PER_FILE))), "peeled")
+            failed = got.where("left > 0").select(*KEY)
         n = failed.count()
+        failed = F.broadcast(failed) if n <= BROADCAST_PAIRS else failed
+        good = got.join(failed, KEY, "left_anti") if digests else got.where("left = 0").drop("left")
+        done = good if done is None else done.unionByName(good)
         if not n:
             return done
-        pairs = pairs.join(F.broadcast(failed) if n <= BROADCAST_PAIRS else failed, KEY, "left_semi")
+        pairs = pairs.join(failed, KEY, "left_semi")
         attempt += 1
 
 
+def differences(pairs: DataFrame, n_pairs: int) -> DataFrame:
+    """pairs (rng, rn, pair, plus, minus, expect: share of elements that may differ) -> KEY, only_plus, only_minus.
+
+    Pairs dealt by (rng, rn) beforehand are not shuffled again. Pairs that do not differ at all have no row.
+    """
+    return _rounds(pairs, n_pairs, False)
+
+
+def _pairs(rows: DataFrame, n: int) -> DataFrame:
+    """Pairs (text, edit) as 0 and (text, next text) as 1 of ``versions``, dealt by row."""
+    parts = max(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-n // PEEL_ROWS))
+    return rows.repartition(parts, "rng", "rn").select("rng", "rn", F.explode(F.array(
+        F.struct(F.lit(0).alias("pair"), F.lit(0.5).alias("expect"), F.col("a").alias("plus"), F.col("e").alias("minus")),
+        F.struct(F.lit(1).alias("pair"), F.lit(1.0).alias("expect"), F.col("a").alias("plus"), F.col("n").alias("minus")))).alias("p")).select("rng", "rn", "p.*")
+
+
+def recovered(docs: DataFrame, range_rows: int = RANGE_ROWS) -> DataFrame:
+    """doc_id, version ('edited' or 'next'), side (1: only in the document, -1: only in the version), digest: every paragraph that differs.
+
+    A paragraph is named by ``elements``: the hash of (its hash, its number among equal ones)."""
+    rows = materialize(versions(docs, range_rows), "versions")
+    n = rows.count()
+    found = _rounds(_pairs(rows, n), 2 * n, True)
+    return rows.select("rng", "rn", "doc_id").join(found, ["rng", "rn"]).select(
+        "doc_id", F.when(F.col("pair") == 0, "edited").otherwise("next").alias("version"), "side", "digest")
+
+
+def compare_prints(prints: DataFrame, a: str, b: str, key: list[str], cells: int = PRINT_CELLS) -> DataFrame:
+    """key, decoded, only_a, only_b (arrays of digests): two stored fingerprints of each row subtracted and peeled.
+
+    Where more elements differ than the sketch can tell apart, ``decoded`` is false and the arrays hold what was peeled."""
+    def read(c: str) -> Column:
+        # count, elements and checks of the cells of all three subtables, in order
+        tables = F.slice(F.split(F.col(c), "[|]"), 2, 3)
+        return F.transform(F.flatten(F.transform(tables, lambda t: F.split(t, " "))), lambda x: F.split(x, ":"))
+
+    number = lambda x: F.conv(x, 16, -10).cast("long")
+    both = F.zip_with(read(a), read(b), lambda x, y: F.struct(
+        (F.get(x, 0).cast("int") - F.get(y, 0).cast("int")).alias("c"), number(F.get(x, 1)).bitwiseXOR(number(F.get(y, 1))).alias("k"),
+        number(F.get(x, 2)).bitwiseXOR(number(F.get(y, 2))).alias("h")))
+    rows = prints.select(*key, F.lit(cells).alias("size"), F.posexplode(both).alias("cell", "x")).select(*key, "size", "cell", "x.*")
+    found = _peel(rows, key, lambda k, s, size: F.lit(s) * size + print_place(k, s, size))
+    of = lambda s: F.array_sort(F.collect_list(F.when(F.col("side") == s, F.col("digest"))))
+    found = found.groupBy(*key).agg((F.count_if(F.col("side") == 0) == 0).alias("decoded"), of(1).alias("only_a"), of(-1).alias("only_b"))
+    none = F.array().cast("array<bigint>")
+    found = found.select(*[F.col(k).alias(f"_{k}") for k in key], "decoded", "only_a", "only_b")
+    same = reduce(lambda x, y: x & y, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in key])
+    return prints.select(*key).join(found, same, "left").select(*key, F.coalesce("decoded", F.lit(True)).alias("decoded"),
+                                                              F.coalesce("only_a", none).alias("only_a"), F.coalesce("only_b", none).alias("only_b"))
+
+
 def fingerprint_edits(docs: DataFrame, range_rows: int = RANGE_ROWS) -> DataFrame:
     """doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next for every row."""
     rows = materialize(versions(docs, range_rows), "versions")
     n = rows.count()
-    parts = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-n // PEEL_ROWS))
-    pairs = rows.repartition(parts, "rng", "rn").select("rng", "rn", F.explode(F.array(
-        F.struct(F.lit(0).alias("pair"), F.lit(0.5).alias("expect"), F.col("a").alias("plus"), F.col("e").alias("minus")),
-        F.struct(F.lit(1).alias("pair"), F.lit(1.0).alias("expect"), F.col("a").alias("plus"), F.col("n").alias("minus")))).alias("p")).select("rng", "rn", "p.*")
-    found = differences(pairs, 2 * n)
+    found = differences(_pairs(rows, n), 2 * n)
     by_row = found.groupBy("rng", "rn").agg(*[
         F.max(F.when(F.col("pair") == p, F.col(c))).alias(f"{c}_{p}") for p in (0, 1) for c in ("only_plus", "only_minus")])
 
