@@ -31,8 +31,8 @@ ALPHA, BETA, L1, L2 = 2.0, 1.0, 12.0, 0.1
 EPOCHS = 5
 #: A toxic row counts so many times the number of other rows for each toxic one.
 POSITIVE_SHARE = 0.9
-#: Features of fewer sample rows are left out before the fit; counted in a table of 2**TABLE_BITS places.
-MIN_ROWS, TABLE_BITS = 3, 22
+#: Places of the tables that bound how far a feature's z can go.
+TABLE_BITS = 22
 PAIR, SKIP = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 TRIM = ".,;:!?\"'()[]"
 
@@ -49,6 +49,21 @@ def features(text: str | None) -> np.ndarray:
     return np.concatenate([h, h[:-1] * PAIR + (h[1:] ^ (h[1:] >> np.uint64(29))), h[:-2] * SKIP + (h[2:] ^ (h[2:] >> np.uint64(31)))])
 
 
+def reachable(rows: list[np.ndarray], y: np.ndarray, balance: float) -> list[np.ndarray]:
+    """The features of each row without those whose weight must stay zero; the fit is the same with and without them.
+
+    A weight is zero while |z| <= L1, and until then z is the sum of its gradients: each toxic row adds between
+    -``balance`` and 0 an epoch, each other row between 0 and 1. A feature whose rows cannot carry z over L1 either way
+    never gets a weight. Sums are kept by the low bits of the hash, so features that share a place are kept, not lost.
+    """
+    low = np.uint64((1 << TABLE_BITS) - 1)
+    most = np.zeros((2, 1 << TABLE_BITS), np.float32)
+    for r, toxic in zip(rows, y):
+        np.add.at(most[int(toxic > 0)], r & low, np.float32(1.001 * EPOCHS * (balance if toxic else 1.0)))  # rounded up
+    far = np.maximum(most[0], most[1]) > L1
+    return [r[far[r & low]] for r in rows]
+
+
 class FTRL:
     """Sorted feature hashes with weights that are not zero, and the bias."""
 
@@ -66,13 +81,8 @@ class FTRL:
         if not len(y) or y.min() == y.max():
             self.share = float(y.mean()) if len(y) else 0.0
             return self
-        # a feature of fewer documents could not overcome the L1 penalty; a table of counts by the low bits finds most of them
-        low = np.uint64((1 << TABLE_BITS) - 1)
-        seen = np.zeros(1 << TABLE_BITS, np.uint16)
-        for r in rows:
-            at = r & low
-            seen[at] += seen[at] < 60_000
-        rows = [r[seen[r & low] >= MIN_ROWS] for r in rows]
+        balance = POSITIVE_SHARE * (len(y) - y.sum()) / y.sum()
+        rows = reachable(rows, y, balance)
         names, flat = np.unique(np.concatenate(rows), return_inverse=True)
         ends = np.cumsum([len(r) for r in rows])
         z, n = np.zeros(len(names) + 1), np.zeros(len(names) + 1)  # the last is the bias, which has no L1
@@ -82,7 +92,6 @@ class FTRL:
             l1 = np.where(at == len(names), 0.0, L1)
             return np.where(np.abs(zi) <= l1, 0.0, -(zi - np.sign(zi) * l1) / ((BETA + np.sqrt(n[at])) / ALPHA + L2))
 
-        balance = POSITIVE_SHARE * (len(y) - y.sum()) / y.sum()
         order = np.random.default_rng(7).permutation(len(rows))
         for _ in range(EPOCHS):
             for i in order.tolist():

@@ -1,5 +1,6 @@
 """Operators 2 and 5: held-out accuracy, exact sums against enumeration, defined results at the edges."""
 
+import collections
 import itertools
 import zlib
 
@@ -80,3 +81,43 @@ def test_edges(spark, edge, empty, read, module, label, name):
 def test_weights_are_sparse(spark, read):
     model = toxicity.train(read("documents"), read("labels"))
     assert len(model.keys) < 5000
+
+
+def _plain_ftrl(rows, y):
+    """FTRL-proximal one coordinate at a time, in dictionaries, with every feature."""
+    z, n = collections.Counter(), collections.Counter()
+
+    def weight(k):
+        l1 = 0.0 if k is None else toxicity.L1
+        if abs(z[k]) <= l1:
+            return 0.0
+        return -(z[k] - np.sign(z[k]) * l1) / ((toxicity.BETA + n[k] ** 0.5) / toxicity.ALPHA + toxicity.L2)
+
+    balance = toxicity.POSITIVE_SHARE * (len(y) - sum(y)) / sum(y)
+    order = np.random.default_rng(7).permutation(len(rows))
+    for _ in range(toxicity.EPOCHS):
+        for i in order:
+            keys = [*rows[i].tolist(), None]
+            w = {k: weight(k) for k in keys}
+            p = 1 / (1 + np.exp(-np.clip(sum(w.values()), -35, 35)))
+            g = (p - y[i]) * (balance if y[i] else 1.0)
+            for k in keys:
+                sigma = ((n[k] + g * g) ** 0.5 - n[k] ** 0.5) / toxicity.ALPHA
+                z[k] += g - sigma * w[k]
+                n[k] += g * g
+    return {k: weight(k) for k in z if k is not None and weight(k)}, weight(None)
+
+
+@pytest.mark.parametrize("toxic", [5, 60])
+def test_fit_is_plain_ftrl_over_every_feature(toxic):
+    """Few toxic rows weigh much each: features of one or two rows get weights too, as without leaving any out."""
+    rng = np.random.default_rng(toxic)
+    y = np.array([1.0] * toxic + [0.0] * (150 - toxic))
+    rows = [np.unique(np.concatenate([rng.integers(0, 40, 6), rng.integers(1000, 1400, 6), [7000 + int(t)] if rng.random() < 0.7 else []]).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) for t in y]
+    model = toxicity.FTRL().fit(rows, y)
+    weights, bias = _plain_ftrl(rows, y)
+    assert dict(zip(model.keys.tolist(), model.weights)) == pytest.approx(weights)
+    assert model.bias == pytest.approx(bias)
+    seen = collections.Counter(k for r in rows for k in r.tolist())
+    if toxic == 5:
+        assert any(seen[k] < 3 for k in weights)
