@@ -2,20 +2,24 @@
 
 Every turn is written between marks of its role, with the control strings
 escaped inside texts in a way that can be undone. Prefix sums of the turns'
-tokens cut a conversation at turns: a turn belongs to the window in whose share
-of ``budget`` tokens it starts. A window after the first repeats the system
-turn and the turns that start within the last ``history`` tokens before it;
-their text is masked, so that each assistant text is a target exactly once.
+tokens cut a conversation into windows at turns. What a window may newly hold is its
+room: ``budget`` less the system turn and ``history``. Turns of more than half a room
+have windows of their own; a run of other turns is cut into cells as long as the room
+less the run's longest turn, and a window is made of the turns that start in the same
+cell. So the last of them still ends inside the room: system turn, history and new
+turns together stay within ``budget`` unless a single turn (or the system turn) leaves no room. A window after the first
+repeats the system turn and the turns that start within the last ``history`` tokens
+before it; their text is masked, so that each assistant text is a target exactly once.
 
 Escaping: every backslash is doubled, then a backslash is put after the first
 character of each control string. A run of one backslash therefore occurs only
 inside a control string, and both steps can be undone; no text can hold a
 control string, and the first closing mark after an opening one ends its turn.
 
-A token is a word plus one for the mark. A turn is never cut: one that is longer
-than the budget makes a longer window. A conversation's turns end up in one row
-(its digest is one value over all of them), so the longest conversation bounds
-a task's memory.
+A token is a word plus one for the mark. A turn is never cut. Windows are made from
+turn rows: each goes to its own window and to the few whose history begins after it,
+so a long conversation is spread by its windows. Only ``digests``, one value over a
+whole conversation, gathers its turns in one row.
 
 Defined results: null role and text are empty; turns are ordered by (turn, role,
 text), nulls first, so repeated rows are repeated turns; rows without conv_id
@@ -68,27 +72,53 @@ def _closing(role: Column) -> Column:
     return out
 
 
-def format_windows(turns: DataFrame, budget: int = BUDGET, history: int = HISTORY) -> DataFrame:
-    """conv_id, window, n_repeated (turns at its start that earlier windows had), text, loss (start, length of targets in text)."""
+def window_turns(turns: DataFrame, budget: int = BUDGET, history: int = HISTORY) -> DataFrame:
+    """Turns with conv_id, no (from 1), at (tokens of the conversation before), tokens, win (no of the first turn of its window), and
+    first (``at`` of that turn)."""
     role, text = (F.coalesce(F.col(c).cast("string"), F.lit("")) for c in ("role", "text"))
     rows = turns.select(F.col("conv_id").cast("long").alias("conv_id"), F.col("turn").cast("long").alias("turn"), role.alias("role"), text.alias("text"))
-    order = Window.partitionBy("conv_id").orderBy("turn", "role", "text").rowsBetween(Window.unboundedPreceding, -1)
-    upto = Window.partitionBy("conv_id").orderBy("turn", "role", "text")
+    order = Window.partitionBy("conv_id").orderBy("turn", "role", "text")
+    before = order.rowsBetween(Window.unboundedPreceding, -1)
     rows = rows.withColumn("tokens", (F.size(words_of(F.col("text"))) + 1).cast("long"))
-    rows = rows.withColumn("at", F.coalesce(F.sum("tokens").over(order), F.lit(0)).cast("long")).withColumn("no", F.row_number().over(upto))
-    one = F.struct("no", "at", F.floor(F.col("at") / budget).cast("long").alias("win"), "role", _opening(F.col("role")).alias("open"),
-                   escape(F.col("text")).alias("body"), _closing(F.col("role")).alias("close"))
-    convs = rows.groupBy("conv_id").agg(F.array_sort(F.collect_list(one)).alias("turns"))
-    convs = convs.withColumn("sys", F.get(F.filter("turns", lambda t: t["role"] == "system"), 0))
-    windows = convs.select("conv_id", "turns", "sys", F.explode(F.array_distinct(F.transform("turns", lambda t: t["win"]))).alias("win"))
-
-    new = F.filter("turns", lambda t: t["win"] == F.col("win"))
-    past = let(F.get(new, 0)["at"], lambda first: F.filter("turns", lambda t: (t["win"] < F.col("win")) & (
-        (t["at"] >= first - history) | (t["no"] == F.col("sys")["no"]))))
-    windows = windows.select("conv_id", F.col("win").alias("window"), past.alias("past"), new.alias("new")).withColumn("n_repeated", F.size("past"))
-    flat = F.concat(F.transform("past", lambda t: F.struct(t["open"].alias("open"), t["body"].alias("body"), t["close"].alias("close"), F.lit(False).alias("goal"))),
-                    F.transform("new", lambda t: F.struct(t["open"].alias("open"), t["body"].alias("body"), t["close"].alias("close"), (t["role"] == "assistant").alias("goal"))))
-    windows = windows.select("conv_id", "window", "n_repeated", flat.alias("turns"))
+    rows = rows.withColumn("at", F.coalesce(F.sum("tokens").over(before), F.lit(0)).cast("long")).withColumn("no", F.row_number().over(order))
+    whole, by_no = Window.partitionBy("conv_id"), Window.partitionBy("conv_id").orderBy("no")
+    system = F.coalesce(F.min_by("tokens", F.when(F.col("role") == "system", F.col("no"))).over(whole), F.lit(0))
+    rows = rows.withColumn("room", F.greatest(F.lit(budget - history) - system, F.lit(2)))
+    big = F.col("tokens") * 2 > F.col("room")
+    # a run begins with each big turn and after it; its first turn and its cells tell its windows apart
+    begins = big | F.coalesce(F.lag(big).over(by_no), F.lit(True))
+    rows = rows.withColumn("run", F.max(F.when(begins, F.col("at"))).over(by_no))
+    rows = rows.withColumn("cell", F.greatest(F.col("room") - F.max("tokens").over(Window.partitionBy("conv_id", "run")), F.lit(1)))
+    window = Window.partitionBy("conv_id", "run", "cell")
+    rows = rows.withColumn("cell", F.floor((F.col("at") - F.col("run")) / F.col("cell")))
+    return rows.select("conv_id", "no", "at", "tokens", "role", "text", F.min("no").over(window).alias("win"), F.min("at").over(window).alias("first"))
+
+
+def format_windows(turns: DataFrame, budget: int = BUDGET, history: int = HISTORY) -> DataFrame:
+    """conv_id, window, n_repeated (turns at its start that earlier windows had), n_tokens, text, loss (start, length of targets in text)."""
+    rows = window_turns(turns, budget, history)
+    key = F.col("conv_id").isNull().alias("none"), F.coalesce("conv_id", F.lit(0)).alias("conv")  # null is a conversation like any other
+    rows = rows.select(*key, "no", "at", "tokens", "role", _opening(F.col("role")).alias("open"), escape(F.col("text")).alias("body"),
+                       _closing(F.col("role")).alias("close"), "win", "first")
+    of = ["none", "conv"]
+    turn = ["no", "tokens", "role", "open", "body", "close"]
+    windows = rows.where("no = win").select(*of, F.col("win").alias("w"), F.col("first").alias("start"))
+    # history: a turn at ``at`` is repeated by later windows that start by at + history; both sides meet in stretches of ``history`` tokens
+    stretch = F.floor(F.col("start") / history) if history else F.lit(0)
+    starts = windows.withColumn("stretch", stretch)
+    near = F.array_distinct(F.array(F.floor(F.col("at") / max(history, 1)), F.floor((F.col("at") + history) / max(history, 1))))
+    told = rows.select(*of, *turn, "at", "win", F.explode(near).alias("stretch")).join(starts, [*of, "stretch"])
+    told = told.where((F.col("w") > F.col("win")) & (F.col("at") >= F.col("start") - history))
+    system = rows.where("role = 'system'").groupBy(*of).agg(F.min("no").alias("sys"))
+    system = rows.join(system.withColumnRenamed("sys", "no"), [*of, "no"]).select(*of, *turn, "win")
+    led = system.join(windows, of).where(F.col("w") > F.col("win"))
+    same = F.struct("no", "tokens", "role", "open", "body", "close", F.lit(False).alias("goal")).alias("t")
+    past = told.select(*of, "w", same).unionByName(led.select(*of, "w", same)).distinct()
+    mine = rows.select(*of, F.col("win").alias("w"), F.struct(*turn, (F.col("role") == "assistant").alias("goal")).alias("t"))
+    both = mine.withColumn("past", F.lit(0)).unionByName(past.withColumn("past", F.lit(1)))
+    windows = both.groupBy(*of, "w").agg(F.array_sort(F.collect_list("t")).alias("turns"), F.sum("past").cast("int").alias("n_repeated"),
+                                         F.sum("t.tokens").cast("long").alias("n_tokens"))
+    windows = windows.select(F.when(~F.col("none"), F.col("conv")).alias("conv_id"), F.col("w").cast("long").alias("window"), "n_repeated", "n_tokens", "turns")
 
     spans = "array<struct<start:bigint,length:bigint>>"
     start = F.struct(F.lit(0).cast("long").alias("pos"), F.array().cast(spans).alias("spans"))
@@ -99,7 +129,7 @@ def format_windows(turns: DataFrame, budget: int = BUDGET, history: int = HISTOR
         return F.struct((begins + F.length(t["body"]) + F.length(t["close"])).cast("long").alias("pos"),
                         F.when(t["goal"], F.concat(acc["spans"], span)).otherwise(acc["spans"]).alias("spans"))
 
-    return windows.select("conv_id", "window", "n_repeated",
+    return windows.select("conv_id", "window", "n_repeated", "n_tokens",
                           F.array_join(F.transform("turns", lambda t: F.concat(t["open"], t["body"], t["close"])), "").alias("text"),
                           F.aggregate("turns", start, step, lambda acc: acc["spans"]).alias("loss"))
 

@@ -142,9 +142,16 @@ def _chat_sql() -> str:
         ), placed AS (
             SELECT *, coalesce(sum(tokens) OVER (PARTITION BY conv_id ORDER BY no ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS at_token
             FROM sized
+        ), roomy AS (
+            SELECT *, min(CASE WHEN role = 'system' THEN no END) OVER (PARTITION BY conv_id) AS system_no,
+                   greatest({chat.BUDGET - chat.HISTORY} - coalesce(arg_min(tokens, CASE WHEN role = 'system' THEN no END) OVER (PARTITION BY conv_id), 0), 2) AS room
+            FROM placed
+        ), run_of AS (
+            SELECT *, max(CASE WHEN begins THEN at_token END) OVER (PARTITION BY conv_id ORDER BY no) AS run
+            FROM (SELECT *, tokens * 2 > room OR coalesce(lag(tokens * 2 > room) OVER (PARTITION BY conv_id ORDER BY no), true) AS begins FROM roomy)
         ), turns AS (
-            SELECT *, CAST(floor(at_token / {chat.BUDGET}) AS BIGINT) AS win,
-                   min(CASE WHEN role = 'system' THEN no END) OVER (PARTITION BY conv_id) AS system_no FROM placed
+            SELECT *, min(no) OVER (PARTITION BY conv_id, run, (at_token - run) // cell) AS win
+            FROM (SELECT *, greatest(room - max(tokens) OVER (PARTITION BY conv_id, run), 1) AS cell FROM run_of)
         ), windows AS (
             SELECT conv_id, win, min(at_token) AS first_token FROM turns GROUP BY conv_id, win
         ), lengths AS (

@@ -68,6 +68,48 @@ def test_edit_edges(spark, edge, empty):
     assert len(one) == 1 and one[0].near_next == 1.0
 
 
+def paragraph_digests(spark, texts):
+    """Per text its elements, by the library's own hash, and their number by plain counting."""
+    df = spark.createDataFrame(list(enumerate(texts)), "i long, text string")
+    rows = {r.i: set(r.e) for r in df.select("i", iblt.elements(F.col("text")).alias("e")).collect()}
+    assert [len(rows[i]) for i in range(len(texts))] == [sum(pieces(t).values()) for t in texts]
+    return [rows[i] for i in range(len(texts))]
+
+
+def test_recovered_digests_name_what_differs(spark, docs):
+    """Every digest on its side, against the elements of both texts."""
+    given = sorted(((r.doc_id, r.text) for r in docs.limit(60).collect()), key=lambda r: -r[0])
+    nexts = [given[(k + 1) % len(given)][1] for k in range(len(given))]
+    a = paragraph_digests(spark, [t for _, t in given])
+    n = paragraph_digests(spark, nexts)
+    e = paragraph_digests(spark, [t[:len(t) - len(t) // 2] + y[:len(t) // 2] for (_, t), y in zip(given, nexts)])
+    want = set()
+    for k, (d, _) in enumerate(given):
+        for version, other in (("edited", e[k]), ("next", n[k])):
+            want |= {(d, version, 1, x) for x in a[k] - other} | {(d, version, -1, x) for x in other - a[k]}
+    df = spark.createDataFrame(given, "doc_id long, text string").withColumn("side", F.lit("own"))
+    rows = [tuple(r) for r in no_python(iblt.recovered(df)).collect()]
+    assert len(rows) == len(set(rows)) and set(rows) == want
+
+
+def test_stored_fingerprints_subtract(spark):
+    base = [f"Paragraph {k} of the text." for k in range(40)]
+    pairs = [(1, base, base), (2, base, base[:-2]), (3, base, base[:10] + ["New one."] + base[11:]), (4, base, []), (5, base, [f"Other {k}." for k in range(40)]), (None, ["a"], ["b"])]
+    texts = [("\n".join(x), "\n".join(y)) for _, x, y in pairs]
+    own = paragraph_digests(spark, [t for xy in texts for t in xy])
+    df = spark.createDataFrame([(i, *xy) for (i, _, _), xy in zip(pairs, texts)], "id long, x string, y string")
+    prints = df.select("id", iblt.print_of(iblt.elements(F.col("x"))).alias("a"), iblt.print_of(iblt.elements(F.col("y"))).alias("b"))
+    got = {r.id: r for r in no_python(iblt.compare_prints(prints, "a", "b", ["id"])).collect()}
+    assert set(got) == {i for i, _, _ in pairs}
+    for k, (i, _, _) in enumerate(pairs):
+        left, right = own[2 * k], own[2 * k + 1]
+        if i in (1, 2, 3, None):
+            assert got[i].decoded and set(got[i].only_a) == left - right and set(got[i].only_b) == right - left
+        else:  # far more than 24 cells can tell apart: said so, and what is named is right
+            assert not got[i].decoded
+        assert set(got[i].only_a) <= left - right and set(got[i].only_b) <= right - left
+
+
 # 7 -----------------------------------------------------------------------------------------------------------------
 
 
@@ -246,11 +288,40 @@ def test_chat_reads_back(spark, read, budget, history):
 def test_windows_keep_the_system_turn(spark):
     rows = [(1, 0, "system", "be kind")] + [(1, i, "user" if i % 2 else "assistant", "w " * 9) for i in range(1, 21)]
     windows = chat.format_windows(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string"), 40, 15).orderBy("window").collect()
-    assert len(windows) == 5
     assert all(w.text.startswith("<<SYS>>be kind<</SYS>>") for w in windows)
     assert all(w.n_repeated == 2 for w in windows[1:]) and sum(len(w.loss) for w in windows) == 10
 
 
+@pytest.mark.parametrize("budget,history", [(512, 128), (300, 64), (90, 20)])
+def test_windows_fit_the_budget(spark, read, budget, history):
+    """System turn, history and new turns together stay within the budget, but for turns that leave no room by themselves."""
+    rows = [(10_000, 0, "system", "s " * 30)] + [(10_000, i, "user" if i % 2 else "assistant", "w " * (i * 37 % 60)) for i in range(1, 400)]
+    turns = read("conversations").select("conv_id", "turn", "role", "text").union(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string"))
+    placed = chat.window_turns(turns, budget, history).collect()
+    system = {r.conv_id: r.tokens for r in sorted(placed, key=lambda r: -r.no) if r.role == "system"}
+    members = collections.Counter((r.conv_id, r.win) for r in placed)
+    longest = collections.Counter()
+    for r in placed:
+        longest[r.conv_id, r.win] = max(longest[r.conv_id, r.win], r.tokens)
+    windows = chat.format_windows(turns, budget, history).collect()
+    assert {(w.conv_id, w.window) for w in windows} == set(members)
+    for w in windows:
+        room = budget - history - system.get(w.conv_id, 0)
+        assert w.n_tokens <= budget or members[w.conv_id, w.window] == 1 and longest[w.conv_id, w.window] > room
+    # turns lie in one window each, next to each other, and several share a window where they fit
+    for (conv, win), n in members.items():
+        assert sorted(r.no for r in placed if (r.conv_id, r.win) == (conv, win)) == list(range(win, win + n))
+    if budget == 512:
+        assert all(w.n_tokens <= budget for w in windows) and max(members.values()) > 4
+
+
+def test_a_long_conversation_is_spread_by_its_windows(spark):
+    rows = [(1, i, "user" if i % 2 else "assistant", f"turn {i} " * 8) for i in range(3000)]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    windows = chat.format_windows(df, 200, 50)
+    assert windows.count() > 300 and windows.selectExpr("max(length(text))").first()[0] < 5000
+
+
 def test_chat_of_nothing(spark):
     none = spark.createDataFrame([], "conv_id long, turn long, role string, text string")
     assert chat.digests(chat.format_windows(none)).count() == 0
