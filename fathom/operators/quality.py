@@ -83,14 +83,6 @@ def compare_warehouses(a: dict[str, DataFrame], b: dict[str, DataFrame],
     return reduce(DataFrame.unionByName, parts)
 
 
-def difference_samples(a: DataFrame, b: DataFrame, n: int = 3, ignore: tuple[str, ...] = ()) -> DataFrame:
-    """Up to n rows only in a and n only in b (the samples shown next to the counts)."""
-    cols = [c for c in a.columns if c not in ignore]
-    x = a.select(*cols).exceptAll(b.select(*cols)).limit(n).withColumn("side", F.lit("only_a"))
-    y = b.select(*cols).exceptAll(a.select(*cols)).limit(n).withColumn("side", F.lit("only_b"))
-    return x.unionByName(y)
-
-
 def same_result(a: DataFrame, b: DataFrame, order: list[str]) -> DataFrame:
     """C4: rows_a, rows_b, missing_columns, differing_cells of two results.
 

@@ -1,10 +1,8 @@
 """File-level sources and metadata.
 
 * ``file_rows``: row provenance (which file each row came from) via ``_metadata``.
-* ``parquet_footers``: row-group / column statistics of Parquet files. The file
-  list is a DataFrame of paths (``binaryFile`` listing, contents not loaded);
-  ``mapInArrow`` reads only the footers, one task per slice of files, so no
-  file list or footer passes through the driver.
+* ``file_ranges``: least and greatest value, nulls and rows of every column by
+  file, as an aggregate over the scan (any path that Spark reads).
 * ``size_report``: bytes and files per table folder from the same listing.
 * ``summarize``: per-column min/max/approx distinct/avg/std/quartiles/count/null %
   in one aggregate pass, then unpivoted.
@@ -23,46 +21,22 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-FOOTER_SCHEMA = ("file string, row_group int, column string, compression string, min string, max string, "
-                 "null_count long, compressed_bytes long, uncompressed_bytes long, rows long")
-
-
 def list_files(spark: SparkSession, root: str, glob: str = "*.parquet", recursive: bool = True) -> DataFrame:
     """(path, length, modificationTime) of the files under ``root``; contents are not read."""
     return (spark.read.format("binaryFile").option("pathGlobFilter", glob)
             .option("recursiveFileLookup", str(recursive).lower()).load(root).drop("content"))
 
 
-def parquet_footers(spark: SparkSession, root: str, glob: str = "*.parquet") -> DataFrame:
-    """One row per (file, row group, column). The reader is defined inside this function so the
-    executors receive it by value and need no package installed."""
-    def _footers(batches):
-        import pyarrow as pa
-        import pyarrow.parquet as pq
-        for batch in batches:
-            rows = []
-            for path in batch.column("path").to_pylist():
-                local = path[5:] if path.startswith("file:") else path
-                md = pq.ParquetFile(local).metadata
-                for g in range(md.num_row_groups):
-                    rg = md.row_group(g)
-                    for c in range(rg.num_columns):
-                        col = rg.column(c)
-                        st = col.statistics
-                        has = st is not None and st.has_min_max
-                        rows.append((path, g, col.path_in_schema, col.compression,
-                                     str(st.min) if has else None, str(st.max) if has else None,
-                                     st.null_count if st is not None and st.has_null_count else None,
-                                     col.total_compressed_size, col.total_uncompressed_size, rg.num_rows))
-            names = ["file", "row_group", "column", "compression", "min", "max", "null_count", "compressed_bytes",
-                     "uncompressed_bytes", "rows"]
-            cols = list(zip(*rows)) if rows else [[] for _ in names]
-            types = [pa.string(), pa.int32(), pa.string(), pa.string(), pa.string(), pa.string(), pa.int64(),
-                     pa.int64(), pa.int64(), pa.int64()]
-            yield pa.RecordBatch.from_arrays([pa.array(list(v), type=t) for v, t in zip(cols, types)], names=names)
-
-    files = list_files(spark, root, glob).select("path")
-    return files.mapInArrow(_footers, FOOTER_SCHEMA)
+def file_ranges(df: DataFrame) -> DataFrame:
+    """file, column, min, max, null_count, rows of every plain column of every file that ``df`` reads: one aggregate by file."""
+    plain = [f.name for f in df.schema.fields if not isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType, T.BinaryType))]
+    rows = df.select(*plain, F.regexp_extract("_metadata.file_path", r"([^/]+)$", 1).alias("_file"))
+    aggs = [a for i, c in enumerate(plain) for a in (F.min(c).cast("string").alias(f"lo{i}"), F.max(c).cast("string").alias(f"hi{i}"),
+                                                    F.count_if(F.col(f"`{c}`").isNull()).alias(f"no{i}"))]
+    per = rows.groupBy("_file").agg(F.count(F.lit(1)).alias("rows"), *aggs)
+    each = F.array(*[F.struct(F.lit(c).alias("column"), F.col(f"lo{i}").alias("min"), F.col(f"hi{i}").alias("max"), F.col(f"no{i}").alias("null_count"))
+                     for i, c in enumerate(plain)])
+    return per.select(F.col("_file").alias("file"), F.explode(each).alias("x"), "rows").select("file", "x.*", "rows")
 
 
 def size_report(spark: SparkSession, root: str, glob: str = "*.parquet") -> DataFrame:
