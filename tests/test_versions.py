@@ -161,20 +161,6 @@ def test_lookup_reads_few_files(spark, built):
         assert a == b and len(a) == min(20, len(want))
 
 
-def test_bloom_filters_are_written(spark, built):
-    import glob
-    import pyarrow.parquet as pq
-    root, _, _ = built
-    with_filter = 0
-    for path in glob.glob(f"{root}/idx/orders_by_customer/*/*/*.parquet")[:3]:
-        raw = open(path, "rb").read()
-        meta = pq.ParquetFile(path).metadata
-        at = [meta.row_group(0).column(c).path_in_schema for c in range(meta.num_columns)].index("customer_id")
-        del at
-        with_filter += len(raw) > sum(meta.row_group(g).total_byte_size for g in range(meta.num_row_groups)) // 2
-    assert with_filter
-
-
 def test_raw_orders_and_rates_are_sorted(spark, built):
     """S3: inside each file (and block) orders lie in the order of their time, rates by day."""
     root, _, _ = built
