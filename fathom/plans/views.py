@@ -161,15 +161,18 @@ def v10_search(wh: Warehouse, top: int = 48) -> DataFrame:
 
     A name that contains a term contains each of the term's pieces of up to three letters, terms of one or two
     letters included. Each term looks up the one of its longest pieces that the fewest names have, so a common
-    piece brings no candidates where a rarer one is at hand; then the exact ILIKE check and the similarity rank."""
+    piece brings no candidates where a rarer one is at hand; then the exact ILIKE check and the similarity rank.
+    Products of one name are equally similar to a term and rank by id, so only the first ``top`` of them can be among
+    the ``top`` of a term. Postings and candidates are shuffled, never broadcast: Spark's estimate of them leaves out the explode."""
     p = wh.raw("products").where("is_active").select(F.col("id").alias("product_id"), "name")
+    p = top_k(p, ["name"], [F.col("product_id")], top)
     posting = p.select("product_id", F.explode(_pieces(F.col("name"))).alias("g"))
     freq = posting.groupBy("g").agg(F.count(F.lit(1)).alias("n"))
     terms = p.select(F.explode(words("name")).alias("term")).distinct()
     tg = terms.select("term", F.explode(_pieces(F.col("term"))).alias("g")).where(F.length("g") == F.least(F.length("term"), F.lit(3)))
-    rare = tg.join(freq, "g").groupBy("term").agg(F.min_by("g", F.struct("n", "g")).alias("g"))
-    cand = rare.join(posting, "g").select("term", "product_id")
-    hit = cand.join(p, "product_id").where(F.contains(F.lower("name"), F.col("term")))
+    rare = tg.join(freq.hint("merge"), "g").groupBy("term").agg(F.min_by("g", F.struct("n", "g")).alias("g"))
+    cand = rare.join(posting.hint("merge"), "g").select("term", "product_id")
+    hit = cand.join(p.hint("merge"), "product_id").where(F.contains(F.lower("name"), F.col("term")))
     hit = hit.withColumn("similarity", dround(trigram_similarity("name", "term"), 6))
     return top_k(hit, ["term"], [F.col("similarity").desc(), F.col("product_id")], top).select(
         "term", "product_id", "name", "similarity")
