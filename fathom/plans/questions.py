@@ -89,11 +89,25 @@ def q01_star(wh: Warehouse) -> DataFrame:
 
 
 # -- Q-02 category rollup -------------------------------------------------------------
+def rollup_orders(x: DataFrame, value: str) -> DataFrame:
+    """ROLLUP of level1 and level2: distinct orders and the sum of ``value``.
+
+    A row per (order, level1, level2) tells whether it is the first of its order, and of its order in that level1. Distinct
+    orders of each level are then sums over the cells, and only the cells (a row per category) are expanded by ROLLUP."""
+    per = x.where(F.col("order_id").isNotNull()).groupBy("level1", "level2", "order_id").agg(F.sum(value).alias("value"))
+    of_order = Window.partitionBy("order_id").orderBy("level1", "level2")
+    of_level = Window.partitionBy("order_id", "level1").orderBy("level2")
+    firsts = per.select("level1", "level2", "value", (F.row_number().over(of_order) == 1).alias("_first"),
+                        (F.row_number().over(of_level) == 1).alias("_first_1"))
+    cells = firsts.groupBy("level1", "level2").agg(F.count(F.lit(1)).alias("n2"), F.count_if("_first_1").alias("n1"),
+                                                   F.count_if("_first").alias("n0"), F.sum("value").alias("value"))
+    level = F.grouping_id()
+    orders = F.when(level == 0, F.sum("n2")).when(level == 1, F.sum("n1")).otherwise(F.sum("n0"))
+    return cells.rollup("level1", "level2").agg(orders.cast("bigint").alias("orders"), F.sum("value").alias("value"))
+
+
 def _rollup(x: DataFrame) -> DataFrame:
-    # pre-aggregate to (level1, level2, order) so the ROLLUP expansion sees far fewer rows
-    per = x.groupBy("level1", "level2", "order_id").agg(F.sum("net_usd").alias("rev"))
-    r = per.rollup("level1", "level2").agg(F.count_distinct("order_id").cast("bigint").alias("orders"),
-                                            _money(F.sum("rev")).alias("revenue_usd"))
+    r = rollup_orders(x, "net_usd").select("level1", "level2", "orders", _money("value").alias("revenue_usd"))
     return r.orderBy(F.col("level1").asc_nulls_last(), F.col("level2").asc_nulls_first())
 
 

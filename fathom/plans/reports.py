@@ -211,13 +211,11 @@ def race_monthly_revenue(wh: Warehouse) -> DataFrame:
 
 
 def race_category_rollup(wh: Warehouse) -> DataFrame:
-    from .questions import _store_tree
+    from .questions import _store_tree, rollup_orders
     x = _raw_asof_lines(wh)
     p = wh.raw("products").select(F.col("id").alias("product_id"), "category_id")
     x = x.join(p, "product_id").join(_store_tree(wh), "category_id")
-    per = x.groupBy("level1", "level2", "order_id").agg(F.sum("usd").alias("usd"))
-    return per.rollup("level1", "level2").agg(F.count_distinct("order_id").cast("bigint").alias("orders"),
-                                              dround(F.sum("usd"), 2).alias("revenue_usd"))
+    return rollup_orders(x, "usd").select("level1", "level2", "orders", dround("value", 2).alias("revenue_usd"))
 
 
 REPORTS = {
