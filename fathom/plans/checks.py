@@ -172,8 +172,10 @@ def c02_sale_versions(wh: Warehouse) -> DataFrame:
     want = fs.join(pp, (fs.product_id == pp.product_id) & (fs.placed_at >= pp.vf)
                    & ((fs.placed_at < pp.vt) | pp.vt.isNull())).select(
         "order_id", "line_no", fs.product_id, F.col("vf").alias("valid_from"))
-    bad = got.exceptAll(want).unionByName(want.exceptAll(got))
-    return bad.agg(F.count(F.lit(1)).cast("bigint").alias("mismatched_sales"))
+    # rows of one side that the other lacks, repeats counted: both sides are read once, not once for each direction
+    sides = got.withColumn("n", F.lit(1)).unionByName(want.withColumn("n", F.lit(-1)))
+    bad = sides.groupBy("order_id", "line_no", "product_id", "valid_from").agg(F.abs(F.sum("n")).alias("n"))
+    return bad.agg(F.coalesce(F.sum("n"), F.lit(0)).cast("bigint").alias("mismatched_sales"))
 
 
 CHECKS = {
