@@ -208,7 +208,8 @@ def build_incremental(spark: SparkSession, src: Store, root: str, w: int | None
         customers = renumber_orders(of_others(listed, "order_id").unionByName(by_customer(delta)), touched)
         step("idx", "orders_by_customer", customers, slots)
         numbers = load.read("idx", "orders_by_customer", slots).select("order_id", "order_date", F.col("customer_order_number").alias("_no"))
-        moved = written(numbers.join(listed.select("order_id", "customer_order_number"), "order_id", "left")
+        # changed orders count as moved: the delta numbers them among themselves only
+        moved = written(numbers.join(of_others(listed.select("order_id", "customer_order_number"), "order_id"), "order_id", "left")
                         .where(~F.col("customer_order_number").eqNullSafe(F.col("_no"))).drop("customer_order_number"), "renumbered")
         renumbered = months | _months(moved.select("order_date"))
 
