@@ -23,7 +23,7 @@ from ..operators.reshape import fill_days, pivot_agg, unpivot
 from ..operators.stats import exact_percentiles
 from ..operators.topk import top_k
 from ..sources.fixtures import Store
-from .incremental import first_load
+from .incremental import first_load, over_written_store
 from .publish import PublishedWarehouse
 from .warehouse import Warehouse
 
@@ -340,7 +340,7 @@ def history_plus_live(store: Store, loaded: PublishedWarehouse) -> DataFrame:
 
 def l17_history_plus_live(wh: Warehouse) -> DataFrame:
     """With the full load that a later incremental one has yet to follow."""
-    return history_plus_live(wh.store, first_load(wh))
+    return history_plus_live(over_written_store(wh).store, first_load(wh))
 
 
 # L-18 VIP spend summary with and without a delete filter (temp view + cache) ------------------------------------

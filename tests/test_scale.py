@@ -3,20 +3,23 @@
 from __future__ import annotations
 
 import collections
+import datetime as dt
 import glob
 import os
 import random
+import time
 
 import pytest
 from pyspark.sql import functions as F
 
-from fathom.operators.pairs import pairs
+from fathom.operators.pairs import frequent, pairs, top_partners
 from fathom.plans import checks, coverage, incremental, views
+from fathom.plans.publish import _range_of, day_cuts, id_cuts, laid_out, with_load_conf
 from fathom.plans.questions import rollup_orders
 from fathom.plans.versions import Load, next_version
 from fathom.plans.warehouse import Warehouse
-from fathom.session import apply_conf
-from fathom.sources.fixtures import Store
+from fathom.session import LOAD_CONF, SHUFFLES_GO, apply_conf, settings
+from fathom.sources.fixtures import STORE_TABLES, Store, StoreWrittenOnce
 
 SF = "/root/testdata/sf0.001"
 
@@ -150,3 +153,124 @@ def test_bloom_filters_are_sized_by_the_ids_of_a_part(spark, tmp_path):
 def test_sales_are_written_once_for_all_star_tables(spark):
     once = coverage._sales_written(Warehouse(Store(apply_conf(spark), SF)))
     assert "product_prices" not in physical(once.product_pairs) and "fact-sales" in str(once.fact_sales.inputFiles())
+
+
+@pytest.mark.parametrize("bulk, bulky", [(20, True), (200, True), (200, False)])
+@pytest.mark.parametrize("dealt", [False, True])
+def test_partners_count_every_two_lines(spark, bulk, bulky, dealt):
+    random.seed(1)
+    lines = [(o, random.choice([1, 2, 3]) if random.random() < .5 else random.randrange(60)) for o in range(400) for _ in range(random.randrange(1, 7))]
+    lines += [(999, random.randrange(60)) for _ in range(120)]
+    want, baskets = collections.defaultdict(collections.Counter), collections.defaultdict(list)
+    for o, p in lines:
+        baskets[o].append(p)
+    for here in baskets.values():
+        for a in here:
+            want[a].update(b for b in here if b != a)
+    rows = spark.createDataFrame(lines + [(None, 3), (5, None)], "o long, p long")
+    hot = frequent(rows, "p", 10)
+    assert set(hot) == {1, 2, 3} and all(n > 1 for n in hot.values())
+    got = top_partners(rows, "o", "p", 4, hot if dealt else None, bulky, bulk)
+    assert sorted(tuple(r) for r in got.collect()) == sorted((a, b, n) for a, c in want.items() for b, n in sorted(c.items(), key=lambda x: (-x[1], x[0]))[:4])
+
+
+def test_no_item_is_frequent_among_none(spark):
+    rows = spark.createDataFrame([(1, None), (2, None)], "o long, p long")
+    assert frequent(rows, "p") == {} and frequent(rows.limit(0), "p") == {}
+
+
+def test_partners_shuffle_no_single_pair(spark):
+    rows = spark.range(1000).select((F.col("id") % 100).alias("o"), (F.col("id") % 37).alias("p"))
+    plan = physical(top_partners(rows, "o", "p", 8, bulky=False))
+    assert plan.count("Exchange hashpartitioning") == 2, plan
+
+
+def shuffle_files(spark) -> set[str]:
+    files = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles().iterator()
+    found = set()
+    while files.hasNext():
+        found.add(files.next().getName())
+    return {f for f in found if f.startswith("shuffle_")}
+
+
+def test_a_load_lets_its_shuffle_files_go(spark, tmp_path):
+    ran = []
+
+    @with_load_conf
+    def load(spark, name):
+        ran.append({k: spark.conf.get(k) for k in LOAD_CONF})
+        before = shuffle_files(spark)
+        spark.range(10000).groupBy((F.col("id") % 100).alias("k")).count().write.parquet(str(tmp_path / name))
+        until = time.time() + 20
+        while (left := shuffle_files(spark) - before) and time.time() < until:
+            time.sleep(0.2)
+        return left
+
+    before = {k: spark.conf.get(k, None) for k in LOAD_CONF}
+    assert load(spark, "out") == set() and ran == [LOAD_CONF]
+    assert {k: spark.conf.get(k, None) for k in LOAD_CONF} == before
+    with pytest.raises(ValueError), settings(spark, SHUFFLES_GO):
+        raise ValueError
+    assert {k: spark.conf.get(k, None) for k in LOAD_CONF} == before
+    assert hasattr(incremental.build_incremental, "__wrapped__") and hasattr(incremental.build_full, "__wrapped__")
+
+
+def test_a_store_written_once_has_the_same_rows(spark):
+    apply_conf(spark)
+    plain, once = Store(spark, SF), StoreWrittenOnce(spark, SF)
+    for name in STORE_TABLES:
+        a, b = plain.table(name), once.table(name)
+        assert a.columns == b.columns and a.exceptAll(b).isEmpty() and b.exceptAll(a).isEmpty(), name
+    assert set(once._kept) == {"orders", "_lines", "returns", "reviews"}
+    for name in ("orders", "order_items", "payments", "shipments", "returns", "reviews"):
+        assert all("/store-" in f for f in once.table(name).inputFiles()), name
+        assert "Join" not in optimized(once.table(name)) and "Window" not in optimized(once.table(name)), name
+
+
+def test_ranges_are_known_beforehand(spark):
+    days = [(dt.date(2000, 1, 1) + dt.timedelta(days=i), 5 if i % 7 else 50) for i in range(100)]
+    cuts = day_cuts(days, 8)
+    assert cuts == sorted(set(cuts)) and len(cuts) == 7 and day_cuts([], 8) == [] and day_cuts(days, 1) == []
+    per = collections.Counter()
+    for day, n in days:
+        per[sum(c <= day for c in cuts)] += n
+    assert max(per.values()) <= sum(n for _, n in days) / 8 + 50
+    assert day_cuts([(dt.date(2000, 1, 1), 9)], 8) == []
+    rows = spark.createDataFrame([(d, i) for i, (d, _) in enumerate(days)] + [(None, -1)], "order_date date, order_id long")
+    got = {r.order_id: r.at for r in rows.select("order_id", _range_of(F.col("order_date"), cuts).alias("at")).collect()}
+    assert all(got[i] == sum(c <= d for c in cuts) for i, (d, _) in enumerate(days)) and -1 in got
+    ids = id_cuts(spark.range(1, 1001), 8)
+    assert len(ids) == 7 and all(abs(a - 125 * (i + 1)) <= 5 for i, a in enumerate(ids)) and id_cuts(spark.range(0), 8) == []
+
+
+def test_facts_are_dealt_without_making_their_rows_twice(spark):
+    wh = Warehouse(Store(apply_conf(spark), SF))
+    facts, cuts = wh.fact_orders, {"order_date": [dt.date(1996, 5, 5), dt.date(1998, 1, 1)]}
+    out = laid_out(facts, "fact_orders", 4, {}, cuts)
+    assert "rangepartitioning" not in physical(out) and "rangepartitioning" in physical(laid_out(facts, "fact_orders", 4, {}))
+    back = out.drop("year", "month")
+    assert back.exceptAll(facts).isEmpty() and facts.exceptAll(back).isEmpty()
+    spans = out.groupBy(F.spark_partition_id().alias("p")).agg(F.min("order_date").alias("a"), F.max("order_date").alias("b")).collect()
+    assert len(spans) == 3 and all(x.b < y.a for x, y in zip(sorted(spans, key=lambda r: r.a), sorted(spans, key=lambda r: r.a)[1:]))
+
+
+def test_orders_are_numbered_before_they_are_wide(spark):
+    wh = Warehouse(Store(apply_conf(spark), SF))
+    plan = optimized(wh.fact_orders)
+    assert plan.index("Join LeftOuter") < plan.index("row_number")  # the joins of lines, payments, parcels and returns stand above
+    got = collections.defaultdict(list)
+    for r in wh.fact_orders.select("customer_id", "placed_at", "order_id", "customer_order_number").collect():
+        got[r.customer_id].append((r.placed_at, r.order_id, r.customer_order_number))
+    assert all([n for _, _, n in sorted(rows)] == list(range(1, len(rows) + 1)) for rows in got.values())
+
+
+def test_loads_and_checks_read_the_store_written_once(spark, monkeypatch):
+    wh, read = Warehouse(Store(spark, SF), max_order_id=100), []
+    monkeypatch.setattr(incremental, "build_full", lambda spark, store, *a, **k: read.append(store))
+    monkeypatch.setattr(incremental, "build_incremental", lambda spark, store, *a, **k: read.append(store))
+    monkeypatch.setattr(incremental.PublishedWarehouse, "open", lambda *a: None)
+    incremental._loaded_in_two(wh)
+    once = incremental.over_written_store(wh)
+    assert [type(x) for x in read] == [StoreWrittenOnce] * 2 and read == [once.store] * 2 and once.max_order_id == 100
+    other = Warehouse(type("Other", (Store,), {})(spark, SF))
+    assert incremental.over_written_store(other) is other
